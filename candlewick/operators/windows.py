@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql.window import WindowSpec
 
 KEY = "market_id"
-TIE_BREAKERS = ("end_period_ts", "pos")
+# ds is derived from end_period_ts, so only the array position breaks ties.
+TIE_BREAKERS = ("pos",)
 
 
 def order_cols(df: DataFrame, order: str = "ds") -> list[str]:

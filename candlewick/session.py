@@ -25,6 +25,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.master(master)
     conf = dict(SESSION_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.execution.arrow.pyspark.enabled"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

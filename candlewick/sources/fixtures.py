@@ -39,17 +39,20 @@ def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     label window; later per-market windows reuse that partitioning.
     """
     t = hourly_ticks(table(spark, sf_dir, "events"))
-    bars = t.groupBy("market_id", "ds").agg(
+    # user_id and event_type are functions of market_id: grouping on them keeps every
+    # aggregation buffer fixed-width (hash aggregation, map-side combine).
+    bars = t.groupBy("market_id", "ds", "user_id", "event_type").agg(
         F.max_by("px", "ts").alias("close"),
         F.max("px").alias("high"),
         F.min("px").alias("low"),
         F.avg("px").alias("mean_px"),
         F.sum("value").alias("volume"),
         F.max_by("k", "ts").alias("k"),
-        F.max("user_id").alias("user_id"),
-        F.max("event_type").alias("event_type"),
     )
-    avg_close = F.round(F.avg("close").over(Window.partitionBy("market_id")), 6)
+    # Ordered like the later per-market windows, so one sort serves them all.
+    whole_market = Window.partitionBy("market_id").orderBy("ds").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    avg_close = F.round(F.avg("close").over(whole_market), 6)
     k = F.col("k")
     return bars.select(
         "market_id", "ds", "close", "high", "low",
