@@ -152,11 +152,32 @@ def with_ctes(upto, *extra: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" if parts else ""
 
 
+def _split_top(spec: str) -> list[str]:
+    """Split on commas outside parentheses, brackets and quotes."""
+    out, depth, quote, cur = [], 0, None, []
+    for ch in spec:
+        if quote:
+            quote = None if ch == quote else quote
+        elif ch in "'\"":
+            quote = ch
+        elif ch in "([":
+            depth += 1
+        elif ch in ")]":
+            depth -= 1
+        elif ch == "," and depth == 0:
+            out.append("".join(cur).strip())
+            cur = []
+            continue
+        cur.append(ch)
+    out.append("".join(cur).strip())
+    return [x for x in out if x]
+
+
 def final_select(spec: str, src: str, where: str = "") -> str:
     """Normalised projection: ``name:kind[=expr]`` items; kinds d (double, 6 dp), i (bigint),
     t (timestamp text), s (string), b (boolean)."""
     items = []
-    for raw in [x.strip() for x in spec.replace("\n", " ").split(",") if x.strip()]:
+    for raw in _split_top(spec.replace("\n", " ")):
         head, _, expr = raw.partition("=")
         name, _, kind = head.strip().partition(":")
         expr = expr.strip() or name
@@ -167,9 +188,58 @@ def final_select(spec: str, src: str, where: str = "") -> str:
             items.append(f"cast({expr} AS bigint) AS {name}")
         elif kind == "t":
             items.append(f"strftime({expr}, '%Y-%m-%d %H:%M:%S') AS {name}")
+        elif kind == "a":
+            items.append(f"{expr} AS {name}")
         elif kind == "b":
             items.append(f"cast({expr} AS boolean) AS {name}")
         else:
             items.append(f"cast({expr} AS varchar) AS {name}")
     sql = "SELECT " + ", ".join(items) + f" FROM {src}"
     return sql + (f" WHERE {where}" if where else "")
+
+
+DEDUP = """dedup AS (
+  SELECT * EXCLUDE (_rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY src DESC, seq DESC) AS _rn,
+           first_value(src) OVER (PARTITION BY ticker ORDER BY src, seq) AS first_src,
+           first_value(seq) OVER (PARTITION BY ticker ORDER BY src, seq) AS first_seq
+    FROM raw_markets) WHERE _rn = 1)"""
+
+QUESTION = ("coalesce(nullif(regexp_replace(rules_primary, '^\\s+|\\s+$', '', 'g'), ''), nullif(yes_sub_title, ''), "
+            "nullif(no_sub_title, ''), nullif(associated_markets, ''), title)")
+
+QDEDUP = f"""qd AS (
+  SELECT *, {QUESTION} AS question,
+    coalesce(status IN ('closed', 'determined', 'settled', 'finalized') AND market_type = 'binary'
+             AND coalesce(mve_collection_ticker, '') = '' AND result IN ('yes', 'no'), false) AS valid,
+    coalesce(regexp_matches(lower({QUESTION}), '\\b(?:urgent|high|not specified)\\b'), false) AS kw
+  FROM dedup)"""
+
+SAMPLES = """samples AS (
+  SELECT ticker AS market_id, try_cast(yes_ask_dollars AS double) AS yes_price, try_cast(no_ask_dollars AS double) AS no_price,
+    try_cast(last_price_dollars AS double) AS last_price_dollars,
+    [CASE WHEN volume_fp IS NULL OR volume_fp = '' THEN 0.0 ELSE try_cast(volume_fp AS double) END] AS volume_history,
+    CAST(NULL AS double) AS price_momentum, CAST(NULL AS double) AS volume_weighted_price, 0.0 AS time_to_resolution,
+    question AS rag_query, CASE WHEN result = 'yes' THEN 1.0 ELSE 0.0 END AS label
+  FROM qd WHERE valid AND kw ORDER BY first_src, first_seq LIMIT 3001)"""
+
+MARKET_AGG = """mm AS (
+  SELECT market_id, series_id, min(ds) AS first_ds, max(ds) AS last_ds, max(label) AS label,
+         cast(regexp_extract(market_id, '^U([0-9]+)', 1) AS int) AS uid
+  FROM flat GROUP BY market_id, series_id)"""
+
+LIFE = """lw AS (
+  SELECT ticker, s AS start_ts, e AS end_ts,
+    CASE WHEN s IS NULL OR e IS NULL THEN 'missing timestamps' WHEN e <= s THEN 'end <= start'
+         WHEN e - s < 3600 THEN 'window < 1 hour' END AS skip_reason
+  FROM (SELECT market_id AS ticker,
+          CASE WHEN uid % 11 = 0 THEN NULL ELSE cast(epoch(first_ds) AS bigint) - 3600 END AS s,
+          CASE WHEN uid % 7 = 0 THEN (CASE WHEN uid % 2 = 0 THEN cast(epoch(last_ds) AS bigint) END)
+               WHEN uid % 5 = 0 THEN cast(epoch(first_ds) AS bigint) - 1800
+               ELSE cast(epoch(last_ds) AS bigint) - 86400 END AS e
+        FROM mm))"""
+
+CHAIN["dedup"] = [RAW_MARKETS, DEDUP]
+CHAIN["qd"] = [RAW_MARKETS, DEDUP, QDEDUP]
+CHAIN["samples"] = [RAW_MARKETS, DEDUP, QDEDUP, SAMPLES]
+CHAIN["life"] = [CANDLES, FLAT, MARKET_AGG, LIFE]

@@ -117,3 +117,42 @@ def raw_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
         dec(tp / 510000.0).alias("last_price_dollars"),
         F.when(k % 29 == 0, F.lit("")).otherwise(k.cast("string")).alias("volume_fp"),
     )
+
+
+def _uid(market_id: str = "market_id"):
+    return F.regexp_extract(F.col(market_id), r"^U([0-9]+)", 1).cast("int")
+
+
+def _iso(c):
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def market_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market metadata for the candle markets (ISO text times, as a market API returns them).
+
+    Covers every life-window outcome: usable, missing times, end <= start and < 1 hour.
+    """
+    m = candle_flat(spark, sf_dir).groupBy("market_id", "series_id").agg(
+        F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"), F.max("label").alias("label"))
+    u = _uid()
+    hour = F.expr("INTERVAL 1 HOUR")
+    return m.select(
+        F.col("market_id").alias("ticker"), F.col("series_id").alias("event_ticker"),
+        F.when(u % 11 == 0, F.lit(None)).otherwise(_iso(F.col("first_ds") - hour)).alias("open_time"),
+        F.when(u % 7 == 0, F.lit(None))
+         .when(u % 5 == 0, _iso(F.col("first_ds") - F.expr("INTERVAL 30 MINUTES")))
+         .otherwise(_iso(F.col("last_ds") - F.expr("INTERVAL 24 HOURS"))).alias("close_time"),
+        F.when(u % 2 == 0, _iso(F.col("last_ds"))).alias("settlement_ts"),
+        "label",
+    )
+
+
+def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw quote candles (nested yes-ask prices as text) for the candle markets."""
+    f = candle_flat(spark, sf_dir)
+    t = lambda c: F.col(c).cast("string")
+    return f.select(
+        "market_id", F.col("series_id").alias("event_ticker"), "end_period_ts",
+        F.struct(t("ask_high").alias("high_dollars"), t("ask_low").alias("low_dollars"),
+                 t("ask_close").alias("close_dollars")).alias("yes_ask"),
+    )
