@@ -243,3 +243,36 @@ CHAIN["dedup"] = [RAW_MARKETS, DEDUP]
 CHAIN["qd"] = [RAW_MARKETS, DEDUP, QDEDUP]
 CHAIN["samples"] = [RAW_MARKETS, DEDUP, QDEDUP, SAMPLES]
 CHAIN["life"] = [CANDLES, FLAT, MARKET_AGG, LIFE]
+
+SPLIT = """grp AS (SELECT series_id, md5(concat('42:', series_id)) AS h FROM (SELECT DISTINCT series_id FROM model)),
+rk AS (SELECT series_id, row_number() OVER (ORDER BY h, series_id) - 1 AS r, count(*) OVER () AS n FROM grp),
+asg AS (SELECT series_id, CASE WHEN r < ceil(0.15::double * n) THEN 'test'
+    WHEN r < ceil(0.15::double * n) + ceil(0.15::double / (0.7::double + 0.15::double) * (n - ceil(0.15::double * n)))
+    THEN 'val' ELSE 'train' END AS split FROM rk),
+splitted AS (SELECT m.*, a.split FROM model m JOIN asg a ON m.series_id = a.series_id),
+scored AS (
+  SELECT *, least(greatest(0.6 * coalesce(ask_close, close) + 0.4 * coalesce(price_mean, close), 0.01), 0.99) AS prob
+  FROM splitted),
+test AS (SELECT * FROM scored WHERE split = 'test')"""
+
+CHAIN["split"] = [CANDLES, FLAT, TRIMMED, PRE, FEAT, MODEL, SPLIT]
+
+EPS = "2.220446049250313e-16"
+
+
+def metrics_sql(src: str, prob: str = "prob", label: str = "label") -> str:
+    """One-row n / log_loss / brier / auc over ``src`` (a table name or subquery)."""
+    p = f"least(greatest({prob}, {EPS}), 1 - {EPS})"
+    return f"""(SELECT sum(c) AS n, sum(ll) / sum(c) AS log_loss, sum(sq) / sum(c) AS brier,
+    sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM (
+  SELECT *, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - neg AS below FROM (
+    SELECT {prob} AS s, count(*) AS c, sum({label}) AS pos, sum(1 - {label}) AS neg,
+      sum(-({label} * ln({p}) + (1 - {label}) * ln(1 - {p}))) AS ll,
+      sum(({prob} - {label}) * ({prob} - {label})) AS sq
+    FROM {src} GROUP BY {prob})))"""
+
+
+def round_half_up(expr: str, digits: int) -> str:
+    """Round like Spark does for doubles: half-up on the shortest decimal text of the value."""
+    return (f"coalesce(cast(round(try_cast(cast({expr} AS varchar) AS decimal(38,18)), {digits}) AS double), "
+            f"round({expr}, {digits}))")
