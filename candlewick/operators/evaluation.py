@@ -20,20 +20,25 @@ def log_loss_col(prob="prob", label="label"):
     return -(y * F.log(p) + (1 - y) * F.log(1 - p))
 
 
-def metrics(df: DataFrame, prob: str = "prob", label: str = "label") -> DataFrame:
-    """N, log-loss, Brier and exact ROC-AUC (ties count one half) in one row.
+def metrics(df: DataFrame, prob: str = "prob", label: str = "label", by: list[str] | None = None) -> DataFrame:
+    """N, log-loss, Brier and exact ROC-AUC (ties count one half), one row per ``by`` group.
 
-    Rows are first combined per distinct score (map-side, so a hot score value costs
-    nothing); the negatives below each score come from the range-partitioned prefix
+    Rows are first combined per (group, distinct score) map-side, so a hot score value
+    costs nothing; negatives below each score come from the range-partitioned prefix
     sum, and every metric is then a plain sum over the per-score table.
     """
+    by = list(by or [])
     y = F.col(label)
-    per_score = df.groupBy(F.col(prob).alias("_s")).agg(
+    per_score = df.groupBy(*by, F.col(prob).alias("_s")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg"),
-        F.sum(log_loss_col(prob, label)).alias("_ll"), F.sum((F.col(prob) - y) ** 2).alias("_sq"))
-    cum = running_sums(per_score, ["_s"], {"_cneg": F.col("_neg")})
+        F.sum(log_loss_col(prob, label)).alias("_ll"), F.sum((F.col(prob) - y) * (F.col(prob) - y)).alias("_sq"))
+    cum = running_sums(per_score, by + ["_s"], {"_cneg": F.col("_neg")})
     below = F.col("_cneg") - F.col("_neg")
-    return cum.agg(
+    if by:  # the running count crosses groups; subtract what precedes each group
+        start = cum.groupBy(*by).agg(F.min(below).alias("_g0"))
+        cum = cum.join(start, by)
+        below = below - F.col("_g0")
+    return cum.groupBy(*by).agg(
         F.sum("_n").alias("n"),
         (F.sum("_ll") / F.sum("_n")).alias("log_loss"),
         (F.sum("_sq") / F.sum("_n")).alias("brier"),
