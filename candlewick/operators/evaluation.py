@@ -46,22 +46,35 @@ def metrics(df: DataFrame, prob: str = "prob", label: str = "label", by: list[st
     )
 
 
-def train_rate(train: DataFrame, label: str = "label") -> float:
-    """The training YES rate (one scalar)."""
-    return train.agg(F.avg(label)).first()[0]
+def train_rate(train: DataFrame, label: str = "label"):
+    """The training YES rate as a scalar subquery (stays inside the plan; no driver round trip)."""
+    return train.agg(F.avg(label)).scalar()
 
 
-def baseline_scores(eval_df: DataFrame, pos_rate: float) -> DataFrame:
+def baseline_scores(eval_df: DataFrame, pos_rate) -> DataFrame:
     """E2 inputs: constant prior and market price (close clipped to [.01, .99])."""
-    return eval_df.withColumns({"p_constant": F.lit(float(pos_rate)), "p_market": clip_unit("close")})
+    rate = pos_rate if not isinstance(pos_rate, (int, float)) else F.lit(float(pos_rate))
+    return eval_df.withColumns({"p_constant": rate, "p_market": clip_unit("close")})
 
 
-def baselines(train: DataFrame, eval_df: DataFrame, label: str = "label") -> DataFrame:
-    """Metrics of the constant prior and of the market price on ``eval_df``."""
+def scored_variants(df: DataFrame, scores: dict[str, str], label: str = "label") -> DataFrame:
+    """One row per (input row, named score column): lets one grouped ``metrics`` pass
+    evaluate several scores (the row count grows by the fixed number of scores)."""
+    names = list(scores)
+    pick = None
+    for n in names:
+        pick = (F.when(F.col("model") == n, F.col(scores[n])) if pick is None
+                else pick.when(F.col("model") == n, F.col(scores[n])))
+    return df.select(F.explode(F.array(*[F.lit(n) for n in names])).alias("model"), label, *set(scores.values())) \
+        .withColumn("score", pick)
+
+
+def baselines(train: DataFrame, eval_df: DataFrame, label: str = "label", extra: dict[str, str] | None = None) -> DataFrame:
+    """Metrics of the constant prior and of the market price on ``eval_df`` (plus any
+    ``extra`` named score columns), all in one grouped pass."""
     s = baseline_scores(eval_df, train_rate(train, label))
-    const = metrics(s, "p_constant", label).withColumn("model", F.lit("Constant prior"))
-    market = metrics(s, "p_market", label).withColumn("model", F.lit("Market price"))
-    return const.unionByName(market)
+    scores = {"Constant prior": "p_constant", "Market price": "p_market", **(extra or {})}
+    return metrics(scored_variants(s, scores, label), "score", label, by=["model"])
 
 
 def pnl_col(prob="prob", close="close", label="label", threshold: float = 0.60, stake: float = 1.0):

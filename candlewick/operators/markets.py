@@ -170,7 +170,7 @@ def join_labels(markets: DataFrame, samples: DataFrame, key: str = "ticker",
 
 def prefer_source(recent: DataFrame, hist: DataFrame, key: str = "market_id") -> DataFrame:
     """Recent rows, plus historical rows only for keys the recent source lacks."""
-    keys = recent.select(key)
+    keys = recent.select(key).distinct()  # combined map-side: one key per market crosses the shuffle
     return (recent.withColumn("source", F.lit("recent"))
             .unionByName(hist.join(keys, key, "left_anti").withColumn("source", F.lit("historical"))))
 
@@ -180,7 +180,7 @@ def _quote_price(field: Column) -> Column:
     return F.when(field.isNull(), F.lit(0.0)).otherwise(to_float(field))
 
 
-def candles_from_quotes(quotes: DataFrame) -> DataFrame:
+def candles_from_quotes(quotes: DataFrame, keep=()) -> DataFrame:
     """Ds from epoch; close/high/low from the yes-ask quote (missing -> 0)."""
     return quotes.select(
         F.col("market_id"),
@@ -190,18 +190,24 @@ def candles_from_quotes(quotes: DataFrame) -> DataFrame:
         _quote_price(F.col("yes_ask.close_dollars")).alias("close"),
         _quote_price(F.col("yes_ask.high_dollars")).alias("high"),
         _quote_price(F.col("yes_ask.low_dollars")).alias("low"),
+        *keep,
     )
 
 
 def build_series(markets: DataFrame, quotes: DataFrame, samples: DataFrame | None = None,
                  bounded_rows: int | None = None) -> DataFrame:
     """Life window -> candles inside it -> quote candles -> labels; markets without
-    candles vanish (inner join).  Rejected markets stay visible via ``life_window``."""
+    candles vanish (inner join).  Rejected markets stay visible via ``life_window``.
+
+    Labels come from ``samples`` (left join by ticker) or, when none is given, travel
+    with the market metadata's own ``label`` column.
+    """
+    carry = ["label"] if (samples is None and "label" in markets.columns) else []
     ok = life_window(markets).where(F.col("skip_reason").isNull()).select(
-        F.col("ticker").alias("market_id"), "event_ticker", "start_ts", "end_ts")
+        F.col("ticker").alias("market_id"), "event_ticker", "start_ts", "end_ts", *carry)
     q = quotes.drop("event_ticker") if "event_ticker" in quotes.columns else quotes
     inside = q.join(ok, "market_id").where(F.col("end_period_ts").between(F.col("start_ts"), F.col("end_ts")))
-    out = candles_from_quotes(inside)
+    out = candles_from_quotes(inside, carry)
     if samples is not None:
         out = join_labels(out.withColumnRenamed("market_id", "ticker"), samples, "ticker", bounded_rows) \
             .withColumnRenamed("ticker", "market_id")

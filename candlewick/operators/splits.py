@@ -21,13 +21,38 @@ def split_sizes(n_groups: int, train: float = 0.70, val: float = 0.15, test: flo
     return n_test, n_val
 
 
+HASH_BUCKET_CHARS = 3  # 16^3 = 4,096 buckets of the md5 order
+
+
+def hash_ranked_groups(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """Distinct groups with their 0-based position ``_r`` in md5(seed:key) order and the group count ``_n``.
+
+    md5 digests are uniform, so buckets on the leading hex digits are evenly filled by
+    construction (each group is one row): bucket counts form a table of at most 4,096
+    rows whose prefix sums are broadcast back; the rank inside a bucket is a window over
+    that bucket only.  Deterministic and lazy: no checkpoint, no driver round trip.
+    """
+    groups = df.select(key).distinct().withColumn("_h", group_hash(key, seed)) \
+        .withColumn("_b", F.substring("_h", 1, HASH_BUCKET_CHARS))
+    sizes = groups.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    whole = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # <= 4,096 rows
+    offsets = sizes.select("_b", (F.sum("_c").over(Window.orderBy("_b")) - F.col("_c")).alias("_o"),
+                           F.sum("_c").over(whole).alias("_n"))
+    inside = Window.partitionBy("_b").orderBy("_h", key)
+    return groups.join(F.broadcast(offsets), "_b").select(
+        key, (F.col("_o") + F.row_number().over(inside) - 1).alias("_r"), "_n")
+
+
 def assign_groups(df: DataFrame, key: str = "series_id", train: float = 0.70, val: float = 0.15,
                   test: float = 0.15, seed: int = 42) -> DataFrame:
-    """One row per group with its split: groups ordered by md5(seed:key), test first, then val."""
-    groups = df.select(key).distinct().withColumn("_h", group_hash(key, seed))
-    ranked = dense_positions(groups, ["_h", key], "_r")
-    n = ranked.count()
-    n_test, n_val = split_sizes(n, train, val, test)
+    """One row per group with its split: groups ordered by md5(seed:key), test first, then val.
+
+    Group counts follow ceil(test * n), then ceil(val / (train + val) * rest), in doubles.
+    """
+    ranked = hash_ranked_groups(df, key, seed)
+    n = F.col("_n").cast("double")
+    n_test = F.ceil(F.lit(float(test)) * n)
+    n_val = F.ceil(F.lit(float(val)) / (F.lit(float(train)) + F.lit(float(val))) * (n - n_test))
     r = F.col("_r")
     return ranked.select(key, F.when(r < n_test, "test").when(r < n_test + n_val, "val").otherwise("train").alias("split"))
 

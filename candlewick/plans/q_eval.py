@@ -177,9 +177,7 @@ def error_histograms(spark, sf_dir):
 def evaluation_table(spark, sf_dir):
     """Baselines and the scored model side by side, with the beats-market verdict."""
     sc = _scored(spark, sf_dir)
-    test = sc.where("split = 'test'")
-    rows = E.baselines(sc.where("split = 'train'"), test).unionByName(
-        E.metrics(test).withColumn("model", F.lit("Ensemble")))
+    rows = E.baselines(sc.where("split = 'train'"), sc.where("split = 'test'"), extra={"Ensemble": "prob"})
     return E.evaluation_table(rows).select("model", "n", "log_loss", "auc", "brier", "beats_market_auc")
 
 

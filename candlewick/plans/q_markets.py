@@ -157,9 +157,7 @@ def candles_from_quotes(spark, sf_dir):
     "AND f.end_period_ts BETWEEN lw.start_ts AND lw.end_ts JOIN mm ON mm.market_id = f.market_id)"))
 def build_all_series(spark, sf_dir):
     """Life window -> candles inside it -> quote candles -> labels."""
-    meta = fixtures.market_meta(spark, sf_dir)
-    samples = meta.select(F.col("ticker").alias("market_id"), "label")
-    return M.build_series(meta, fixtures.quotes(spark, sf_dir), samples)
+    return M.build_series(fixtures.market_meta(spark, sf_dir), fixtures.quotes(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- parse (P*)
