@@ -84,21 +84,27 @@ def pnl_col(prob="prob", close="close", label="label", threshold: float = 0.60,
     return F.when(p > threshold, yes).when(p < 1 - threshold, no).otherwise(F.lit(0.0))
 
 
+def signalled_col(prob="prob", threshold: float = 0.60):
+    p = F.col(prob)
+    return F.coalesce((p > threshold) | (p < 1 - threshold), F.lit(False)).cast("int")
+
+
 def backtest(df: DataFrame, threshold: float = 0.60, stake: float = 1.0, order=("market_id", "ds")) -> DataFrame:
     """Per-row bet PnL and its cumulative sum in (market_id, ds) order."""
-    bets = df.withColumn("pnl", pnl_col(threshold=threshold, stake=stake))
+    bets = df.withColumns({"pnl": pnl_col(threshold=threshold, stake=stake), "signalled": signalled_col(threshold=threshold)})
     return running_sums(bets, list(order), {"cum_pnl": F.col("pnl")})
 
 
 def backtest_summary(bets: DataFrame) -> DataFrame:
-    """Bets placed (pnl <> 0), total PnL, hit rate, PnL per bet."""
+    """Bets placed (pnl <> 0, as the reference counts them), total PnL, hit rate, PnL per bet,
+    and ``n_signals``: rows where a bet was signalled, break-even bets included."""
     placed = F.col("pnl") != 0
     n = F.count_if(placed)
     return bets.agg(
         n.alias("total_bets"), F.sum("pnl").alias("total_pnl"),
         F.coalesce(F.try_divide(F.count_if(placed & (F.col("pnl") > 0)), n), F.lit(0.0)).alias("hit_rate"),
         (F.sum("pnl") / F.greatest(n, F.lit(1))).alias("pnl_per_bet"),
-        F.count(F.lit(1)).alias("n_signals"),
+        F.sum("signalled").alias("n_signals"),
     )
 
 

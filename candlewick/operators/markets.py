@@ -52,6 +52,12 @@ def bounded(df: DataFrame, order, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def paginated(df: DataFrame, order, max_raw: int, page_size: int = 1000) -> DataFrame:
+    """M4 (pull form): pages of ``page_size`` are taken until more than ``max_raw`` items are
+    held, so whole pages up to and including the first one that crosses the limit survive."""
+    return bounded(df, order, (max_raw // page_size + 1) * page_size)
+
+
 def valid_markets(df: DataFrame) -> DataFrame:
     """M5: resolved plain binary markets."""
     cond = (F.col("status").isin(VALID_STATUSES) & (F.col("market_type") == "binary")

@@ -115,10 +115,13 @@ def backtest_pnl(spark, sf_dir):
     "total_bets:i, total_pnl:d, hit_rate:d, pnl_per_bet:d, n_signals:i",
     "(SELECT count_if(pnl <> 0) AS total_bets, sum(pnl) AS total_pnl, "
     "coalesce(count_if(pnl <> 0 AND pnl > 0) / nullif(count_if(pnl <> 0), 0), 0.0) AS hit_rate, "
-    "sum(pnl) / greatest(count_if(pnl <> 0), 1) AS pnl_per_bet, count(*) AS n_signals FROM bets)"))
+    f"sum(pnl) / greatest(count_if(pnl <> 0), 1) AS pnl_per_bet, count_if(prob > {THRESHOLD} OR prob < 1 - {THRESHOLD}::double) "
+    "AS n_signals FROM bets)"))
 def backtest_summary(spark, sf_dir):
     """E4."""
-    return E.backtest_summary(_test(spark, sf_dir).withColumn("pnl", E.pnl_col(threshold=THRESHOLD)))
+    t = _test(spark, sf_dir)
+    return E.backtest_summary(t.withColumns({"pnl": E.pnl_col(threshold=THRESHOLD),
+                                              "signalled": E.signalled_col(threshold=THRESHOLD)}))
 
 
 _FLAGS = ("flg AS (SELECT *, abs(prob - label) AS error, cast(prob >= 0.5 AS int) AS pred, "

@@ -62,6 +62,17 @@ def bounded_pull(spark, sf_dir):
     return M.bounded(_raw(spark, sf_dir), ["src", "seq"], 3001).select("src", "seq", "ticker")
 
 
+@query("paginated_pull", with_ctes("raw_markets") + final_select(
+    "src:i, seq:i, ticker",
+    "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY seq) AS rn FROM raw_markets) WHERE rn <= 4000)"))
+def paginated_pull(spark, sf_dir):
+    """M4 (pull form): each source paged by 1,000 until more than 3,000 are held, then combined."""
+    raw = _raw(spark, sf_dir).select("src", "seq", "ticker")
+    hist = M.paginated(raw.where("src = 0"), ["seq"], 3000, 1000)
+    recent = M.paginated(raw.where("src = 1"), ["seq"], 3000, 1000)
+    return hist.unionByName(recent)
+
+
 @query("filter_valid_markets", with_ctes("qd") + final_select("ticker, status, market_type, result", "qd", "valid"))
 def filter_valid_markets(spark, sf_dir):
     """M5."""

@@ -14,7 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from candlewick.session import build_session
     s = build_session("local[4]", 4, app_name="candlewick-tests",
-                      extra={"spark.checkpoint.dir": os.environ.get("SPARK_CHECKPOINT_DIR")
+                      extra={"spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+           "spark.checkpoint.dir": os.environ.get("SPARK_CHECKPOINT_DIR")
                              or tempfile.mkdtemp(prefix="cw-tests-ckpt-")})
     yield s
     s.stop()

@@ -70,7 +70,7 @@ def test_backtest_rules(spark):
     assert [r.pnl for r in out] == pytest.approx([0.6, 0.4, 0.0, -0.8])
     assert [r.cum_pnl for r in out] == pytest.approx([0.6, 1.0, 1.0, 0.2])
     s = E.backtest_summary(E.backtest(df, 0.6)).first()
-    assert (s.total_bets, s.hit_rate) == (3, pytest.approx(2 / 3))
+    assert (s.total_bets, s.hit_rate, s.n_signals) == (3, pytest.approx(2 / 3), 3)
 
 
 def test_histogram_last_bin_closed(spark):
