@@ -52,7 +52,8 @@ def scaler_from_table(table: DataFrame) -> dict[str, tuple[float, float]]:
 
 # ---------------------------------------------------------------- T2/T3 boosted trees
 def assemble(df: DataFrame, cols: list[str], out: str = FEATURES) -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)
+    """Feature vector of ``cols`` (replacing an existing ``out`` column)."""
+    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df.drop(out))
 
 
 def primary_params(cfg: dict, max_iter: int, seed: int = 42) -> dict:

@@ -34,6 +34,17 @@ def model_frame(spark: SparkSession, sf_dir: str, cfg: PipelineConfig = DEFAULT_
     return model_rows(feature_frame(spark, sf_dir, cfg), cfg)
 
 
+def materialised(df: DataFrame) -> DataFrame:
+    """Write ``df`` once into the shared checkpoint folder and read it from there.
+
+    Used before operators that read their input more than once (group split: distinct
+    groups and the join back), so the per-market windows run a single time.
+    """
+    from candlewick.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def series_summary(rows: DataFrame) -> DataFrame:
     """Per-series label share and mean one-hour momentum (the flagship report)."""
     return rows.groupBy("series_id").agg(

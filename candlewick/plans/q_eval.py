@@ -25,7 +25,7 @@ THRESHOLD = DEFAULT_CONFIG.backtest_threshold
 
 
 def _split(spark, sf_dir):
-    return G.group_split(flows.model_frame(spark, sf_dir))
+    return G.group_split(flows.materialised(flows.model_frame(spark, sf_dir)))
 
 
 def _scored(spark, sf_dir):

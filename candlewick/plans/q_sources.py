@@ -123,9 +123,11 @@ def save_load_model(spark, sf_dir):
     path = scratch_path(spark, "bundle")
     io.save_bundle(path, {"primary": fitted.model}, stats, sp.cols)
     models, stats2, cols2 = io.load_bundle(spark, path)
+    keys = ["market_id", "ds"]
     before = T.predict_prob(fitted.model, T.assemble(T.apply_scaler(sp.test, stats), sp.cols), "p_before")
-    after = T.predict_prob(models["primary"], T.assemble(T.apply_scaler(before, stats2), cols2), "p_after")
-    return after.agg(F.count(F.lit(1)).alias("n_scored"),
+    after = T.predict_prob(models["primary"], T.assemble(T.apply_scaler(sp.test, stats2), cols2), "p_after")
+    both = before.select(*keys, "p_before").join(after.select(*keys, "p_after"), keys)
+    return both.agg(F.count(F.lit(1)).alias("n_scored"),
                      F.max(F.abs(F.col("p_before") - F.col("p_after"))).alias("max_abs_diff"))
 
 

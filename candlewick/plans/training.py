@@ -42,8 +42,8 @@ def make_splits(model_rows: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) ->
     cols = FE.feature_columns(model_rows)
     keep = ["market_id", "series_id", "ds", "label", "close", "hours_to_expiry"] + [c for c in cols if c not in (
         "close", "hours_to_expiry")]
-    rows = G.group_split(model_rows.select(*keep), "series_id", cfg.train_ratio, cfg.val_ratio, cfg.test_ratio, cfg.seed)
-    rows = materialise(rows)
+    rows = materialise(model_rows.select(*keep))  # the feature windows run once
+    rows = G.group_split(rows, "series_id", cfg.train_ratio, cfg.val_ratio, cfg.test_ratio, cfg.seed)
     return Splits(rows, rows.where("split = 'train'"), rows.where("split = 'val'"), rows.where("split = 'test'"), cols)
 
 
