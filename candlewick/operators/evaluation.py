@@ -89,8 +89,10 @@ def signalled_col(prob="prob", threshold: float = 0.60):
     return F.coalesce((p > threshold) | (p < 1 - threshold), F.lit(False)).cast("int")
 
 
-def backtest(df: DataFrame, threshold: float = 0.60, stake: float = 1.0, order=("market_id", "ds")) -> DataFrame:
-    """Per-row bet PnL and its cumulative sum in (market_id, ds) order."""
+def backtest(df: DataFrame, threshold: float = 0.60, stake: float = 1.0, order=("market_id", "ds"),
+             keep=("prob", "close", "label")) -> DataFrame:
+    """Per-row bet PnL and its cumulative sum in (market_id, ds) order (carries ``keep``)."""
+    df = df.select(*order, *[c for c in keep if c not in order])
     bets = df.withColumns({"pnl": pnl_col(threshold=threshold, stake=stake), "signalled": signalled_col(threshold=threshold)})
     return running_sums(bets, list(order), {"cum_pnl": F.col("pnl")})
 

@@ -2,9 +2,9 @@
 
 ``Window.orderBy(...)`` with no partition moves every row into one task.  Instead:
 range-partition on the order key (Spark samples the key, so even one hot key value is
-split by the later order columns), pin the layout with a reliable checkpoint, sum each
-partition, prefix-sum those few totals (one row per partition), broadcast them and add
-them to a running sum inside each partition.
+split by the later order columns), record each row's range id and pin it by writing the
+table to the shared checkpoint folder, sum each range, prefix-sum those few totals (one
+row per range), broadcast them and add them to a running sum inside each range.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.session import checkpoint_root
+from candlewick.session import write_and_read
 
 
 def running_sums(df: DataFrame, order: list, values: dict[str, Column], num_partitions: int | None = None,
@@ -24,11 +24,9 @@ def running_sums(df: DataFrame, order: list, values: dict[str, Column], num_part
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = df.withColumns({f"_v_{k}": v for k, v in values.items()})
-    ranged = staged.repartitionByRange(n, *order)
-    if pin:
-        checkpoint_root(spark)
-        ranged = ranged.checkpoint(eager=True)
-    ranged = ranged.withColumn("_pid", F.spark_partition_id())
+    ranged = staged.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    if pin:  # range ids become data: recomputation can never re-sample different bounds
+        ranged = write_and_read(ranged, "ranges")
     totals = ranged.groupBy("_pid").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values])
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
     offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}")

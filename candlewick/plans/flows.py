@@ -40,9 +40,8 @@ def materialised(df: DataFrame) -> DataFrame:
     Used before operators that read their input more than once (group split: distinct
     groups and the join back), so the per-market windows run a single time.
     """
-    from candlewick.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from candlewick.session import write_and_read
+    return write_and_read(df, "model-rows")
 
 
 def series_summary(rows: DataFrame) -> DataFrame:

@@ -24,8 +24,13 @@ from candlewick.sources import fixtures
 THRESHOLD = DEFAULT_CONFIG.backtest_threshold
 
 
-def _split(spark, sf_dir):
-    return G.group_split(flows.materialised(flows.model_frame(spark, sf_dir)))
+# Columns the split / evaluation queries read; a written table blocks Catalyst's pruning,
+# so the model rows are narrowed before they are materialised.
+EVAL_COLS = ["market_id", "series_id", "ds", "label", "close", "ask_close", "price_mean", "hours_to_expiry"]
+
+
+def _split(spark, sf_dir, cols=EVAL_COLS):
+    return G.group_split(flows.materialised(flows.model_frame(spark, sf_dir).select(*cols)))
 
 
 def _scored(spark, sf_dir):

@@ -17,7 +17,7 @@ from candlewick.operators import evaluation as E
 from candlewick.operators import features as FE
 from candlewick.operators import models as T
 from candlewick.operators import splits as G
-from candlewick.session import checkpoint_root
+from candlewick.session import write_and_read
 
 # Small-round setting used by the registered queries (the library default is 500 / 30).
 QUICK = replace(DEFAULT_CONFIG, max_rounds=8, patience=3, ablation_rounds=6, ablation_patience=2)
@@ -33,9 +33,8 @@ class Splits:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage into a parquet table in the shared checkpoint folder (survives executor loss)."""
+    return write_and_read(df, "training")
 
 
 def make_splits(model_rows: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) -> Splits:

@@ -67,6 +67,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/candlewick/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def write_and_read(df, name: str = "stage"):
+    """Cut lineage through a parquet table in the shared checkpoint folder (columnar, survives
+    executor loss; later reads never recompute the upstream plan)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (only used where Python itself must list files)."""
     return path[len("file:"):] if path.startswith("file:") else path
