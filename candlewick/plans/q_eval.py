@@ -16,7 +16,7 @@ from candlewick.operators import candles as C
 from candlewick.operators import features as FE
 from candlewick.plans import flows
 from candlewick.plans.oracle import (
-    EPS, clipped_cte, features_cte, final_select, metrics_sql, round_half_up, with_ctes,
+    clipped_cte, features_cte, final_select, metrics_sql, round_half_up, with_ctes,
 )
 from candlewick.plans.registry import query
 from candlewick.sources import fixtures

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from candlewick.plans import flows
 from candlewick.plans.oracle import final_select, with_ctes
 from candlewick.plans.registry import query

@@ -2,8 +2,10 @@
 
 Hours to expiry depends on a market's latest candle, so one new candle changes all of
 that market's features: each micro-batch appends its candles to the store, re-reads the
-full history of the touched markets only (semi join) and rescores them.  The result
-table keeps the newest score per market.
+full history of the touched markets only and rescores them.  The store is partitioned by
+a hash bucket of the market, and the history read joins on (bucket, market), so dynamic
+partition pruning limits each batch to the buckets it touched instead of the whole
+store.  The result table keeps the newest score per market.
 """
 
 from __future__ import annotations
@@ -14,14 +16,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+STORE_BUCKETS = 64
+
+
+def market_bucket(key: str = "market_id", buckets: int = STORE_BUCKETS):
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
 def run_stream_scoring(spark: SparkSession, landing: str, store: str, scores: str, checkpoint: str,
-                       score_fn: Callable[[DataFrame], DataFrame], schema) -> None:
+                       score_fn: Callable[[DataFrame], DataFrame], schema, buckets: int = STORE_BUCKETS) -> None:
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").parquet(store)
-        touched = batch.select("market_id").distinct()
-        history = spark.read.schema(schema).parquet(store).join(touched, "market_id", "left_semi")
+        staged = batch.withColumn("mbucket", market_bucket(buckets=buckets))
+        staged.write.mode("append").partitionBy("mbucket").parquet(store)
+        touched = staged.select("mbucket", "market_id").distinct()
+        history = spark.read.parquet(store).join(touched, ["mbucket", "market_id"], "left_semi").drop("mbucket")
         score_fn(history).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(scores)
 
     q = (src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
