@@ -251,11 +251,12 @@ def preprocessing_evidence(spark, sf_dir):
         ("No >6h filter", model_rows(prepared(flat), min_hours=False)),
         ("With >6h filter", model_rows(prepared(flat))),
     ]
-    out = []
-    for name, rows in variants:
+    def one(variant):
+        name, rows = variant
         sp = training.make_splits(rows, Q)
         _, tr, (va, te) = training.scaled(sp.train, [sp.val, sp.test], sp.cols)
         fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience)
         m = E.metrics(T.predict_prob(fitted.model, te)).first()
-        out.append((name, sp.rows.count(), bool(math.isfinite(m["log_loss"]))))
+        return name, sp.rows.count(), bool(math.isfinite(m["log_loss"]))
+    out = training.run_parallel(one, variants)
     return spark.createDataFrame(out, "variant string, n_rows long, valid boolean")

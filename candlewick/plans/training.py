@@ -7,6 +7,7 @@ Spark job; only metric numbers come back.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -53,6 +54,18 @@ def scaled(train: DataFrame, others: list[DataFrame], cols: list[str], scale: bo
     return stats, prep(train), [prep(o) for o in others]
 
 
+FIT_PARALLELISM = 3  # independent fits submitted as concurrent Spark jobs
+
+
+def run_parallel(fn, items, workers: int = FIT_PARALLELISM) -> list:
+    """Apply ``fn`` to ``items`` from a small thread pool (Spark schedules jobs from several
+    threads side by side); results keep the order of ``items``."""
+    if workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return list(pool.map(fn, items))
+
+
 def fit_and_score(train, val, params, patience):
     fitted = T.fit_gbt(train, val, params, patience)
     return fitted, T.predict_prob(fitted.model, val)
@@ -61,29 +74,30 @@ def fit_and_score(train, val, params, patience):
 def search_holdout(sp: Splits, cfg: PipelineConfig = QUICK, configs=None) -> list[dict]:
     """T5: each config trained on train, early-stopped and scored on val."""
     _, tr, (va,) = scaled(sp.train, [sp.val], sp.cols)
-    out = []
-    for name, c in (configs or HYPERPARAM_CONFIGS).items():
+
+    def one(item):
+        name, c = item
         fitted, scored = fit_and_score(tr, va, T.primary_params(c, cfg.max_rounds, cfg.seed), cfg.patience)
         m = E.metrics(scored).first()
-        out.append(dict(config=name, log_loss=m["log_loss"], auc=m["auc"], brier=m["brier"], best_iter=fitted.best_iter,
-                        train_curve=fitted.train_curve, val_curve=fitted.val_curve))
-    return out
+        return dict(config=name, log_loss=m["log_loss"], auc=m["auc"], brier=m["brier"], best_iter=fitted.best_iter,
+                    train_curve=fitted.train_curve, val_curve=fitted.val_curve)
+    return run_parallel(one, list((configs or HYPERPARAM_CONFIGS).items()))
 
 
 def search_cv(sp: Splits, cfg: PipelineConfig = QUICK, configs=None) -> list[dict]:
     """Configs x group folds of train+val, scaler fitted per fold."""
     dev = G.group_folds(G.dev_union(sp.rows), "series_id", cfg.n_folds)
     dev = materialise(dev)
-    rows = []
-    for name, c in (configs or HYPERPARAM_CONFIGS).items():
-        for k in range(cfg.n_folds):
-            _, tr, (va,) = scaled(dev.where(F.col("fold") != k), [dev.where(F.col("fold") == k)], sp.cols)
-            fitted, scored = fit_and_score(tr, va, T.primary_params(c, cfg.max_rounds, cfg.seed), cfg.patience)
-            m = E.metrics(scored).first()
-            b = fitted.best_iter - 1
-            rows.append(dict(config=name, fold=k, val_loss=m["log_loss"], train_loss=fitted.train_curve[b],
-                             auc=m["auc"], brier=m["brier"], best_iter=fitted.best_iter))
-    return rows
+    def one(item):
+        (name, c), k = item
+        _, tr, (va,) = scaled(dev.where(F.col("fold") != k), [dev.where(F.col("fold") == k)], sp.cols)
+        fitted, scored = fit_and_score(tr, va, T.primary_params(c, cfg.max_rounds, cfg.seed), cfg.patience)
+        m = E.metrics(scored).first()
+        b = fitted.best_iter - 1
+        return dict(config=name, fold=k, val_loss=m["log_loss"], train_loss=fitted.train_curve[b],
+                    auc=m["auc"], brier=m["brier"], best_iter=fitted.best_iter)
+    items = [(c, k) for c in (configs or HYPERPARAM_CONFIGS).items() for k in range(cfg.n_folds)]
+    return run_parallel(one, items)
 
 
 def ablation(sp: Splits, cfg: PipelineConfig = QUICK) -> list[dict]:
@@ -95,15 +109,15 @@ def ablation(sp: Splits, cfg: PipelineConfig = QUICK) -> list[dict]:
         _, scored = fit_and_score(tr, va, params, cfg.ablation_patience)
         return E.metrics(scored).first()["log_loss"]
 
-    base = val_loss(sp.cols)
-    rows = [dict(ablation="Full model (all features + scaler)", val_loss=base, delta=0.0)]
+    variants = [("Full model (all features + scaler)", sp.cols, True)]
     for grp, gcols in FEATURE_GROUPS.items():
         kept = [c for c in sp.cols if c not in gcols]
         if kept:
-            v = val_loss(kept)
-            rows.append(dict(ablation=f"Remove '{grp}'", val_loss=v, delta=v - base))
-    v = val_loss(sp.cols, scale=False)
-    rows.append(dict(ablation="No StandardScaler", val_loss=v, delta=v - base))
+            variants.append((f"Remove '{grp}'", kept, True))
+    variants.append(("No StandardScaler", sp.cols, False))
+    losses = run_parallel(lambda v: val_loss(v[1], v[2]), variants)
+    base = losses[0]
+    rows = [dict(ablation=name, val_loss=v, delta=v - base) for (name, _, _), v in zip(variants, losses)]
     return sorted(rows, key=lambda r: r["delta"])
 
 
@@ -135,7 +149,8 @@ def train_pipeline(sp: Splits, cfg: PipelineConfig = QUICK) -> dict:
     selected = [r["feature"] for r in T.select_features(imp, cfg.feature_selection_threshold).where("kept").collect()]
     selected = selected or sp.cols
     stats, tr_s, (va_s, te_s) = scaled(sp.train, [sp.val, sp.test], selected)
-    m1 = T.fit_gbt(tr_s, va_s, T.primary_params(best_cfg, cfg.max_rounds, cfg.seed), cfg.patience)
-    m2 = T.fit_gbt(tr_s, va_s, T.secondary_params(cfg.max_rounds, cfg.seed + 1), cfg.patience)
+    m1, m2 = run_parallel(lambda p: T.fit_gbt(tr_s, va_s, p, cfg.patience),
+                          [T.primary_params(best_cfg, cfg.max_rounds, cfg.seed),
+                           T.secondary_params(cfg.max_rounds, cfg.seed + 1)])
     test_scored = T.ensemble(T.predict_prob(m2.model, T.predict_prob(m1.model, te_s, "p1"), "p2"))
     return dict(best_config=best, selected=selected, stats=stats, primary=m1, secondary=m2, test_scored=test_scored)
