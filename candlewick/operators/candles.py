@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.config import SENTINEL
-from candlewick.operators.windows import KEY, w_all, w_ordered
+from candlewick.operators.windows import KEY, w_all, w_ordered, w_running
 
 MISSING_FLAG_SOURCES = ["price_mean", "bid_close", "ask_close"]
 CLIP_COLUMNS = ["volume", "open_interest"]
@@ -32,14 +32,16 @@ def missing_flags(df: DataFrame, cols=None) -> DataFrame:
 
 
 def clip_quantile(df: DataFrame, cols=None, key: str = KEY, q: float = 0.99,
-                  approx: bool = False, order: str = "ds") -> DataFrame:
+                  approx: bool = False, order: str = "ds", expanding: bool = False) -> DataFrame:
     """Cap each column at its market's own ``q`` quantile (linear interpolation).
 
-    The per-market frame is bounded by the market's hourly lifetime.  ``approx=True``
-    switches to ``percentile_approx`` for very long-lived markets.
+    The default uses the whole market (as the reference does, a look-ahead in training);
+    ``expanding=True`` caps each candle at the quantile of the candles up to it.  The
+    per-market frame is bounded by the market's hourly lifetime; ``approx=True`` switches
+    to ``percentile_approx`` for very long-lived markets.
     """
     cols = [c for c in (cols or CLIP_COLUMNS) if c in df.columns]
-    w = w_all(df, key, order)
+    w = w_running(df, key, order) if expanding else w_all(df, key, order)
     out = {}
     for c in cols:
         cap = (F.percentile_approx(c, q, 10000) if approx else F.percentile(c, q)).over(w)

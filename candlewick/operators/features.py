@@ -61,10 +61,11 @@ def feat_volume(df: DataFrame, key: str = KEY) -> DataFrame:
     })
 
 
-def feat_time(df: DataFrame, key: str = KEY) -> DataFrame:
-    """expiry proxy = last candle time of the (already trimmed) market."""
+def feat_time(df: DataFrame, key: str = KEY, expiry: str | None = None) -> DataFrame:
+    """expiry = last candle time of the (already trimmed) market (the default, which looks
+    ahead in training), or the market's own close time held in column ``expiry``."""
     w = w_ordered(df, key)
-    end = F.max("ds").over(w_all(df, key))
+    end = F.max("ds").over(w_all(df, key)) if expiry is None else F.col(expiry).cast("timestamp")
     df = df.withColumn("market_end_ts", end).withColumn(
         "hours_to_expiry",
         (F.unix_micros(c("market_end_ts").cast("timestamp")) - F.unix_micros(c("ds").cast("timestamp"))) / 3.6e9)
@@ -106,13 +107,13 @@ def ensure_flag_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
-def engineer_features(df: DataFrame, key: str = KEY) -> DataFrame:
-    """F1-F9 in reference order."""
+def engineer_features(df: DataFrame, key: str = KEY, expiry: str | None = None) -> DataFrame:
+    """F1-F9 in reference order (``expiry``: see ``feat_time``)."""
     df = feat_microstructure(df)
     df = feat_lags(df, key)
     df = feat_momentum(df, key)
     df = feat_volume(df, key)
-    df = feat_time(df, key)
+    df = feat_time(df, key, expiry)
     df = feat_rolling(df, key)
     df = feat_level(df, key)
     df = feat_running_std(df, key)

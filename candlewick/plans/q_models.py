@@ -211,6 +211,26 @@ def train_and_evaluate(spark, sf_dir):
                                   F.lit(len(res["selected"]) > 0).alias("has_features"))
 
 
+@query("score_live_model", with_ctes("flat") + final_select(
+    "market_id, candles_seen:i, all_probs_in_unit:b",
+    "(SELECT market_id, count(*) AS candles_seen, true AS all_probs_in_unit FROM flat GROUP BY market_id)"))
+def score_live_model(spark, sf_dir):
+    """I1 + I2 with a trained, saved and reloaded primary + secondary bundle: every market scored."""
+    from candlewick.session import scratch_path
+    from candlewick.sources import fixtures, io
+    sp = _splits(spark, sf_dir)
+    stats, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
+    m1, m2 = training.run_parallel(lambda p: T.fit_gbt(tr, va, p, Q.patience),
+                                   [T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed),
+                                    T.secondary_params(Q.max_rounds, Q.seed + 1)])
+    path = scratch_path(spark, "live-bundle")
+    io.save_bundle(path, {"primary": m1.model, "secondary": m2.model}, stats, sp.cols)
+    models, stats2, cols = io.load_bundle(spark, path)
+    scored = training.score_with_models(fixtures.candle_flat(spark, sf_dir), models, stats2, cols)
+    unit = F.forall("all_probs", lambda p: (p >= 0) & (p <= 1)) & (F.col("current_prob") >= 0) & (F.col("current_prob") <= 1)
+    return scored.select("market_id", "candles_seen", unit.alias("all_probs_in_unit"))
+
+
 _ABL = ["Full model (all features + scaler)"] + [f"Remove '{g}'" for g in FEATURE_GROUPS] + ["No StandardScaler"]
 
 

@@ -137,6 +137,23 @@ def attribution(model, val: DataFrame, cols: list[str], k: int = 5) -> DataFrame
         F.desc("importance"), "feature").limit(k)
 
 
+def score_with_models(candles: DataFrame, models: dict, stats: dict, cols: list[str],
+                      weight: float | None = None) -> DataFrame:
+    """I1 with trained models: C4 -> F1-F9 (no resolution-candle drop) -> sentinel fill ->
+    saved scaler -> primary / secondary ensemble -> one row per market."""
+    from candlewick.operators import candles as C
+    from candlewick.operators import scoring as SC
+    from candlewick.config import ENSEMBLE_PRIMARY_WEIGHT
+    feat = FE.engineer_features(C.preprocess(candles))
+    x = T.assemble(T.apply_scaler(feat, {c: stats[c] for c in cols}), cols)
+    if "secondary" in models:
+        x = T.predict_prob(models["secondary"], T.predict_prob(models["primary"], x, "p1"), "p2")
+        x = T.ensemble(x, "p1", "p2", ENSEMBLE_PRIMARY_WEIGHT if weight is None else weight)
+    else:
+        x = T.predict_prob(models["primary"], x)
+    return SC.with_signal(SC.score_markets(x))
+
+
 def train_pipeline(sp: Splits, cfg: PipelineConfig = QUICK) -> dict:
     """CV search -> probe model -> selection -> final primary + secondary -> ensemble on test."""
     cv = search_cv(sp, cfg)

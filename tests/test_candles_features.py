@@ -123,3 +123,19 @@ def test_one_exchange_one_sort_for_the_feature_block(spark):
     plan = FE.engineer_features(C.preprocess(C.drop_last(df)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+
+
+def test_expiry_from_close_time_option(spark):
+    rows = [candle("A-1", h, 0.5) for h in range(3)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("close_time", F.lit("2024-01-01 10:00:00").cast("timestamp"))
+    out = FE.engineer_features(C.preprocess(df), expiry="close_time").orderBy("ds").collect()
+    assert [r.hours_to_expiry for r in out] == [10.0, 9.0, 8.0]
+
+
+def test_expanding_clip_matches_pandas(spark):
+    rng = random.Random(4)
+    rows = _random_market(rng, "A-1", 15)
+    got = C.clip_quantile(spark.createDataFrame(rows, SCHEMA), expanding=True).orderBy("ds").toPandas()
+    vol = pd.Series([r[7] for r in rows], dtype=float)
+    want = vol.clip(upper=vol.expanding().quantile(0.99))
+    assert np.allclose(got["volume"].to_numpy(), want.to_numpy())

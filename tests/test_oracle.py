@@ -16,7 +16,7 @@ from conftest import SF_SMALL
 
 SLOW = {"gbt_primary", "gbt_secondary", "hparam_search_holdout", "hparam_search_cv", "training_curves",
         "feature_importance_topk", "train_and_evaluate", "ablation_table", "attribution_topk",
-        "preprocessing_evidence", "save_load_model"}
+        "preprocessing_evidence", "save_load_model", "score_live_model"}
 NAMES = [n for n in entry.oracle_sql() if os.environ.get("CW_ORACLE_ALL") or n not in SLOW]
 
 
