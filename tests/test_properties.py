@@ -63,3 +63,19 @@ def test_sample_builder_keeps_cap_plus_one(spark):
     out = M.market_samples(d, ["urgent"], max_samples=10).collect()
     assert len(out) == 11 and {r.market_id for r in out} == {f"T{i}" for i in range(11)}
     assert out[0].rag_query == "urgent" and out[0].volume_history == [1.0] and out[0].label == 1.0
+
+
+def test_flagship_scan_is_pruned_and_single_sorted(spark):
+    import re
+
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    df = entry.queries()["series_label_momentum"](spark, SF_SMALL)
+    text = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert len(schemas) == 1
+    cols = {c.split(":")[0] for c in schemas[0].split(",")}
+    assert cols == {"ts", "user_id", "event_type", "value"}          # props / event_id never read
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and "Python" not in plan
