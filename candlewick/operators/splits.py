@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.operators.ordered import dense_positions
+from candlewick.session import write_and_read
 
 
 def group_hash(key: str, seed: int):
@@ -58,9 +59,16 @@ def assign_groups(df: DataFrame, key: str = "series_id", train: float = 0.70, va
 
 
 def group_split(df: DataFrame, key: str = "series_id", train: float = 0.70, val: float = 0.15,
-                test: float = 0.15, seed: int = 42) -> DataFrame:
-    """G1: adds ``split`` so that no group straddles two splits."""
-    return df.join(assign_groups(df, key, train, val, test, seed), key)
+                test: float = 0.15, seed: int = 42, pin: bool = False) -> DataFrame:
+    """G1: adds ``split`` so that no group straddles two splits.
+
+    ``pin=True`` writes the assignment (one row per group) to the shared checkpoint folder,
+    so a plan that reads the split several times does not recompute the ranking each time.
+    """
+    assignment = assign_groups(df, key, train, val, test, seed)
+    if pin:
+        assignment = write_and_read(assignment, "split-assignment")
+    return df.join(assignment, key)
 
 
 def split_summary(df: DataFrame) -> DataFrame:
@@ -84,9 +92,12 @@ def assign_folds(df: DataFrame, key: str = "series_id", n_folds: int = 5) -> Dat
     return ranked.select(key, "n_rows", fold_of_rank(F.col("_r"), n_folds).cast("int").alias("fold"))
 
 
-def group_folds(df: DataFrame, key: str = "series_id", n_folds: int = 5) -> DataFrame:
-    """Adds ``fold``; no group straddles two folds."""
-    return df.join(assign_folds(df, key, n_folds).select(key, "fold"), key)
+def group_folds(df: DataFrame, key: str = "series_id", n_folds: int = 5, pin: bool = False) -> DataFrame:
+    """Adds ``fold``; no group straddles two folds (``pin`` as in ``group_split``)."""
+    assignment = assign_folds(df, key, n_folds).select(key, "fold")
+    if pin:
+        assignment = write_and_read(assignment, "fold-assignment")
+    return df.join(assignment, key)
 
 
 def dev_union(df: DataFrame) -> DataFrame:

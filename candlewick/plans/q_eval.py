@@ -30,7 +30,7 @@ EVAL_COLS = ["market_id", "series_id", "ds", "label", "close", "ask_close", "pri
 
 
 def _split(spark, sf_dir, cols=EVAL_COLS):
-    return G.group_split(flows.materialised(flows.model_frame(spark, sf_dir).select(*cols)))
+    return G.group_split(flows.materialised(flows.model_frame(spark, sf_dir).select(*cols)), pin=True)
 
 
 def _scored(spark, sf_dir):

@@ -143,7 +143,7 @@ _CV_FM = f"""fm AS (
 def cv_summary(spark, sf_dir):
     """T6 aggregation: per-config mean / std over fold metrics (here of two model-free scores)."""
     from candlewick.plans.q_eval import _scored
-    dev = G.group_folds(G.dev_union(_scored(spark, sf_dir)), "series_id", 5)
+    dev = G.group_folds(G.dev_union(_scored(spark, sf_dir)), "series_id", 5, pin=True)
     both = dev.withColumn("config", F.explode(F.array(F.lit("surrogate"), F.lit("market")))).withColumn(
         "score", F.when(F.col("config") == "surrogate", F.col("prob")).otherwise(E.clip_unit("close")))
     per = E.metrics(both, "score", "label", by=["config", "fold"])

@@ -43,7 +43,7 @@ def make_splits(model_rows: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) ->
     keep = ["market_id", "series_id", "ds", "label", "close", "hours_to_expiry"] + [c for c in cols if c not in (
         "close", "hours_to_expiry")]
     rows = materialise(model_rows.select(*keep))  # the feature windows run once
-    rows = G.group_split(rows, "series_id", cfg.train_ratio, cfg.val_ratio, cfg.test_ratio, cfg.seed)
+    rows = G.group_split(rows, "series_id", cfg.train_ratio, cfg.val_ratio, cfg.test_ratio, cfg.seed, pin=True)
     return Splits(rows, rows.where("split = 'train'"), rows.where("split = 'val'"), rows.where("split = 'test'"), cols)
 
 
@@ -86,8 +86,7 @@ def search_holdout(sp: Splits, cfg: PipelineConfig = QUICK, configs=None) -> lis
 
 def search_cv(sp: Splits, cfg: PipelineConfig = QUICK, configs=None) -> list[dict]:
     """Configs x group folds of train+val, scaler fitted per fold."""
-    dev = G.group_folds(G.dev_union(sp.rows), "series_id", cfg.n_folds)
-    dev = materialise(dev)
+    dev = G.group_folds(G.dev_union(sp.rows), "series_id", cfg.n_folds, pin=True)
     def one(item):
         (name, c), k = item
         _, tr, (va,) = scaled(dev.where(F.col("fold") != k), [dev.where(F.col("fold") == k)], sp.cols)
