@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from candlewick.config import PRIMARY_MODEL
+from candlewick.functions.columns import to_float, zero_default
 from candlewick.operators import candles as C
 from candlewick.operators import features as FE
 from candlewick.operators import models as T
@@ -26,7 +27,7 @@ MARKET_COLS = ["ticker", "event_ticker", "status", "market_type", "result", "yes
 
 @query("read_market_timeseries", with_ctes("flat") + final_select(FLAT_SPEC, "flat"))
 def read_market_timeseries(spark, sf_dir):
-    """Candle documents (one per series) written twice, the later folder carrying the
+    """Candle documents (one per market) written twice, the later folder carrying the
     true values; reading the folders merges per market with the later file winning."""
     flat = fixtures.candle_flat(spark, sf_dir)
     root = scratch_path(spark, "timeseries")
@@ -79,7 +80,6 @@ def normalise_live_candles(spark, sf_dir):
         F.struct(t("price_mean").alias("mean")).alias("price"),
         t("volume").alias("volume"), t("open_interest").alias("open_interest"))
     n = live.normalise_candles(live_rows)
-    from candlewick.functions.columns import to_float, zero_default
     return n.select("market_id", "ds", "close", "high", "low",
                     to_float("yes_bid.close_dollars").alias("bid_close"),
                     to_float("price.mean_dollars").alias("price_mean"),
@@ -90,7 +90,7 @@ def normalise_live_candles(spark, sf_dir):
     "market_id, n_candles:i, first_ds:t, last_ds:t",
     "(SELECT market_id, count(*) AS n_candles, min(ds) AS first_ds, max(ds) AS last_ds FROM flat GROUP BY market_id)"))
 def save_timeseries(spark, sf_dir):
-    """Per-market candle lists written as one document per series, then read back."""
+    """Per-market candle lists written as JSON documents (one per market), then read back."""
     path = scratch_path(spark, "series")
     io.write_table(nested.to_documents(nested.nest_candles(fixtures.candle_flat(spark, sf_dir))).select("value"),
                    path, "text")

@@ -1,8 +1,9 @@
-"""The training flow (T5-T10, E9-E11): split once, materialise once, then fit on MLlib.
+"""The training flow (T5-T10, E9-E11): materialise once, split once, then fit on MLlib.
 
-Every fit reads the same checkpointed split frame, so the feature windows run once.
-Fold and config loops run on the driver, but each step inside them is a distributed
-Spark job; only metric numbers come back.
+The model rows are written once to the shared checkpoint folder and the split / fold
+assignments (one row per series) once more; every fit reads those tables, so the
+feature windows run a single time.  Fold and config loops run on the driver, but each
+step inside them is a distributed Spark job; only metric numbers come back.
 """
 
 from __future__ import annotations
