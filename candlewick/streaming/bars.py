@@ -1,8 +1,9 @@
 """L1: ticks -> 60-minute bars, in batch and as a Structured Streaming query.
 
 The stream runs in update mode (append mode never emits bars beyond the final
-watermark); every micro-batch lands its updated bars with the batch id, and the
-read side keeps the latest version of each (market, hour).
+watermark); every micro-batch lands its updated bars in its own ``batch_id=N`` folder
+(overwritten if the batch is replayed after a failure, so delivery is idempotent), and
+the read side keeps the latest version of each (market, hour).
 """
 
 from __future__ import annotations
@@ -45,14 +46,18 @@ def stream_bars(spark: SparkSession, folder: str, out_path: str, checkpoint: str
     bars = t.groupBy("market_id", F.window("ts", "60 minutes").alias("w")).agg(*bar_aggregates()) \
         .select("market_id", F.col("w.start").alias("ds"), "open", "high", "low", "close", "mean_px", "volume", "n_ticks")
 
-    def land(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path)
-
     q = (bars.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(land).trigger(availableNow=True).start())
+         .foreachBatch(batch_lander(out_path)).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def batch_lander(out_path: str):
+    """foreachBatch handler: each micro-batch overwrites its own ``batch_id=N`` folder."""
+    def land(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+    return land
+
+
 def latest_bars(spark: SparkSession, out_path: str) -> DataFrame:
     """The newest version of every bar landed by ``stream_bars``."""
     landed = spark.read.parquet(out_path)

@@ -28,11 +28,13 @@ def run_stream_scoring(spark: SparkSession, landing: str, store: str, scores: st
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        # Each batch owns its folders and overwrites them: a replayed batch replaces, never duplicates.
         staged = batch.withColumn("mbucket", market_bucket(buckets=buckets))
-        staged.write.mode("append").partitionBy("mbucket").parquet(store)
+        staged.write.mode("overwrite").partitionBy("mbucket").parquet(f"{store}/batch_id={batch_id}")
         touched = staged.select("mbucket", "market_id").distinct()
-        history = spark.read.parquet(store).join(touched, ["mbucket", "market_id"], "left_semi").drop("mbucket")
-        score_fn(history).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(scores)
+        history = spark.read.parquet(store).join(touched, ["mbucket", "market_id"], "left_semi") \
+            .drop("mbucket", "batch_id")
+        score_fn(history).write.mode("overwrite").parquet(f"{scores}/batch_id={batch_id}")
 
     q = (src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
          .trigger(availableNow=True).start())
