@@ -47,7 +47,7 @@ def scaler_table(spark, stats: dict[str, tuple[float, float]]) -> DataFrame:
 
 
 def scaler_from_table(table: DataFrame) -> dict[str, tuple[float, float]]:
-    return {r["feature"]: (r["mean"], r["std"]) for r in table.collect()}
+    return {r["feature"]: (r["mean"], r["std"]) for r in table.collect()}  # one row per feature
 
 
 # ---------------------------------------------------------------- T2/T3 boosted trees

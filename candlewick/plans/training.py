@@ -163,7 +163,8 @@ def train_pipeline(sp: Splits, cfg: PipelineConfig = QUICK) -> dict:
     _, tr, (va,) = scaled(sp.train, [sp.val], sp.cols)
     probe = T.fit_gbt(tr, va, T.primary_params(best_cfg, cfg.max_rounds, cfg.seed), cfg.patience)
     imp = T.importance_table(sp.rows.sparkSession, probe.model, sp.cols)
-    selected = [r["feature"] for r in T.select_features(imp, cfg.feature_selection_threshold).where("kept").collect()]
+    kept = T.select_features(imp, cfg.feature_selection_threshold).where("kept")
+    selected = [r["feature"] for r in kept.collect()]  # model metadata: at most one row per feature
     selected = selected or sp.cols
     stats, tr_s, (va_s, te_s) = scaled(sp.train, [sp.val, sp.test], selected)
     m1, m2 = run_parallel(lambda p: T.fit_gbt(tr_s, va_s, p, cfg.patience),
