@@ -36,12 +36,16 @@ def to_float(c, source_type: str = "string") -> Column:
     c = col_of(c)
     if source_type != "string":
         return nan_to_null(c.cast("double"))
-    s = F.regexp_replace(F.trim(c), r"(?<=[0-9])_(?=[0-9])", "")
+    t = F.trim(c)
+    # Fast path: text made only of digits, sign, point and exponent parses the same way in
+    # Spark and in Python, so a plain try_cast suffices (no regex for ordinary numbers).
+    plain = F.translate(t, "0123456789+-.eE", "") == ""
+    s = F.regexp_replace(t, r"(?<=[0-9])_(?=[0-9])", "")
     low = F.lower(s)
-    parsed = (F.when(s.rlike(_NUMBER_RE), s.try_cast("double"))
-              .when(low.rlike(_INF_RE),
-                    F.when(low.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))))
-    return parsed.cast("double")
+    careful = (F.when(s.rlike(_NUMBER_RE), s.try_cast("double"))
+               .when(low.rlike(_INF_RE),
+                     F.when(low.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))))
+    return F.when(plain, t.try_cast("double")).otherwise(careful).cast("double")
 
 
 def zero_default(c, source_type: str = "string") -> Column:

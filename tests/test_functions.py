@@ -65,3 +65,19 @@ def test_signal_and_edge(spark):
 def test_clip_unit_keeps_null(spark):
     df = spark.createDataFrame([(None,), (0.0,), (2.0,), (0.5,)], "x double")
     assert [r[0] for r in df.select(FN.clip_unit("x")).collect()] == [None, 0.01, 0.99, 0.5]
+
+
+def test_to_float_agrees_with_python_on_tricky_text(spark):
+    corpus = ["1__0", "_1", "1E+05", "+.5", "5.", ".", "+", "-", "e5", "1e", "1e5.5", "1.2.3", "--1", "+-1", "   ",
+              "NaN", "-inf", "Infinity", "infinity", "1.5f", "2D", "0x1p3", "1,5", "0.4500", "1.0E-4", "00012", "-0",
+              "1e308", "1e309", "4.9e-324"]
+
+    def py(x):
+        try:
+            v = float(x)
+        except ValueError:
+            return None
+        return None if math.isnan(v) else v
+    df = spark.createDataFrame([(x,) for x in corpus], "x string")
+    got = [r[0] for r in df.select(FN.to_float("x")).collect()]
+    assert got == [py(x) for x in corpus]
