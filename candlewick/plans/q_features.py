@@ -168,3 +168,13 @@ def ensure_flag_columns_absent(spark, sf_dir):
     """F9 when C2 did not run: the flag columns are added as 0."""
     return FE.engineer_features(_trimmed(spark, sf_dir)).select(
         "market_id", "ds", *[f"{c}_missing" for c in C.MISSING_FLAG_SOURCES])
+
+
+@query("feature_table_chunked", with_ctes("model") + final_select(
+    _spec(ALL_FEATURE_COLS, "market_id, series_id, ds:t, label:d"), "model"))
+def feature_table_chunked(spark, sf_dir):
+    """F10 through the skew-safe block (row chunks of 8 with halos, 24-hour time chunks):
+    every task is bounded however many candles one market holds; equal to ``feature_table``."""
+    from candlewick.operators.chunked import prepared_chunked
+    block = prepared_chunked(fixtures.candle_flat(spark, sf_dir), row_chunk=8, time_chunk_hours=24)
+    return FE.feature_table(flows.model_rows(block))

@@ -139,3 +139,22 @@ def test_expanding_clip_matches_pandas(spark):
     vol = pd.Series([r[7] for r in rows], dtype=float)
     want = vol.clip(upper=vol.expanding().quantile(0.99))
     assert np.allclose(got["volume"].to_numpy(), want.to_numpy())
+
+
+@pytest.mark.parametrize("row_chunk,hours", [(4, 2), (5, 3), (512, 720)])
+def test_chunked_block_equals_default(spark, row_chunk, hours):
+    from candlewick.operators.chunked import prepared_chunked
+    rng = random.Random(row_chunk)
+    rows = _random_market(rng, "HOT-1", 40)           # one long market spanning many chunks
+    for i in range(5):
+        rows += _random_market(rng, f"M{i}-x", rng.randint(1, 9))
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = FE.engineer_features(C.preprocess(C.drop_last(df))).toPandas().sort_values(["market_id", "ds"])
+    got = prepared_chunked(df, row_chunk=row_chunk, time_chunk_hours=hours).toPandas().sort_values(["market_id", "ds"])
+    assert len(got) == len(want)
+    for col in want.columns:
+        a, b = got[col].reset_index(drop=True), want[col].reset_index(drop=True)
+        if a.dtype.kind in "fiu" or b.dtype.kind in "fiu":
+            assert np.allclose(a.astype(float), b.astype(float), equal_nan=True, atol=1e-9), col
+        else:
+            assert (a == b).all(), col
