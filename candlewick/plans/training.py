@@ -55,7 +55,7 @@ def scaled(train: DataFrame, others: list[DataFrame], cols: list[str], scale: bo
     return stats, prep(train), [prep(o) for o in others]
 
 
-FIT_PARALLELISM = 3  # independent fits submitted as concurrent Spark jobs
+FIT_PARALLELISM = 5  # independent fits submitted as concurrent Spark jobs
 
 
 def run_parallel(fn, items, workers: int = FIT_PARALLELISM) -> list:
