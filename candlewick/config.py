@@ -133,6 +133,7 @@ class PipelineConfig:
     ablation_rounds: int = 200
     ablation_patience: int = 20
     lookback_days: int = 100
+    skew_safe: bool = False          # per-market block on bounded row chunks (see operators/chunked.py)
     keywords: tuple[str, ...] = field(default_factory=lambda: tuple(POLITICAL_KEYWORDS))
 
 

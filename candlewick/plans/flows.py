@@ -13,7 +13,14 @@ from candlewick.sources import fixtures
 
 def prepared(flat: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, clip: bool = True, flags: bool = True,
              drop_resolution: bool = True) -> DataFrame:
-    """C1 -> C4 (or C5/C6) -> F1-F9, before the expiry filter."""
+    """C1 -> C4 (or C5/C6) -> F1-F9, before the expiry filter.
+
+    With ``cfg.skew_safe`` the full C1 -> C4 -> F block runs on bounded row chunks instead
+    of one window partition per market (same results).
+    """
+    if cfg.skew_safe and clip and flags and drop_resolution:
+        from candlewick.operators.chunked import prepared_chunked
+        return prepared_chunked(flat, q=cfg.clip_quantile)
     df = C.drop_last(flat) if drop_resolution else flat
     df = C.preprocess(df, clip=clip, flags=flags, q=cfg.clip_quantile)
     return FE.engineer_features(df)
