@@ -121,3 +121,19 @@ def test_split_independent_of_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert a == b
+
+
+def test_score_markets_with_and_without_history(spark):
+    import datetime as dt
+
+    from candlewick.operators import scoring as SC
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("A", t0 + dt.timedelta(hours=h), p, 5.0 - h) for h, p in enumerate([0.123449, 0.5, 0.87654])] + \
+           [("B", t0, 0.2, 0.0)]
+    df = spark.createDataFrame(rows, "market_id string, ds timestamp, prob double, hours_to_expiry double")
+    full = {r.market_id: r for r in SC.with_signal(SC.score_markets(df)).collect()}
+    assert full["A"].current_prob == 0.8765 and full["A"].candles_seen == 3 and full["A"].signal == "YES"
+    assert full["A"].all_probs == [0.1234, 0.5, 0.8765] and full["A"].hours_to_expiry == 3.0
+    assert full["B"].signal == "TOO EARLY — need more candles"
+    lean = {r.market_id: r for r in SC.score_markets(df, history=False).collect()}
+    assert "all_probs" not in lean["A"] and lean["A"].current_prob == 0.8765
