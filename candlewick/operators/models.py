@@ -109,6 +109,29 @@ def predict_prob(model: GBTClassificationModel, df: DataFrame, out: str = "prob"
     return p.withColumn(out, vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")
 
 
+def round_scores(model: GBTClassificationModel, df: DataFrame, rounds: list[int] | None = None) -> DataFrame:
+    """Probability after each of ``rounds`` boosting rounds (default: all), in long form
+    (one row per input row and round).  The score after k rounds is sigmoid(2 * sum of the
+    first k weighted tree outputs); every tree is applied in the same projection pass."""
+    trees, weights = model.trees, model.treeWeights
+    rounds = rounds or list(range(1, len(trees) + 1))
+    x = df
+    for i, t in enumerate(trees[:max(rounds)]):
+        x = t.setPredictionCol(f"_t{i}").transform(x)
+    margin = {k: sum((F.lit(float(weights[i])) * F.col(f"_t{i}") for i in range(k)), F.lit(0.0)) for k in rounds}
+    probs = F.array(*[F.struct(F.lit(k).alias("round"), (1 / (1 + F.exp(-2 * m))).alias("prob"))
+                      for k, m in margin.items()])
+    return x.select(*[c for c in df.columns if c != FEATURES], F.explode(probs).alias("_rp")) \
+        .select("*", "_rp.round", "_rp.prob").drop("_rp")
+
+
+def auc_curve(model: GBTClassificationModel, df: DataFrame, rounds: list[int] | None = None,
+              label: str = "label") -> DataFrame:
+    """T7 companion: log-loss, Brier and AUC per boosting round on ``df`` (one grouped pass)."""
+    from candlewick.operators.evaluation import metrics
+    return metrics(round_scores(model, df, rounds), "prob", label, by=["round"])
+
+
 # ---------------------------------------------------------------- T4 ensemble
 def ensemble(df: DataFrame, p1: str = "p1", p2: str = "p2", w: float = ENSEMBLE_PRIMARY_WEIGHT,
              out: str = "prob") -> DataFrame:

@@ -74,3 +74,18 @@ def test_select_features_threshold(spark):
     imp = spark.createDataFrame([("x", 0.9995), ("y", 0.0005)], "feature string, importance double")
     got = {r.feature: r.kept for r in T.select_features(imp, 0.001).collect()}
     assert got == {"x": True, "y": False}
+
+
+def test_round_scores_match_the_model(spark, small_splits):
+    sp = small_splits
+    _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
+    fitted = T.fit_gbt(tr, va, T.primary_params({"num_leaves": 15}, 4, 42), patience=10)
+    k = len(fitted.model.trees)
+    last = T.round_scores(fitted.model, va.select("market_id", "ds", "label", "features"), [k])
+    ref = T.predict_prob(fitted.model, va).select("market_id", "ds", F.col("prob").alias("ref"))
+    d = last.join(ref, ["market_id", "ds"]).agg(F.max(F.abs(F.col("prob") - F.col("ref")))).first()[0]
+    assert d < 1e-12
+    curve = {r["round"]: r for r in T.auc_curve(fitted.model, va.select("label", "features")).collect()}
+    assert sorted(curve) == list(range(1, k + 1))
+    for i in range(1, k + 1):       # per-round log-loss equals MLlib's own evaluation
+        assert curve[i].log_loss == pytest.approx(fitted.val_curve[i - 1], rel=1e-9)
