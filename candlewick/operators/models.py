@@ -91,16 +91,20 @@ class Fitted:
     val_curve: list[float]
 
 
-def fit_gbt(train: DataFrame, val: DataFrame, params: dict, patience: int, label: str = "label") -> Fitted:
-    """Fit ``maxIter`` rounds, read the per-round validation loss, keep the best round under
-    patience, and refit with exactly that many rounds (same seed and input give the same
-    first trees).  MLlib's log loss is twice the usual one; only its minimum is used."""
+def fit_gbt(train: DataFrame, val: DataFrame, params: dict, patience: int, label: str = "label",
+            refit: bool = True) -> Fitted:
+    """Fit ``maxIter`` rounds, read the per-round validation loss and keep the best round
+    under patience (MLlib's log loss is twice the usual one; only its minimum is used).
+
+    ``refit=True`` refits with exactly that many rounds (same seed and input give the same
+    first trees), for a model artifact of the right size; ``refit=False`` keeps the full
+    model, and ``predict_best`` scores it with its first ``best_iter`` trees."""
     est = GBTClassifier(featuresCol=FEATURES, labelCol=label, lossType="logistic", **params)
     full = est.fit(train)
     val_curve = [v / 2.0 for v in full.evaluateEachIteration(val)]
     train_curve = [v / 2.0 for v in full.evaluateEachIteration(train)]
     k = best_iteration(val_curve, patience)
-    model = full if k == params["maxIter"] else est.copy({est.maxIter: k}).fit(train)
+    model = full if (k == params["maxIter"] or not refit) else est.copy({est.maxIter: k}).fit(train)
     return Fitted(model, k, train_curve, val_curve)
 
 
@@ -132,6 +136,14 @@ def auc_curve(model: GBTClassificationModel, df: DataFrame, rounds: list[int] |
     return metrics(round_scores(model, df, rounds), "prob", label, by=["round"])
 
 
+def predict_best(fitted: Fitted, df: DataFrame, out: str = "prob") -> DataFrame:
+    """Scores at the best round: the model itself when it has exactly ``best_iter`` trees,
+    otherwise its first ``best_iter`` trees (no refit)."""
+    if len(fitted.model.trees) == fitted.best_iter:
+        return predict_prob(fitted.model, df, out)
+    return round_scores(fitted.model, df, [fitted.best_iter]).drop("round").withColumnRenamed("prob", out)
+
+
 # ---------------------------------------------------------------- T4 ensemble
 def ensemble(df: DataFrame, p1: str = "p1", p2: str = "p2", w: float = ENSEMBLE_PRIMARY_WEIGHT,
              out: str = "prob") -> DataFrame:

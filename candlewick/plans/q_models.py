@@ -275,8 +275,8 @@ def preprocessing_evidence(spark, sf_dir):
         name, rows = variant
         sp = training.make_splits(rows, Q)
         _, tr, (va, te) = training.scaled(sp.train, [sp.val, sp.test], sp.cols)
-        fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience)
-        m = E.metrics(T.predict_prob(fitted.model, te)).first()
+        fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience, refit=False)
+        m = E.metrics(T.predict_best(fitted, te)).first()
         return name, sp.rows.count(), bool(math.isfinite(m["log_loss"]))
     out = training.run_parallel(one, variants)
     return spark.createDataFrame(out, "variant string, n_rows long, valid boolean")

@@ -68,8 +68,9 @@ def run_parallel(fn, items, workers: int = FIT_PARALLELISM) -> list:
 
 
 def fit_and_score(train, val, params, patience):
-    fitted = T.fit_gbt(train, val, params, patience)
-    return fitted, T.predict_prob(fitted.model, val)
+    """Search-time fit: scored at the best round from the first trees, no refit."""
+    fitted = T.fit_gbt(train, val, params, patience, refit=False)
+    return fitted, T.predict_best(fitted, val)
 
 
 def search_holdout(sp: Splits, cfg: PipelineConfig = QUICK, configs=None) -> list[dict]:

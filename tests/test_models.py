@@ -89,3 +89,16 @@ def test_round_scores_match_the_model(spark, small_splits):
     assert sorted(curve) == list(range(1, k + 1))
     for i in range(1, k + 1):       # per-round log-loss equals MLlib's own evaluation
         assert curve[i].log_loss == pytest.approx(fitted.val_curve[i - 1], rel=1e-9)
+
+
+def test_predict_best_equals_refit_model(spark, small_splits):
+    sp = small_splits
+    _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
+    params = T.primary_params({"num_leaves": 15, "learning_rate": 0.3}, 6, 42)
+    lean = T.fit_gbt(tr, va, params, patience=1, refit=False)
+    full = T.fit_gbt(tr, va, params, patience=1, refit=True)
+    assert lean.best_iter == full.best_iter
+    a = T.predict_best(lean, va).select("market_id", "ds", "prob")
+    b = T.predict_prob(full.model, va).select("market_id", "ds", F.col("prob").alias("p2"))
+    d = a.join(b, ["market_id", "ds"]).agg(F.max(F.abs(F.col("prob") - F.col("p2")))).first()[0]
+    assert d < 1e-12
