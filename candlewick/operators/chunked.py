@@ -4,8 +4,9 @@ The default block partitions windows by ``market_id``, so one market's candles m
 one task; that is bounded by a market's hourly lifetime.  Where a single market may hold
 a large share of all rows, this variant keeps every task bounded:
 
-* whole-market values (candle count, expiry, first close, p99 caps) are aggregations,
-  combined map-side, joined back by market;
+* whole-market values (candle count, expiry, first close) are aggregations, combined
+  map-side, joined back by market; the exact p99 caps come from values ranked inside
+  their market by a range-partitioned running count (``ordered.group_quantile``);
 * the row index comes from counts per (market, time chunk), prefix-summed over the
   market's chunk table, plus a row number inside the time chunk;
 * lags and the previous-k rolling stats are windows over fixed-size row chunks, each
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.candles import CLIP_COLUMNS, MISSING_FLAG_SOURCES, missing_flags
 from candlewick.operators.features import ensure_flag_columns, feat_microstructure
+from candlewick.operators.ordered import group_quantile
 from candlewick.session import write_and_read
 
 KEY = "market_id"
@@ -48,9 +50,15 @@ def _row_index(df: DataFrame, hours: int) -> DataFrame:
 
 
 def _clip(x: DataFrame, q: float, approx: bool) -> DataFrame:
-    pct = (lambda c: F.percentile_approx(c, q, 10000)) if approx else (lambda c: F.percentile(c, q))
-    caps = x.groupBy(KEY).agg(*[pct(c).alias(f"_cap_{c}") for c in CLIP_COLUMNS])
-    x = x.join(caps, KEY)
+    """Per-market caps: exact from ranked values (skew-safe), or a bounded sketch when ``approx``."""
+    if approx:
+        caps = x.groupBy(KEY).agg(*[F.percentile_approx(c, q, 10000).alias(f"_cap_{c}") for c in CLIP_COLUMNS])
+    else:
+        caps = None
+        for c in CLIP_COLUMNS:
+            one = group_quantile(x, KEY, c, q, f"_cap_{c}")
+            caps = one if caps is None else caps.join(one, KEY, "full")
+    x = x.join(caps, KEY, "left")
     out = {}
     for c in CLIP_COLUMNS:
         cap = F.col(f"_cap_{c}")

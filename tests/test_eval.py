@@ -137,3 +137,17 @@ def test_score_markets_with_and_without_history(spark):
     assert full["B"].signal == "TOO EARLY — need more candles"
     lean = {r.market_id: r for r in SC.score_markets(df, history=False).collect()}
     assert "all_probs" not in lean["A"] and lean["A"].current_prob == 0.8765
+
+
+def test_group_quantile_equals_percentile_with_a_hot_group(spark):
+    from candlewick.operators.ordered import group_quantile
+    rng = random.Random(21)
+    rows = [("hot", float(rng.randint(0, 50))) for _ in range(3000)] + \
+           [(f"g{i}", float(rng.randint(0, 9))) for i in range(40) for _ in range(rng.randint(1, 6))] + \
+           [("nulls", None), ("one", 7.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    want = {r.k: r.p for r in df.groupBy("k").agg(F.percentile("v", 0.99).alias("p")).collect()}
+    got = {r.k: r.quantile for r in group_quantile(df, "k", "v", 0.99).collect()}
+    assert set(got) == {k for k, p in want.items() if p is not None}
+    for k, p in got.items():
+        assert p == pytest.approx(want[k], abs=1e-9), k
