@@ -151,3 +151,12 @@ def test_group_quantile_equals_percentile_with_a_hot_group(spark):
     assert set(got) == {k for k, p in want.items() if p is not None}
     for k, p in got.items():
         assert p == pytest.approx(want[k], abs=1e-9), k
+
+
+def test_md5_bucket_ranks_equal_a_plain_sort(spark):
+    import hashlib
+    keys = [f"S{i}" for i in range(700)]
+    df = spark.createDataFrame([(k,) for k in keys for _ in range(2)], "series_id string")   # duplicates per group
+    got = {r.series_id: (r["_r"], r["_n"]) for r in G.hash_ranked_groups(df, "series_id", 42).collect()}
+    order = sorted(keys, key=lambda k: (hashlib.md5(f"42:{k}".encode()).hexdigest(), k))
+    assert got == {k: (i, len(keys)) for i, k in enumerate(order)}
