@@ -15,12 +15,12 @@ ranked AS (
          sum(source_size) OVER () * 1.5::DOUBLE AS total
   FROM sizes),
 levels AS (
-  SELECT *, row_number() OVER (ORDER BY cap / w, source IS NULL, source) AS at,
+  SELECT *, row_number() OVER (ORDER BY cap / w, source IS NULL, source) AS nr,
          (total - coalesce(sum(cap) OVER (ORDER BY cap / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
          / sum(w) OVER (ORDER BY cap / w, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl
   FROM ranked),
 opened AS (
-  SELECT arg_min(lvl, at) AS lvl FROM levels WHERE cap / w >= lvl),
+  SELECT arg_min(lvl, nr) AS lvl FROM levels WHERE cap / w >= lvl),
 plan AS (
   SELECT l.source, l.source_size, CASE WHEN o.lvl IS NULL THEN l.cap ELSE least(l.cap, l.w * o.lvl) END AS target
   FROM levels l LEFT JOIN opened o ON true),
