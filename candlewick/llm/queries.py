@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import fingerprints, language, mixing, toxicity
+from candlewick.llm import extraction, fingerprints, language, minhash, mixing, neighbours, packing, pieces, toxicity, urls
+from candlewick.session import scratch_path
 from candlewick.sources.tables import table
 
 
@@ -41,4 +42,44 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op4_language, op6_toxicity, op10_mixing)}
+def op2_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    got = extraction.with_main_text(pages.select("page_id", "url", "html"), extraction.train(pages))
+    return got.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    pages = table(spark, sf_dir, "pages")
+    got = urls.with_verdict(pages.select("page_id", "url"), urls.train(pages))
+    return got.select("page_id", "url_verdict.*")
+
+
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document; ``first`` marks the document that stands for its class."""
+    got = minhash.classes(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "class_id", (F.col("key") == F.col("class_id")).alias("first"))
+
+
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other vectors of every vector whose id is divisible by 20."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed rows of all documents: written as binary matrices, read back and digested."""
+    docs = table(spark, sf_dir, "documents")
+    rows = packing.write_matrices(packing.pack(docs), scratch_path(spark, "packed"))
+    return rows.select("doc_ids", "parts", "cu_seqlens", F.element_at("cu_seqlens", -1).alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("positions", 256).alias("positions_sha256"))
+
+
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's piece ids, digested, and whether decoding gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.withColumn("_p", pieces.round_trip(F.col("text"), spark)).select("doc_id", "_p.*")
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_extraction, op3_urls, op4_language, op5_minhash, op6_toxicity,
+                                   op7_neighbours, op8_packing, op9_pieces, op10_mixing)}

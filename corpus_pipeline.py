@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import language, mixing, toxicity
+from candlewick.llm import language, minhash, mixing, pieces, toxicity
 from candlewick.session import scratch_path
 from candlewick.sources.tables import table
 
@@ -28,12 +28,23 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return _columns(got.where((F.col("_lang.lang") != "und") & (F.col("_lang.bits_per_byte") < 8)))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return _columns(minhash.one_per_class(docs))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the target mix takes it."""
     return _columns(mixing.mixed(docs))
 
 
-STAGES = [("toxicity", drop_toxic), ("language", keep_languages), ("mixing", mix_sources)]
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document of the mix."""
+    return pieces.encode(_columns(docs)).select("doc_id", "lang", "source", "ids", F.size("ids").alias("n_tokens"))
+
+
+STAGES = [("toxicity", drop_toxic), ("language", keep_languages), ("near-duplicates", drop_near_duplicates),
+          ("mixing", mix_sources), ("pieces", encode_pieces)]
 
 ORACLE_SQL = None      # trained models and sub-word encoding: no SQL form; tests hold it against brute force
 
