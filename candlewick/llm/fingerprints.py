@@ -100,7 +100,7 @@ def with_fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint"
     return df.withColumn(out, fingerprint(F.col(text)))
 
 
-def in_descending_runs(df: DataFrame, key: str = "doc_id", per_run: int = 1024, most_runs: int = 65536) -> DataFrame:
+def in_descending_runs(df: DataFrame, key: str = "doc_id", per_run: int = 256, most_runs: int = 65536) -> DataFrame:
     """Rows with ``_run`` and ``_halo``: key ranges in descending order, each holding a copy (``_halo``) of
     the first row(s) of the range after it (after the last range: of the first), so that a window inside a
     run sees every row's successor. One shuffle of the rows; null keys come last.
@@ -150,16 +150,15 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     laid = in_descending_runs(base).repartition("_run")
     order = Window.partitionBy("_run").orderBy("_halo", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
     half = F.floor(F.length("text") / 2).cast("int")
-    return (laid.withColumn("fingerprint", fingerprint(F.col("text")))
-            .withColumn("_next", F.lead("text").over(order))
-            .withColumn("_next_fp", F.lead("fingerprint").over(order))
-            .where(~F.col("_halo"))
-            .withColumn("_edited", F.concat(F.col("text").substr(F.lit(1), F.length("text") - half),
-                                            F.col("_next").substr(F.lit(1), half)))
-            .withColumn("edited_fingerprint", fingerprint(F.col("_edited")))
+    edited = (laid.withColumn("_next", F.lead("text").over(order)).where(~F.col("_halo"))
+              .withColumn("_edited", F.concat(F.col("text").substr(F.lit(1), F.length("text") - half),
+                                              F.col("_next").substr(F.lit(1), half))))
+    # the fingerprints come after the window: a Python step before it would cost a second shuffle of the texts
+    return (edited.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"),
+                          fingerprint(F.col("text")).alias("fingerprint"), fingerprint(F.col("_edited")).alias("edited_fingerprint"),
+                          fingerprint(F.col("_next")).alias("_next_fp"))
             .withColumn("_e", likeness(F.col("fingerprint"), F.col("edited_fingerprint")))
             .withColumn("_n", likeness(F.col("fingerprint"), F.col("_next_fp")))
-            .select("doc_id", F.length("text").cast("bigint").alias("n_chars"),
-                    F.sha2("_edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+            .select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                     F.col("_e.likeness").alias("near_edited"), F.col("_n.likeness").alias("near_next"),
                     F.col("_e.a_in_b").alias("kept_in_edited"), F.col("_n.a_in_b").alias("kept_in_next")))

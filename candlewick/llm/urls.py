@@ -3,7 +3,7 @@
 Concatenated names ("cheappills") are cut by a unigram Viterbi: the word probabilities come from the words of
 all page texts (counted on Spark; the most frequent ``VOCABULARY`` are kept, a bound on the model) and two
 short lists of web words; a string that is no word costs more the longer it is. A multinomial naive Bayes
-over the words of host and path, hashed to ``BUCKETS`` counters summed over all urls, then decides. Its
+over the words of host and path, hashed to ``BUCKETS`` counters summed over all urls, then decides; a listed word counts once for its class. Its
 classes are learned from weak labels: a url whose host holds a word of ``BLOCKED_WORDS`` counts as blocked.
 
 Defined results: a null url or one without ``://`` has an empty host and path, matches no rule and is allowed;
@@ -28,8 +28,9 @@ from candlewick.session import write_and_read
 
 VOCABULARY = 30_000
 BUCKETS = 1 << 16
-SMOOTHING = 0.5
-SEED_TIMES = 20            # times each listed word counts for its class beside the data
+SMOOTHING = 1e-3           # of a bucket, in words
+SHARED = 0.15              # weight of the law of all urls in each class's: a word seen nowhere tells nothing
+SEED_TIMES = 20            # times a listed word counts in the word model, per 20,000 words kept
 LONGEST = 24
 CACHED_HOSTS = 50_000
 
@@ -196,11 +197,15 @@ def train(pages: DataFrame) -> Model:
             urls_of[bad] += n
         else:
             counts[bad, b] = n
+    seeds = np.zeros((2, BUCKETS))
     for w in BLOCKED_WORDS:
-        counts[1, bucket(w)] += SEED_TIMES
+        seeds[1, bucket(w)] += 1
     for w in COMMON_WORDS:
-        counts[0, bucket(w)] += SEED_TIMES
-    law = (counts + SMOOTHING) / (counts.sum(1, keepdims=True) + SMOOTHING * BUCKETS)
+        seeds[0, bucket(w)] += 1
+    every = (counts + seeds).sum(0) + SMOOTHING
+    every /= every.sum()
+    own = counts + seeds
+    law = (1 - SHARED) * own / own.sum(1, keepdims=True) + SHARED * every
     return Model(model.words, np.log(law[1] / law[0]), float(np.log(urls_of[1] / urls_of[0])))
 
 
