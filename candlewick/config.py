@@ -125,7 +125,7 @@ class PipelineConfig:
     backtest_threshold: float = 0.60
     feature_selection_threshold: float = 0.001
     clip_quantile: float = 0.99
-    max_samples: int = 3000          # sample builder keeps max_samples + 1 rows
+    max_samples: int | None = None   # optional cap of the sample builder (it keeps max_samples + 1 rows)
     n_folds: int = 5
     seed: int = SEED
     max_rounds: int = 500            # boosting rounds before early stopping

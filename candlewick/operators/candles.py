@@ -72,13 +72,26 @@ def drop_unlabelled(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def describe_column(df: DataFrame, c: str) -> DataFrame:
-    """Count, mean, std, min, exact quartiles, max of one column."""
+    """Count, mean, std, min, exact quartiles, max of one column.
+
+    The quartiles come from ranks: equal values are counted map-side, a range-partitioned running count
+    places each value, and the two values around each quartile's rank are picked by plain aggregates.
+    """
+    from candlewick.operators.ordered import running_sums
     x = F.col(c)
-    return df.agg(
-        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"), F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"),
-        F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max"),
-    )
+    stats = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                   F.min(x).alias("min"), F.max(x).alias("max")).first()
+    n = stats["count"]
+    per_value = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("k"))
+    ranked = running_sums(per_value, ["v"], {"upto": F.col("k")})
+    picks = []
+    for q in (0.25, 0.5, 0.75):
+        pos = (n - 1) * q if n else 0.0
+        low, part = int(pos), pos - int(pos)
+        at = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("v")))
+        picks.append((at(low) * F.lit(1 - part) + at(min(low + 1, max(n - 1, 0))) * F.lit(part)).alias(f"p{int(q * 100)}"))
+    lit = lambda name: F.lit(stats[name]).alias(name)
+    return ranked.agg(*picks).select(lit("count"), lit("mean"), lit("std"), lit("min"), "p25", "p50", "p75", lit("max"))
 
 
 def fill_sentinel(df: DataFrame, cols, value: float = SENTINEL) -> DataFrame:

@@ -20,8 +20,19 @@ def log_loss_col(prob="prob", label="label"):
     return -(y * F.log(p) + (1 - y) * F.log(1 - p))
 
 
+def log_loss_brier(df: DataFrame, prob: str = "prob", label: str = "label", by: list[str] | None = None) -> DataFrame:
+    """E1 without the AUC: n, log-loss and Brier of the rows holding a score and a label, and ``n_missing``,
+    the rows that lack either.  One map-side combined aggregate per ``by`` group."""
+    y = F.col(label)
+    ok = F.col(prob).isNotNull() & y.isNotNull()
+    out = [F.count_if(ok).alias("n"), F.count_if(~ok).alias("n_missing"), F.avg(F.when(ok, log_loss_col(prob, label))).alias("log_loss"),   # least / greatest skip NULL
+           F.avg((F.col(prob) - y) * (F.col(prob) - y)).alias("brier")]
+    return df.groupBy(*by).agg(*out) if by else df.agg(*out)
+
+
 def metrics(df: DataFrame, prob: str = "prob", label: str = "label", by: list[str] | None = None) -> DataFrame:
     """N, log-loss, Brier and exact ROC-AUC (ties count one half), one row per ``by`` group.
+    Rows without a score or a label are left out (``log_loss_brier`` counts them).
 
     Rows are first combined per (group, distinct score) map-side, so a hot score value
     costs nothing; negatives below each score come from the range-partitioned prefix
@@ -29,20 +40,18 @@ def metrics(df: DataFrame, prob: str = "prob", label: str = "label", by: list[st
     """
     by = list(by or [])
     y = F.col(label)
-    per_score = df.groupBy(*by, F.col(prob).alias("_s")).agg(
+    per_score = df.where(F.col(prob).isNotNull() & y.isNotNull()).groupBy(*by, F.col(prob).alias("_s")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg"),
         F.sum(log_loss_col(prob, label)).alias("_ll"), F.sum((F.col(prob) - y) * (F.col(prob) - y)).alias("_sq"))
     cum = running_sums(per_score, by + ["_s"], {"_cneg": F.col("_neg")})
     below = F.col("_cneg") - F.col("_neg")
-    if by:  # the running count crosses groups; subtract what precedes each group
-        start = cum.groupBy(*by).agg(F.min(below).alias("_g0"))
-        cum = cum.join(start, by)
-        below = below - F.col("_g0")
+    # the running count crosses groups: what precedes a group is its least ``below``
+    pairs = F.sum(F.col("_pos") * (below + F.col("_neg") / 2.0)) - F.min(below) * F.sum("_pos")
     return cum.groupBy(*by).agg(
         F.sum("_n").alias("n"),
         (F.sum("_ll") / F.sum("_n")).alias("log_loss"),
         (F.sum("_sq") / F.sum("_n")).alias("brier"),
-        F.try_divide(F.sum(F.col("_pos") * (below + F.col("_neg") / 2.0)), F.sum("_pos") * F.sum("_neg")).alias("auc"),
+        F.try_divide(pairs, F.sum("_pos") * F.sum("_neg")).alias("auc"),
     )
 
 
@@ -69,11 +78,16 @@ def scored_variants(df: DataFrame, scores: dict[str, str], label: str = "label")
         .withColumn("score", pick)
 
 
-def baselines(train: DataFrame, eval_df: DataFrame, label: str = "label", extra: dict[str, str] | None = None) -> DataFrame:
-    """Metrics of the constant prior and of the market price on ``eval_df`` (plus any
-    ``extra`` named score columns), all in one grouped pass."""
-    s = baseline_scores(eval_df, train_rate(train, label))
-    scores = {"Constant prior": "p_constant", "Market price": "p_market", **(extra or {})}
+CONSTANT, MARKET = "Constant prior", "Market price"
+
+
+def baselines(train: DataFrame, eval_df: DataFrame, label: str = "label", extra: dict[str, str] | None = None,
+              names: tuple[str, ...] = (CONSTANT, MARKET)) -> DataFrame:
+    """Metrics of the named baselines on ``eval_df`` (plus any ``extra`` named score columns),
+    all in one grouped pass."""
+    s = baseline_scores(eval_df, train_rate(train, label) if CONSTANT in names else 0.0)
+    known = {CONSTANT: "p_constant", MARKET: "p_market"}
+    scores = {**{n: known[n] for n in names}, **(extra or {})}
     return metrics(scored_variants(s, scores, label), "score", label, by=["model"])
 
 
@@ -91,8 +105,14 @@ def signalled_col(prob="prob", threshold: float = 0.60):
 
 def backtest(df: DataFrame, threshold: float = 0.60, stake: float = 1.0, order=("market_id", "ds"),
              keep=("prob", "close", "label")) -> DataFrame:
-    """Per-row bet PnL and its cumulative sum in (market_id, ds) order (carries ``keep``)."""
-    df = df.select(*order, *[c for c in keep if c not in order])
+    """Per-row bet PnL and its cumulative sum in (market_id, ds) order (carries ``keep``).
+
+    Candles of one market and time follow by ``pos`` where the table has it, then by the kept
+    values, so the order is total up to rows that are equal in every way.
+    """
+    ties = [c for c in ("pos",) if c in df.columns] + [c for c in keep if c not in order]
+    order = (*order, *ties)
+    df = df.select(*order)
     bets = df.withColumns({"pnl": pnl_col(threshold=threshold, stake=stake), "signalled": signalled_col(threshold=threshold)})
     return running_sums(bets, list(order), {"cum_pnl": F.col("pnl")})
 
@@ -148,21 +168,24 @@ def error_by_bucket(flagged: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, by: str, bins: int = 20) -> DataFrame:
-    """Equal-width bins over [min, max] of ``value`` per ``by`` group; the last bin is closed."""
-    keys = [by]
-    rng = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    j = df.join(F.broadcast(rng), keys)  # rng: one row per group
+    """Equal-width bins over [min, max] of ``value`` per ``by`` group, empty bins included; the last
+    bin is closed.  The join with the group ranges is left to AQE (one row per group)."""
+    rng = df.where(F.col(value).isNotNull()).groupBy(by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     width = F.col("_hi") - F.col("_lo")
     b = F.when(width == 0, F.lit(bins // 2)).otherwise(
         F.least(F.floor((F.col(value) - F.col("_lo")) / width * bins), F.lit(bins - 1))).cast("int")
-    out = j.withColumn("bin", b).groupBy(*keys, "bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("count"))
+    # one row per distinct value and group crosses the shuffles, not one per input row
+    per_value = df.groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = per_value.join(rng, by).withColumn("bin", b).groupBy(by, "bin").agg(F.sum("_n").alias("count"))
     lo = F.when(width == 0, F.col("_lo") - 0.5).otherwise(F.col("_lo"))
     step = F.when(width == 0, F.lit(1.0)).otherwise(width) / bins
-    return out.select(*keys, "bin", (lo + F.col("bin") * step).alias("bin_lo"),
-                      (lo + (F.col("bin") + 1) * step).alias("bin_hi"), "count")
+    every = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return every.join(counts, [by, "bin"], "left").select(
+        by, "bin", (lo + F.col("bin") * step).alias("bin_lo"), (lo + (F.col("bin") + 1) * step).alias("bin_hi"),
+        F.coalesce("count", F.lit(0)).alias("count"))
 
 
-def evaluation_table(rows: DataFrame, market_name: str = "Market price", model_name: str = "Ensemble") -> DataFrame:
-    """The metric rows plus whether the model's AUC beats the market's."""
+def evaluation_table(rows: DataFrame, market_name: str = MARKET, model_names: tuple[str, ...] = ("Primary model", "Ensemble")) -> DataFrame:
+    """The metric rows plus whether each model's AUC beats the market's."""
     market_auc = F.max(F.when(F.col("model") == market_name, F.col("auc"))).over(Window.partitionBy())  # few rows
-    return rows.withColumn("beats_market_auc", F.when(F.col("model") == model_name, F.col("auc") > market_auc))
+    return rows.withColumn("beats_market_auc", F.when(F.col("model").isin(*model_names), F.col("auc") > market_auc))

@@ -8,28 +8,24 @@ from pyspark.sql import types as T
 
 from candlewick.config import VALID_RESULTS, VALID_STATUSES
 from candlewick.functions.columns import (
-    is_falsy_text, iso_to_unix, keyword_match, label_col, question_col, series_id_col, to_float, ts_from_epoch,
-    zero_default,
+    is_falsy_text, iso_to_unix, keyword_match, label_col, question_col, to_float, ts_from_epoch, zero_default,
 )
 
-# Largest side we broadcast without a runtime statistic: a join side whose row count is
-# bounded by construction (a limit) and below this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 def union_sources(hist: DataFrame, recent: DataFrame) -> DataFrame:
     """M1: historical then recent markets (UNION ALL), tagged with ``src`` 0 / 1."""
     return (hist.withColumn("src", F.lit(0))
             .unionByName(recent.withColumn("src", F.lit(1)), allowMissingColumns=True))
 
 
-def dedupe_last(df: DataFrame, key: str = "ticker", order=("src", "seq")) -> DataFrame:
+def dedupe_last(df: DataFrame, key: str = "ticker", order=("src", "seq"), cols=None) -> DataFrame:
     """M2: one row per key; the last (src, seq) wins, and ``first_src``/``first_seq`` keep the
     position of the key's first appearance (where an insertion-ordered dict keeps it).
 
     An aggregate, not a window: copies of a hot key are combined map-side before the shuffle.
+    ``cols`` names the columns to carry besides the key and the order (default: all); the row is
+    packed as a whole, so only the named ones reach the scan.
     """
-    others = [c for c in df.columns if c != key]
+    others = [c for c in df.columns if c != key and (cols is None or c in cols or c in order)]
     pos = F.struct(*[F.col(c) for c in order])
     agg = df.groupBy(key).agg(
         F.max_by(F.struct(*[F.col(c) for c in others]), pos).alias("_last"),
@@ -52,12 +48,6 @@ def bounded(df: DataFrame, order, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def paginated(df: DataFrame, order, max_raw: int, page_size: int = 1000) -> DataFrame:
-    """M4 (pull form): pages of ``page_size`` are taken until more than ``max_raw`` items are
-    held, so whole pages up to and including the first one that crosses the limit survive."""
-    return bounded(df, order, (max_raw // page_size + 1) * page_size)
-
-
 def valid_markets(df: DataFrame) -> DataFrame:
     """M5: resolved plain binary markets."""
     cond = (F.col("status").isin(VALID_STATUSES) & (F.col("market_type") == "binary")
@@ -88,15 +78,22 @@ def with_label(df: DataFrame) -> DataFrame:
     return df.withColumn("label", label_col())
 
 
-def market_samples(df: DataFrame, keywords, max_samples: int = 3000,
+SAMPLE_INPUT = ("status", "market_type", "mve_collection_ticker", "mve_selected_legs", "result", "rules_primary", "yes_sub_title",
+                "no_sub_title", "associated_markets", "custom_strike", "title", "yes_ask_dollars", "no_ask_dollars",
+                "last_price_dollars", "volume_fp")
+
+
+def market_samples(df: DataFrame, keywords, max_samples: int | None = None,
                    order=("first_src", "first_seq")) -> DataFrame:
-    """M9: valid markets in arrival order, projected to the sample schema.
+    """M9: every valid market, projected to the sample schema.
 
-    Keeps ``max_samples + 1`` rows (the builder stops only after exceeding the cap).
+    ``max_samples`` keeps the first ``max_samples + 1`` in arrival order (a builder that stops only
+    after exceeding its cap); by default nothing is cut.
     """
     q = with_question(df, "associated_markets" if "associated_markets" in df.columns else None)
     ok = keyword_filter(valid_markets(q), "question", keywords)
-    ok = bounded(ok, list(order), max_samples + 1)
+    if max_samples is not None:
+        ok = bounded(ok, list(order), max_samples + 1)
     return ok.select(
         F.col("ticker").alias("market_id"),
         to_float("yes_ask_dollars").alias("yes_price"),
@@ -159,18 +156,11 @@ def life_window(df: DataFrame, open_col="open_time", close_col="close_time",
     return out.withColumn("skip_reason", reason)
 
 
-def join_labels(markets: DataFrame, samples: DataFrame, key: str = "ticker",
-                bounded_rows: int | None = None) -> DataFrame:
-    """Left join the sample label by ticker (duplicate sample keys: last wins).
-
-    ``bounded_rows`` is a proven upper bound on ``samples`` (e.g. the sample cap); only
-    then is the side broadcast explicitly, otherwise AQE decides from runtime size.
-    """
+def join_labels(markets: DataFrame, samples: DataFrame, key: str = "ticker") -> DataFrame:
+    """Left join the sample label by ticker (duplicate sample keys: last wins)."""
     labels = samples.select(F.col("market_id").alias(key), "label")
     if "seq" in samples.columns:
         labels = dedupe_last(samples.select(F.col("market_id").alias(key), "label", "seq"), key, ("seq",))
-    if bounded_rows is not None and bounded_rows <= BROADCAST_MAX_ROWS:
-        labels = F.broadcast(labels)
     return markets.join(labels.select(key, "label"), key, "left")
 
 
@@ -200,10 +190,19 @@ def candles_from_quotes(quotes: DataFrame, keep=()) -> DataFrame:
     )
 
 
-def build_series(markets: DataFrame, quotes: DataFrame, samples: DataFrame | None = None,
-                 bounded_rows: int | None = None) -> DataFrame:
+def skip_report(markets: DataFrame, quotes: DataFrame) -> DataFrame:
+    """M16 report: (ticker, skip_reason) of every market that yields no series; a usable market without
+    a candle in its window is ``empty``."""
+    w = life_window(markets).select("ticker", "start_ts", "end_ts", "skip_reason")
+    got = (quotes.select(F.col("market_id").alias("ticker"), "end_period_ts").join(w.where("skip_reason IS NULL"), "ticker")
+           .where(F.col("end_period_ts").between(F.col("start_ts"), F.col("end_ts"))).select("ticker").distinct())
+    return (w.join(got, "ticker", "left_anti")
+            .select("ticker", F.coalesce("skip_reason", F.lit("empty")).alias("skip_reason")))
+
+
+def build_series(markets: DataFrame, quotes: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     """Life window -> candles inside it -> quote candles -> labels; markets without
-    candles vanish (inner join).  Rejected markets stay visible via ``life_window``.
+    candles vanish (inner join).  ``skip_report`` lists them with the reason.
 
     Labels come from ``samples`` (left join by ticker) or, when none is given, travel
     with the market metadata's own ``label`` column.
@@ -215,10 +214,7 @@ def build_series(markets: DataFrame, quotes: DataFrame, samples: DataFrame | Non
     inside = q.join(ok, "market_id").where(F.col("end_period_ts").between(F.col("start_ts"), F.col("end_ts")))
     out = candles_from_quotes(inside, carry)
     if samples is not None:
-        out = join_labels(out.withColumnRenamed("market_id", "ticker"), samples, "ticker", bounded_rows) \
+        out = join_labels(out.withColumnRenamed("market_id", "ticker"), samples, "ticker") \
             .withColumnRenamed("ticker", "market_id")
     return out
 
-
-def with_series(df: DataFrame, key: str = "market_id") -> DataFrame:
-    return df.withColumn("series_id", series_id_col(key))

@@ -13,11 +13,12 @@ from dataclasses import dataclass
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.config import ENSEMBLE_PRIMARY_WEIGHT, SECONDARY_MODEL, SENTINEL
 from candlewick.operators.candles import fill_sentinel
+from candlewick.operators.trees import first_trees, round_scores
 
 FEATURES = "features"
 
@@ -31,15 +32,25 @@ def fit_scaler(train: DataFrame, cols: list[str]) -> dict[str, tuple[float, floa
     return {c: (row[f"m_{i}"], row[f"s_{i}"]) for i, c in enumerate(cols)}
 
 
-def apply_scaler(df: DataFrame, stats: dict[str, tuple[float, float]], fill: bool = True) -> DataFrame:
-    """(x - mean) / std, with a zero std treated as 1 (constant columns)."""
-    cols = list(stats)
-    out = fill_sentinel(df, cols) if fill else df
-    exprs = {}
+def _scaled(stats: dict[str, tuple[float, float]], fill: bool = True) -> dict[str, Column]:
+    out = {}
     for c, (m, s) in stats.items():
         scale = 1.0 if (s is None or s == 0.0 or math.isnan(s)) else s
-        exprs[c] = (F.col(c) - F.lit(m if m is not None else 0.0)) / F.lit(scale)
-    return out.withColumns(exprs)
+        x = F.coalesce(F.col(c).cast("double"), F.lit(SENTINEL)) if fill else F.col(c)
+        out[c] = (x - F.lit(m if m is not None else 0.0)) / F.lit(scale)
+    return out
+
+
+def scaled_columns(df: DataFrame, stats: dict[str, tuple[float, float]], prefix: str = "z_", fill: bool = True) -> DataFrame:
+    """(x - mean) / std beside the originals, as ``z_<name>``; a zero std counts as 1 (constant columns)."""
+    return df.withColumns({prefix + c: e for c, e in _scaled(stats, fill).items()})
+
+
+def vectorise(df: DataFrame, stats: dict[str, tuple[float, float]], cols: list[str], out: str = FEATURES) -> DataFrame:
+    """Sentinel fill, scaling and assembly straight into the feature vector; no input column changes."""
+    tmp = [f"_z{i}" for i in range(len(cols))]
+    exprs = _scaled({c: stats[c] for c in cols})
+    return assemble(df.withColumns({t: exprs[c] for t, c in zip(tmp, cols, strict=True)}), tmp, out).drop(*tmp)
 
 
 def scaler_table(spark, stats: dict[str, tuple[float, float]]) -> DataFrame:
@@ -72,40 +83,49 @@ def secondary_params(max_iter: int, seed: int = 43) -> dict:
                 maxIter=max_iter, seed=seed)
 
 
-def best_iteration(losses: list[float], patience: int) -> int:
-    """1-based round with the lowest validation loss, stopping after ``patience`` rounds without improvement."""
+def best_iteration(losses: list[float], patience: int) -> tuple[int, bool]:
+    """(1-based round of the lowest validation loss before ``patience`` rounds without improvement,
+    whether patience ran out)."""
     best, best_i = float("inf"), 0
     for i, v in enumerate(losses):
         if v < best:
             best, best_i = v, i
         elif i - best_i >= patience:
-            break
-    return best_i + 1
+            return best_i + 1, True
+    return best_i + 1, False
 
 
 @dataclass
 class Fitted:
-    model: GBTClassificationModel
+    model: GBTClassificationModel       # the first ``best_iter`` trees
+    grown: GBTClassificationModel       # every tree fitted
     best_iter: int
-    train_curve: list[float]
     val_curve: list[float]
+    train_curve: list[float] | None = None
+
+
+FIRST_ROUNDS = 128
 
 
 def fit_gbt(train: DataFrame, val: DataFrame, params: dict, patience: int, label: str = "label",
-            refit: bool = True) -> Fitted:
-    """Fit ``maxIter`` rounds, read the per-round validation loss and keep the best round
-    under patience (MLlib's log loss is twice the usual one; only its minimum is used).
-
-    ``refit=True`` refits with exactly that many rounds (same seed and input give the same
-    first trees), for a model artifact of the right size; ``refit=False`` keeps the full
-    model, and ``predict_best`` scores it with its first ``best_iter`` trees."""
-    est = GBTClassifier(featuresCol=FEATURES, labelCol=label, lossType="logistic", **params)
-    full = est.fit(train)
-    val_curve = [v / 2.0 for v in full.evaluateEachIteration(val)]
-    train_curve = [v / 2.0 for v in full.evaluateEachIteration(train)]
-    k = best_iteration(val_curve, patience)
-    model = full if (k == params["maxIter"] or not refit) else est.copy({est.maxIter: k}).fit(train)
-    return Fitted(model, k, train_curve, val_curve)
+            curves: bool = False, first_rounds: int = FIRST_ROUNDS) -> Fitted:
+    """Early-stopped boosting: fit 128, 256 ... rounds (``first_rounds``, doubling, at most ``maxIter``) until the
+    validation loss has not improved for ``patience`` rounds, and keep the best round's trees (the same seed
+    and input give the same first trees, so nothing is refitted).  The rounds fitted are bounded by four times
+    the stopping point, or ``first_rounds``.  ``curves`` also reads the training loss per round (one more pass).  MLlib's log loss is twice the
+    usual one."""
+    most = params["maxIter"]
+    rounds = min(first_rounds, most)
+    while True:
+        est = GBTClassifier(featuresCol=FEATURES, labelCol=label, lossType="logistic", **{**params, "maxIter": rounds})
+        grown = est.fit(train)
+        val_curve = [v / 2.0 for v in grown.evaluateEachIteration(val)]
+        k, stopped = best_iteration(val_curve, patience)
+        if stopped or rounds >= most:
+            break
+        rounds = min(2 * rounds, most)
+    train_curve = [v / 2.0 for v in grown.evaluateEachIteration(train)] if curves else None
+    return Fitted(first_trees(grown, k), grown, k, val_curve, train_curve)
 
 
 def predict_prob(model: GBTClassificationModel, df: DataFrame, out: str = "prob") -> DataFrame:
@@ -113,22 +133,6 @@ def predict_prob(model: GBTClassificationModel, df: DataFrame, out: str = "prob"
     return p.withColumn(out, vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")
 
 
-def round_scores(model: GBTClassificationModel, df: DataFrame, rounds: list[int] | None = None) -> DataFrame:
-    """Probability after each of ``rounds`` boosting rounds (default: all), in long form
-    (one row per input row and round).  The score after k rounds is sigmoid(2 * sum of the
-    first k weighted tree outputs); every tree is applied in the same projection pass."""
-    trees, weights = model.trees, model.treeWeights
-    rounds = rounds or list(range(1, len(trees) + 1))
-    x = df
-    for i, t in enumerate(trees[:max(rounds)]):
-        x = t.setPredictionCol(f"_t{i}").transform(x)
-    margin = {k: sum((F.lit(float(weights[i])) * F.col(f"_t{i}") for i in range(k)), F.lit(0.0)) for k in rounds}
-    probs = F.array(*[F.struct(F.lit(k).alias("round"), (1 / (1 + F.exp(-2 * m))).alias("prob"))
-                      for k, m in margin.items()])
-    return x.select(*[c for c in df.columns if c != FEATURES], F.explode(probs).alias("_rp")) \
-        .select("*", "_rp.round", "_rp.prob").drop("_rp")
-
-
 def auc_curve(model: GBTClassificationModel, df: DataFrame, rounds: list[int] | None = None,
               label: str = "label") -> DataFrame:
     """T7 companion: log-loss, Brier and AUC per boosting round on ``df`` (one grouped pass)."""
@@ -136,14 +140,6 @@ def auc_curve(model: GBTClassificationModel, df: DataFrame, rounds: list[int] |
     return metrics(round_scores(model, df, rounds), "prob", label, by=["round"])
 
 
-def predict_best(fitted: Fitted, df: DataFrame, out: str = "prob") -> DataFrame:
-    """Scores at the best round: the model itself when it has exactly ``best_iter`` trees,
-    otherwise its first ``best_iter`` trees (no refit)."""
-    if len(fitted.model.trees) == fitted.best_iter:
-        return predict_prob(fitted.model, df, out)
-    return round_scores(fitted.model, df, [fitted.best_iter]).drop("round").withColumnRenamed("prob", out)
-
-
 # ---------------------------------------------------------------- T4 ensemble
 def ensemble(df: DataFrame, p1: str = "p1", p2: str = "p2", w: float = ENSEMBLE_PRIMARY_WEIGHT,
              out: str = "prob") -> DataFrame:
@@ -175,12 +171,7 @@ def top_k(imp: DataFrame, k: int = 20) -> DataFrame:
 
 
 def select_features(imp: DataFrame, threshold: float = 0.001) -> DataFrame:
-    """Share of total importance; kept when the (rounded) share reaches ``threshold``."""
+    """Share of total importance; kept when the share reaches ``threshold``."""
     from pyspark.sql import Window
     total = F.sum("importance").over(Window.partitionBy())  # one row per feature
-    return imp.withColumn("pct", F.col("importance") / (total + 1e-9)).withColumn(
-        "kept", F.round("pct", 6) >= threshold)
-
-
-def sentinel_value() -> float:
-    return SENTINEL
+    return imp.withColumn("pct", F.col("importance") / (total + 1e-9)).withColumn("kept", F.col("pct") >= threshold)

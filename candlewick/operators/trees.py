@@ -1,0 +1,73 @@
+"""Boosted trees round by round: the model of the first k trees, and scores after any of its rounds."""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_LINE = re.compile(r"^\s*(?:Tree (\d+) \(weight ([^)]*)\)|Predict: (\S+))", re.M)
+
+
+def first_trees(model: GBTClassificationModel, k: int) -> GBTClassificationModel:
+    """The model after ``k`` boosting rounds (a model like any other: it scores, saves and loads)."""
+    if k >= model.getNumTrees:
+        return model
+    sc = SparkSession.builder.getOrCreate().sparkContext
+    source, ml = model._java_obj, sc._jvm.org.apache.spark.ml
+    trees = sc._gateway.new_array(ml.regression.DecisionTreeRegressionModel, k)
+    weights = sc._gateway.new_array(sc._jvm.double, k)
+    all_trees, all_weights = source.trees(), source.treeWeights()
+    for i in range(k):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    out = GBTClassificationModel(ml.classification.GBTClassificationModel(source.uid(), trees, weights, source.numFeatures(), 2))
+    return out.setFeaturesCol(model.getFeaturesCol())
+
+
+def leaf_values(model: GBTClassificationModel) -> tuple[np.ndarray, np.ndarray]:
+    """(weighted value of each leaf of each tree in leaf order, trees x widest leaf count; leaves per tree)."""
+    rows: list[list[float]] = []
+    weight = 1.0
+    for tree, w, value in _LINE.findall(model.toDebugString):
+        if value:
+            rows[-1].append(weight * float(value))
+        else:
+            rows.append([])
+            weight = float(w)
+    n = np.array([len(r) for r in rows])
+    out = np.zeros((len(rows), n.max(initial=1)))
+    for i, r in enumerate(rows):
+        out[i, :len(r)] = r
+    return out, n
+
+
+def round_scores(model: GBTClassificationModel, df: DataFrame, rounds: list[int] | None = None) -> DataFrame:
+    """Probability after each of ``rounds`` boosting rounds (default: all), one row per input row and round.
+
+    Each tree is walked once per row (MLlib's leaf ids); the margins of all rounds are the running sum of the
+    leaves' values, so the cost is linear in the number of trees.
+    """
+    values, _ = leaf_values(model)
+    rounds = sorted(rounds or range(1, len(values) + 1))
+    shared = df.sparkSession.sparkContext.broadcast((values, np.array(rounds)))
+
+    @F.arrow_udf("array<double>")
+    def scores(leaves: pa.Array) -> pa.Array:
+        table, at = shared.value
+        n = len(leaves)
+        ids = leaves.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(n, -1)
+        margin = np.cumsum(table[np.arange(len(table))[None, :], ids], axis=1)[:, at - 1]
+        flat = 1.0 / (1.0 + np.exp(-2.0 * margin))
+        return pa.ListArray.from_arrays(np.arange(0, n * len(at) + 1, len(at), dtype=np.int32), pa.array(flat.ravel()))
+
+    keep = [c for c in df.columns if c != model.getFeaturesCol()]
+    leafed = model.copy().setLeafCol("_leaf").transform(df.drop("rawPrediction", "probability", "prediction"))
+    numbers = F.array(*[F.lit(k) for k in rounds])
+    return (leafed.select(*keep, scores(vector_to_array("_leaf")).alias("_p"))
+            .select(*keep, F.explode(F.arrays_zip(numbers.alias("round"), F.col("_p").alias("prob"))).alias("_rp"))
+            .select(*keep, F.col("_rp.round").alias("round"), F.col("_rp.prob").alias("prob")))

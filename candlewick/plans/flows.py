@@ -18,7 +18,9 @@ def prepared(flat: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG, clip: bool =
     With ``cfg.skew_safe`` the full C1 -> C4 -> F block runs on bounded row chunks instead
     of one window partition per market (same results).
     """
-    if cfg.skew_safe and clip and flags and drop_resolution:
+    if cfg.skew_safe:
+        if not (clip and flags and drop_resolution):
+            raise ValueError("the skew-safe block covers C1 + C4 only: clip, flags and drop_resolution must be on")
         from candlewick.operators.chunked import prepared_chunked
         return prepared_chunked(flat, q=cfg.clip_quantile)
     df = C.drop_last(flat) if drop_resolution else flat

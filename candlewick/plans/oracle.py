@@ -35,7 +35,7 @@ RAW_MARKETS = """raw_markets AS (
   WITH o AS (SELECT o_orderkey AS k, o_custkey AS cu, o_orderstatus AS st, o_orderpriority AS pr, o_totalprice AS tp, o_orderdate AS od FROM orders),
   s AS (SELECT 0 AS src, k, cu, st, pr, tp, od FROM o WHERE k % 3 <> 0
         UNION ALL SELECT 1 AS src, k, cu, st, pr, tp, od FROM o WHERE k % 2 = 0)
-  SELECT src, k AS seq, concat('O', cast(k % 500 AS varchar), '-', cast(k % 12000 AS varchar)) AS ticker, concat('O', cast(k % 500 AS varchar)) AS event_ticker,
+  SELECT src, k AS seq, concat('O', cast(k // 160 AS varchar), '-', cast(k // 4 AS varchar)) AS ticker, concat('O', cast(k // 160 AS varchar)) AS event_ticker,
     CASE st WHEN 'F' THEN 'finalized' WHEN 'P' THEN 'closed' ELSE 'active' END AS status,
     CASE WHEN k % 17 = 0 THEN 'scalar' ELSE 'binary' END AS market_type,
     CASE WHEN k % 19 = 0 THEN concat('MVE', cast(cu AS varchar)) WHEN k % 2 = 0 THEN '' ELSE NULL END AS mve_collection_ticker,
@@ -221,7 +221,7 @@ SAMPLES = """samples AS (
     [CASE WHEN volume_fp IS NULL OR volume_fp = '' THEN 0.0 ELSE try_cast(volume_fp AS double) END] AS volume_history,
     CAST(NULL AS double) AS price_momentum, CAST(NULL AS double) AS volume_weighted_price, 0.0 AS time_to_resolution,
     question AS rag_query, CASE WHEN result = 'yes' THEN 1.0 ELSE 0.0 END AS label
-  FROM qd WHERE valid AND kw ORDER BY first_src, first_seq LIMIT 3001)"""
+  FROM qd WHERE valid AND kw)"""
 
 MARKET_AGG = """mm AS (
   SELECT market_id, series_id, min(ds) AS first_ds, max(ds) AS last_ds, max(label) AS label,
@@ -269,7 +269,7 @@ def metrics_sql(src: str, prob: str = "prob", label: str = "label") -> str:
     SELECT {prob} AS s, count(*) AS c, sum({label}) AS pos, sum(1 - {label}) AS neg,
       sum(-({label} * ln({p}) + (1 - {label}) * ln(1 - {p}))) AS ll,
       sum(({prob} - {label}) * ({prob} - {label})) AS sq
-    FROM {src} GROUP BY {prob})))"""
+    FROM {src} WHERE {prob} IS NOT NULL AND {label} IS NOT NULL GROUP BY {prob})))"""
 
 
 def round_half_up(expr: str, digits: int) -> str:

@@ -78,7 +78,8 @@ for _m in ("log_loss", "brier", "auc"):
     def _make(metric):
         @query(f"metric_{metric}", with_ctes("split") + final_select(f"n:i, {metric}:d", metrics_sql("test")))
         def fn(spark, sf_dir):
-            return E.metrics(_test(spark, sf_dir)).select("n", metric)
+            form = E.metrics if metric == "auc" else E.log_loss_brier
+            return form(_test(spark, sf_dir)).select("n", metric)
         fn.__doc__ = f"E1: {metric} of the surrogate score on the test split."
     _make(_m)
 
@@ -91,7 +92,7 @@ _BASE_SPEC = "model, n:i, log_loss:d, auc:d, brier:d"
 def baseline_constant(spark, sf_dir):
     """The training YES rate as a constant score, evaluated on test."""
     sc = _scored(spark, sf_dir)
-    return E.baselines(sc.where("split = 'train'"), sc.where("split = 'test'")).where(F.col("model") == "Constant prior")
+    return E.baselines(sc.where("split = 'train'"), sc.where("split = 'test'"), names=(E.CONSTANT,))
 
 
 @query("baseline_market_price", with_ctes(
@@ -100,7 +101,7 @@ def baseline_constant(spark, sf_dir):
 def baseline_market_price(spark, sf_dir):
     """The candle close clipped to [.01, .99] as the score, evaluated on test."""
     sc = _scored(spark, sf_dir)
-    return E.baselines(sc.where("split = 'train'"), sc.where("split = 'test'")).where(F.col("model") == "Market price")
+    return E.baselines(sc.where("split = 'train'"), sc.where("split = 'test'"), names=(E.MARKET,))
 
 
 _PNL = (f"CASE WHEN prob > {THRESHOLD} THEN (CASE WHEN label = 1 THEN 1.0 ELSE 0.0 END) - close "
@@ -158,14 +159,12 @@ def error_by_expiry_bucket(spark, sf_dir):
     return E.error_by_bucket(E.error_flags(_test(spark, sf_dir)))
 
 
-@query("error_histograms", with_ctes("split", _FLAGS) + final_select(
+@query("error_histograms", with_ctes("split", _FLAGS, "ek AS (SELECT prob, CASE WHEN fp = 1 THEN 'fp' ELSE 'fn' END AS kind FROM flg WHERE fp = 1 OR fn = 1)") + final_select(
     "kind, bin:i, bin_lo:d, bin_hi:d, count:i",
-    "(SELECT kind, bin, CASE WHEN hi = lo THEN lo - 0.5 ELSE lo END + bin * CASE WHEN hi = lo THEN 1.0 ELSE hi - lo END / 20 AS bin_lo, "
-    "CASE WHEN hi = lo THEN lo - 0.5 ELSE lo END + (bin + 1) * CASE WHEN hi = lo THEN 1.0 ELSE hi - lo END / 20 AS bin_hi, "
-    "count(*) AS count FROM (SELECT *, CASE WHEN hi = lo THEN 10 ELSE least(floor((prob - lo) / (hi - lo) * 20), 19) END AS bin FROM ("
-    "SELECT *, min(prob) OVER (PARTITION BY kind) AS lo, max(prob) OVER (PARTITION BY kind) AS hi FROM ("
-    "SELECT *, CASE WHEN fp = 1 THEN 'fp' ELSE 'fn' END AS kind FROM flg WHERE fp = 1 OR fn = 1))) "
-    "GROUP BY kind, bin, lo, hi)"))
+    "(SELECT r.kind, g.bin, CASE WHEN hi = lo THEN lo - 0.5 ELSE lo END + g.bin * CASE WHEN hi = lo THEN 1.0 ELSE hi - lo END / 20 AS bin_lo, "
+    "CASE WHEN hi = lo THEN lo - 0.5 ELSE lo END + (g.bin + 1) * CASE WHEN hi = lo THEN 1.0 ELSE hi - lo END / 20 AS bin_hi, "
+    "(SELECT count(*) FROM ek WHERE ek.kind = r.kind AND CASE WHEN r.hi = r.lo THEN 10 ELSE least(floor((ek.prob - r.lo) / (r.hi - r.lo) * 20), 19) END = g.bin) "
+    "AS count FROM (SELECT kind, min(prob) AS lo, max(prob) AS hi FROM ek GROUP BY kind) r, (SELECT unnest(range(20)) AS bin) g)"))
 def error_histograms(spark, sf_dir):
     """20-bin histograms of the score for false positives and false negatives."""
     f = E.error_flags(_test(spark, sf_dir)).where("fp = 1 OR fn = 1") \
@@ -178,14 +177,15 @@ def error_histograms(spark, sf_dir):
     "least(greatest(close, 0.01), 0.99) AS p_market FROM test)",
     f"mr AS (SELECT 'Constant prior' AS model, * FROM {metrics_sql('ct', 'p_constant')} "
     f"UNION ALL SELECT 'Market price' AS model, * FROM {metrics_sql('ct', 'p_market')} "
+    f"UNION ALL SELECT 'Primary model' AS model, * FROM {metrics_sql('ct', 'least(greatest(coalesce(ask_close, close), 0.01), 0.99)')} "
     f"UNION ALL SELECT 'Ensemble' AS model, * FROM {metrics_sql('ct', 'prob')})")
     + final_select(_BASE_SPEC + ", beats_market_auc:b",
-                   "(SELECT *, CASE WHEN model = 'Ensemble' THEN auc > max(CASE WHEN model = 'Market price' THEN auc END) "
+                   "(SELECT *, CASE WHEN model IN ('Primary model', 'Ensemble') THEN auc > max(CASE WHEN model = 'Market price' THEN auc END) "
                    "OVER () END AS beats_market_auc FROM mr)"))
 def evaluation_table(spark, sf_dir):
-    """Baselines and the scored model side by side, with the beats-market verdict."""
-    sc = _scored(spark, sf_dir)
-    rows = E.baselines(sc.where("split = 'train'"), sc.where("split = 'test'"), extra={"Ensemble": "prob"})
+    """Baselines, a primary score and the blended score side by side, with the beats-market verdict."""
+    sc = _scored(spark, sf_dir).withColumn("p1", F.least(F.greatest(F.coalesce("ask_close", "close"), F.lit(0.01)), F.lit(0.99)))
+    rows = E.baselines(sc.where("split = 'train'"), sc.where("split = 'test'"), extra={"Primary model": "p1", "Ensemble": "prob"})
     return E.evaluation_table(rows).select("model", "n", "log_loss", "auc", "brier", "beats_market_auc")
 
 

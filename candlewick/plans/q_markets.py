@@ -19,16 +19,18 @@ def _raw(spark, sf_dir):
     return fixtures.raw_markets(spark, sf_dir)
 
 
-def _dedup(spark, sf_dir):
-    return M.dedupe_last(_raw(spark, sf_dir))
+def _dedup(spark, sf_dir, *cols):
+    """The de-duplicated markets with the named columns only."""
+    return M.dedupe_last(_raw(spark, sf_dir), cols=cols)
 
 
 def _qd(spark, sf_dir):
-    return M.with_question(_dedup(spark, sf_dir), "associated_markets")
+    return M.with_question(_dedup(spark, sf_dir, "rules_primary", "yes_sub_title", "no_sub_title", "associated_markets", "title"),
+                           "associated_markets")
 
 
-def _samples(spark, sf_dir, max_samples=3000):
-    return M.market_samples(_dedup(spark, sf_dir), KW, max_samples)
+def _samples(spark, sf_dir):
+    return M.market_samples(_dedup(spark, sf_dir, *M.SAMPLE_INPUT), KW)
 
 
 @query("union_sources", with_ctes("raw_markets") + final_select("src:i, seq:i, ticker, status", "raw_markets"))
@@ -43,7 +45,7 @@ def union_sources(spark, sf_dir):
     "ticker, src:i, seq:i, status, result, volume_fp, first_src:i, first_seq:i", "dedup"))
 def dedupe_last_wins(spark, sf_dir):
     """M2: one row per ticker, last source / last row wins, first position kept."""
-    return _dedup(spark, sf_dir).select("ticker", "src", "seq", "status", "result", "volume_fp", "first_src", "first_seq")
+    return _dedup(spark, sf_dir, "status", "result", "volume_fp").select("ticker", "src", "seq", "status", "result", "volume_fp", "first_src", "first_seq")
 
 
 @query("source_counts", with_ctes("raw_markets") + final_select(
@@ -56,27 +58,16 @@ def source_counts(spark, sf_dir):
 
 
 @query("bounded_pull", with_ctes("raw_markets") + final_select(
-    "src:i, seq:i, ticker", "(SELECT * FROM raw_markets ORDER BY src, seq LIMIT 3001)"))
+    "src:i, seq:i, ticker", "(SELECT * FROM raw_markets ORDER BY src, seq LIMIT 100)"))
 def bounded_pull(spark, sf_dir):
-    """M4: the first 3,001 markets in arrival order (a top-k, not a full sort)."""
-    return M.bounded(_raw(spark, sf_dir), ["src", "seq"], 3001).select("src", "seq", "ticker")
-
-
-@query("paginated_pull", with_ctes("raw_markets") + final_select(
-    "src:i, seq:i, ticker",
-    "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY seq) AS rn FROM raw_markets) WHERE rn <= 4000)"))
-def paginated_pull(spark, sf_dir):
-    """M4 (pull form): each source paged by 1,000 until more than 3,000 are held, then combined."""
-    raw = _raw(spark, sf_dir).select("src", "seq", "ticker")
-    hist = M.paginated(raw.where("src = 0"), ["seq"], 3000, 1000)
-    recent = M.paginated(raw.where("src = 1"), ["seq"], 3000, 1000)
-    return hist.unionByName(recent)
+    """M4: the first 100 markets in arrival order (the top-k of a bounded pull; nothing else reads it)."""
+    return M.bounded(_raw(spark, sf_dir), ["src", "seq"], 100).select("src", "seq", "ticker")
 
 
 @query("filter_valid_markets", with_ctes("qd") + final_select("ticker, status, market_type, result", "qd", "valid"))
 def filter_valid_markets(spark, sf_dir):
     """M5."""
-    return M.valid_markets(_dedup(spark, sf_dir)).select("ticker", "status", "market_type", "result")
+    return M.valid_markets(_dedup(spark, sf_dir, "status", "market_type", "mve_collection_ticker", "result")).select("ticker", "status", "market_type", "result")
 
 
 @query("filter_keywords", with_ctes("qd") + final_select("ticker, question", "qd", "kw"))
@@ -95,12 +86,12 @@ def market_question(spark, sf_dir):
     "ticker, result, label:d=CASE WHEN result = 'yes' THEN 1.0 ELSE 0.0 END", "dedup"))
 def label_from_result(spark, sf_dir):
     """M8."""
-    return M.with_label(_dedup(spark, sf_dir)).select("ticker", "result", "label")
+    return M.with_label(_dedup(spark, sf_dir, "result")).select("ticker", "result", "label")
 
 
 @query("build_market_samples", with_ctes("samples") + final_select(SAMPLE_SPEC, "samples"))
 def build_market_samples(spark, sf_dir):
-    """M9: valid political markets -> sample rows (keeps 3,001)."""
+    """M9: every valid market with a keyword -> sample rows."""
     return _samples(spark, sf_dir)
 
 
@@ -110,7 +101,7 @@ def build_market_samples(spark, sf_dir):
     "count_if(result = 'yes') / count(*) AS yes_ratio FROM dedup)"))
 def label_balance(spark, sf_dir):
     """M10."""
-    return M.label_balance(_dedup(spark, sf_dir))
+    return M.label_balance(_dedup(spark, sf_dir, "result"))
 
 
 @query("market_preview", with_ctes("raw_markets") + final_select(
@@ -132,8 +123,8 @@ def life_window(spark, sf_dir):
 @query("join_labels", with_ctes("samples") + final_select(
     "ticker, label:d", "(SELECT d.ticker, s.label FROM dedup d LEFT JOIN samples s ON d.ticker = s.market_id)"))
 def join_labels(spark, sf_dir):
-    """Every market gets its sample label (or NULL); the capped sample side is broadcast."""
-    return M.join_labels(_dedup(spark, sf_dir), _samples(spark, sf_dir), bounded_rows=3001).select("ticker", "label")
+    """Every market gets its sample label (or NULL)."""
+    return M.join_labels(_dedup(spark, sf_dir, "status"), _samples(spark, sf_dir)).select("ticker", "label")
 
 
 _REC = ("rec AS (SELECT market_id, ds, close FROM flat WHERE cast(regexp_extract(market_id, '^U([0-9]+)', 1) AS int) % 3 = 0 "
@@ -171,6 +162,17 @@ def build_all_series(spark, sf_dir):
     return M.build_series(fixtures.market_meta(spark, sf_dir), fixtures.quotes(spark, sf_dir))
 
 
+@query("skip_report", with_ctes("life") + final_select(
+    "ticker, skip_reason",
+    "(SELECT lw.ticker, coalesce(lw.skip_reason, 'empty') AS skip_reason FROM lw LEFT JOIN "
+    "(SELECT DISTINCT f.market_id FROM flat f JOIN lw ON f.market_id = lw.ticker AND lw.skip_reason IS NULL "
+    "AND f.end_period_ts BETWEEN lw.start_ts AND lw.end_ts AND f.open_interest % 2 = 0) g ON g.market_id = lw.ticker WHERE g.market_id IS NULL)"))
+def skip_report(spark, sf_dir):
+    """M16 report: markets without a series and why (candles of even open interest only, so that some are empty)."""
+    even = fixtures.candle_flat(spark, sf_dir).where(F.col("open_interest") % 2 == 0).select("market_id", "end_period_ts")
+    return M.skip_report(fixtures.market_meta(spark, sf_dir), even)
+
+
 # ---------------------------------------------------------------- parse (P*)
 @query("flatten_candles", with_ctes("flat") + final_select(
     "market_id, series_id, ds:t, close:d, high:d, low:d, label:d, volume:d, open_interest:d, end_period_ts:i, "
@@ -185,7 +187,7 @@ def flatten_candles(spark, sf_dir):
     "ticker, yes_price:d=try_cast(yes_ask_dollars AS double), volume:d=try_cast(volume_fp AS double)", "dedup"))
 def to_float(spark, sf_dir):
     """Numbers held in text; bad or empty text is missing."""
-    return _dedup(spark, sf_dir).select("ticker", FN.to_float("yes_ask_dollars").alias("yes_price"),
+    return _dedup(spark, sf_dir, "yes_ask_dollars", "volume_fp").select("ticker", FN.to_float("yes_ask_dollars").alias("yes_price"),
                                         FN.to_float("volume_fp").alias("volume"))
 
 
@@ -194,21 +196,21 @@ def to_float(spark, sf_dir):
     "dedup"))
 def default_zero(spark, sf_dir):
     """``float(x or 0)``."""
-    return _dedup(spark, sf_dir).select("ticker", FN.zero_default("volume_fp").alias("volume"))
+    return _dedup(spark, sf_dir, "volume_fp").select("ticker", FN.zero_default("volume_fp").alias("volume"))
 
 
 @query("series_id", with_ctes("dedup") + final_select(
     "ticker, series_id=regexp_replace(ticker, '-[^-]*$', '')", "dedup"))
 def series_id(spark, sf_dir):
     """Ticker minus its last suffix."""
-    return _dedup(spark, sf_dir).select("ticker", FN.series_id_col("ticker").alias("series_id"))
+    return _dedup(spark, sf_dir, "status").select("ticker", FN.series_id_col("ticker").alias("series_id"))
 
 
 @query("series_ticker", with_ctes("dedup") + final_select(
     "ticker, series_ticker=split_part(ticker, '-', 1)", "dedup"))
 def series_ticker(spark, sf_dir):
     """P5: text before the first dash."""
-    return _dedup(spark, sf_dir).select("ticker", FN.series_ticker_col("ticker").alias("series_ticker"))
+    return _dedup(spark, sf_dir, "status").select("ticker", FN.series_ticker_col("ticker").alias("series_ticker"))
 
 
 @query("iso_to_epoch", with_ctes("life") + final_select(

@@ -1,8 +1,11 @@
-"""Model queries (T*, E9-E11, S8).
-
-Scaling, ensembling, fold summaries and selection have exact oracles on data-derived
-inputs; fits return invariants that SQL can state (rows scored, probabilities in the
-unit interval, one row per config / ablation / variant).
+"""Model queries (T*, E9-E11).
+
+Scaling, ensembling, fold summaries, deltas and selection have exact oracles on data-derived
+inputs.  SQL cannot refit MLlib trees, so a fitted model's query writes its scores and tables to the
+shared folder and returns, beside values SQL knows exactly (rows scored, label sums, baseline
+metrics), checks that a wrong fit or table breaks: the loss beats the constant prior, the AUC is
+above one half, reported metrics equal those recomputed from the written scores, deltas and best
+rows are consistent.
 """
 
 from __future__ import annotations
@@ -11,15 +14,15 @@ import math
 
 from pyspark.sql import functions as F
 
-from candlewick.config import ALL_FEATURE_COLS, FEATURE_GROUPS, HYPERPARAM_CONFIGS, PRIMARY_MODEL
+from candlewick.config import ALL_FEATURE_COLS, DEFAULT_CONFIG, FEATURE_GROUPS, HYPERPARAM_CONFIGS, PRIMARY_MODEL
 from candlewick.operators import evaluation as E
 from candlewick.operators import models as T
 from candlewick.operators import splits as G
 from candlewick.plans import flows, training
-from candlewick.plans.oracle import final_select, with_ctes
+from candlewick.plans.oracle import clipped_cte, features_cte, final_select, metrics_sql, with_ctes
 from candlewick.plans.registry import query
 
-Q = training.QUICK
+Q = DEFAULT_CONFIG
 
 
 def _splits(spark, sf_dir):
@@ -35,8 +38,26 @@ def _sq(s):
     return "'" + s.replace("'", "''") + "'"
 
 
-def _unit(c):
-    return F.coalesce(F.min((F.col(c) >= 0) & (F.col(c) <= 1)), F.lit(True))
+# constant prior of train on another split: n, label sum and its log-loss
+_PRIOR = ("(SELECT count(*) AS n, sum(label) AS n_yes, avg(-(label * ln(p) + (1 - label) * ln(1 - p))) AS constant_loss FROM "
+          "(SELECT label, (SELECT avg(label) FROM scored WHERE split = 'train') AS p FROM scored WHERE split = '{split}'))")
+_CHECKED = "n:i, n_yes:i, constant_loss:d, beats_constant:b=true, auc_above_half:b=true, many_scores:b=true, in_unit:b=true"
+
+
+def _checked(train, scores, prob="prob"):
+    """Written scores against the constant prior: exact counts and prior loss, and checks of the fit."""
+    rate = train.agg(F.avg("label")).first()[0]
+    m = E.metrics(scores, prob).first()
+    base = E.log_loss_col("_c", "label")
+    return scores.withColumn("_c", F.lit(rate)).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("n_yes"), F.avg(base).alias("constant_loss"),
+        (F.lit(m["log_loss"]) < F.avg(base)).alias("beats_constant"), F.lit(m["auc"] > 0.5).alias("auc_above_half"),
+        (F.countDistinct(prob) > 10).alias("many_scores"),
+        F.min((F.col(prob) >= 0) & (F.col(prob) <= 1)).alias("in_unit"))
+
+
+def _near(a, b, tol=1e-6):
+    return a is not None and b is not None and abs(a - b) <= tol
 
 
 _FILLED = ", ".join(f"coalesce(cast({c} AS double), -999.0) AS {c}" for c in ALL_FEATURE_COLS)
@@ -54,27 +75,23 @@ def standard_scale(spark, sf_dir):
     """Mean / population std fitted on train (after the -999 fill), applied to test."""
     sp = training.make_splits(flows.model_frame(spark, sf_dir), Q)
     stats = T.fit_scaler(sp.train, ALL_FEATURE_COLS)
-    return T.apply_scaler(sp.test, stats).select("market_id", "ds", *ALL_FEATURE_COLS)
-
-
-_SCORED_SPEC = "n_scored:i, all_probs_in_unit:b"
-_SCORED_SQL = "(SELECT count(*) AS n_scored, true AS all_probs_in_unit FROM test)"
+    return T.scaled_columns(sp.test, stats).select("market_id", "ds", *[F.col(f"z_{c}").alias(c) for c in ALL_FEATURE_COLS])
 
 
 def _fit_one(spark, sf_dir, params_fn):
     sp = _splits(spark, sf_dir)
     _, tr, (va, te) = training.scaled(sp.train, [sp.val, sp.test], sp.cols)
     fitted = T.fit_gbt(tr, va, params_fn(), Q.patience)
-    return T.predict_prob(fitted.model, te).agg(F.count(F.lit(1)).alias("n_scored"), _unit("prob").alias("all_probs_in_unit"))
+    return _checked(sp.train, training.written_scores(T.predict_prob(fitted.model, te), "prob"))
 
 
-@query("gbt_primary", with_ctes("split") + final_select(_SCORED_SPEC, _SCORED_SQL))
+@query("gbt_primary", with_ctes("split") + final_select(_CHECKED, _PRIOR.format(split="test")))
 def gbt_primary(spark, sf_dir):
     """Primary boosted trees (early-stopped on val) scoring every test row."""
     return _fit_one(spark, sf_dir, lambda: T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed))
 
 
-@query("gbt_secondary", with_ctes("split") + final_select(_SCORED_SPEC, _SCORED_SQL))
+@query("gbt_secondary", with_ctes("split") + final_select(_CHECKED, _PRIOR.format(split="test")))
 def gbt_secondary(spark, sf_dir):
     """Depth-5 secondary boosted trees scoring every test row."""
     return _fit_one(spark, sf_dir, lambda: T.secondary_params(Q.max_rounds, Q.seed + 1))
@@ -89,29 +106,54 @@ def ensemble_score(spark, sf_dir):
     return T.ensemble(t.drop("prob"), "p1", "p2").select("market_id", "ds", "prob")
 
 
-_CONFIG_ROWS = [[_sq(n), "true"] for n in HYPERPARAM_CONFIGS]
+_CONFIGS = _values([[_sq(n)] for n in HYPERPARAM_CONFIGS], ["config"])
 
 
-@query("hparam_search_holdout", final_select("config, valid:b", _values(_CONFIG_ROWS, ["config", "valid"])))
+@query("hparam_search_holdout", with_ctes("split") + final_select(
+    "config, n:i, constant_loss:d, beats_constant:b=true, auc_above_half:b=true, one_best:b=true, curve_agrees:b=true",
+    f"(SELECT c.config, p.n, p.constant_loss FROM {_CONFIGS} c, {_PRIOR.format(split='val')} p)"))
 def hparam_search_holdout(spark, sf_dir):
-    """T5: each config trained on train and scored on val; valid = finite loss, AUC in [0, 1], round in range."""
-    res = training.search_holdout(_splits(spark, sf_dir), Q)
-    rows = [(r["config"], bool(math.isfinite(r["log_loss"]) and 0 <= r["auc"] <= 1 and 1 <= r["best_iter"] <= Q.max_rounds))
-            for r in res]
-    return spark.createDataFrame(rows, "config string, valid boolean")
-
-
-@query("hparam_search_cv", final_select("config, n_folds:i, valid:b",
-                                        _values([[_sq(n), "5", "true"] for n in HYPERPARAM_CONFIGS],
-                                                ["config", "n_folds", "valid"])))
+    """T5: each config trained on train and scored on val; the best is the lowest log-loss, and the loss
+    recomputed from the written scores is the lowest of the loss curve."""
+    sp = _splits(spark, sf_dir)
+    res = training.search_holdout(sp, Q)
+    prior = _prior(sp.train, sp.val)
+    best = [r for r in res if r["is_best"]]
+    one = len(best) == 1 and best[0]["log_loss"] == min(r["log_loss"] for r in res)
+    rows = [(r["config"], prior["n"], prior["loss"], r["log_loss"] < prior["loss"], r["auc"] > 0.5, one,
+             _near(r["log_loss"], min(r["val_curve"][:r["best_iter"]]))) for r in res]
+    return spark.createDataFrame(rows, "config string, n long, constant_loss double, beats_constant boolean, auc_above_half boolean, "
+                                       "one_best boolean, curve_agrees boolean")
+
+
+def _prior(train, rows):
+    """n and log-loss of the constant prior of ``train`` on ``rows``."""
+    rate = train.agg(F.avg("label")).first()[0]
+    r = E.log_loss_brier(rows.select("label", F.lit(rate).alias("prob"))).first()
+    return {"n": r["n"], "loss": r["log_loss"]}
+
+
+@query("hparam_search_cv", with_ctes("split") + final_select(
+    "config, n_folds:i, n:i, beats_constant:b=true, auc_above_half:b=true, curves_kept:b=true, one_best:b=true",
+    f"(SELECT c.config, 5 AS n_folds, (SELECT count(*) FROM splitted WHERE split IN ('train', 'val')) AS n FROM {_CONFIGS} c)"))
 def hparam_search_cv(spark, sf_dir):
-    """Configs x 5 group folds; per config the fold count and validity of every fold metric."""
-    rows = training.search_cv(_splits(spark, sf_dir), Q)
-    summ = T.cv_summary(spark.createDataFrame(rows))
-    return summ.select("config", "n_folds", (F.col("mean_val_loss").isNotNull() & (F.col("mean_auc") >= 0)
-                                             & (F.col("mean_auc") <= 1)).alias("valid"))
+    """Configs x 5 group folds: every dev row is scored once a config, the mean loss beats the entropy of
+    the labels' share, and the first fold keeps its curves."""
+    sp = _splits(spark, sf_dir)
+    res = training.search_cv(sp, Q)
+    rate = G.dev_union(sp.rows).agg(F.avg("label")).first()[0]
+    entropy = -(rate * math.log(rate) + (1 - rate) * math.log(1 - rate))
+    summ = T.cv_summary(training.fold_table(spark, res)).collect()      # one row per config
+    kept = {r["config"] for r in res if r["fold"] == 0 and r["val_curve"] and len(r["train_curve"]) == len(r["val_curve"])}
+    one = sum(bool(s["is_best"]) for s in summ) == 1
+    rows = [(s["config"], s["n_folds"], sum(r["n"] for r in res if r["config"] == s["config"]), s["mean_val_loss"] < entropy,
+             s["mean_auc"] > 0.5, s["config"] in kept, one) for s in summ]
+    return spark.createDataFrame(rows, "config string, n_folds long, n long, beats_constant boolean, auc_above_half boolean, "
+                                       "curves_kept boolean, one_best boolean")
 
 
+_VAL = "(SELECT * FROM scored WHERE split = 'val')"
+
 # cv_summary: the fold-metric aggregation, exact, on fold metrics of two model-free scores
 _CV_FOLDS = ("(SELECT series_id, CASE WHEN r % 10 < 5 THEN r % 10 ELSE 9 - r % 10 END AS fold FROM ("
              "SELECT series_id, row_number() OVER (ORDER BY n DESC, series_id) - 1 AS r FROM ("
@@ -156,25 +198,40 @@ def cv_summary(spark, sf_dir):
     return T.cv_summary(fm)
 
 
-@query("training_curves", final_select("config, n_points:i, all_finite:b",
-                                       _values([[_sq(n), str(Q.max_rounds), "true"] for n in HYPERPARAM_CONFIGS],
-                                               ["config", "n_points", "all_finite"])))
+@query("training_curves", with_ctes("split") + final_select(
+    "config, n:i, starts_near_prior:b=true, train_falls:b=true, best_is_lowest:b=true, auc_rows_agree:b=true",
+    f"(SELECT c.config, (SELECT count(*) FROM splitted WHERE split = 'val') AS n FROM {_CONFIGS} c)"))
 def training_curves(spark, sf_dir):
-    """Per-round train / val loss per config (rounds recorded, all finite)."""
-    res = training.search_holdout(_splits(spark, sf_dir), Q)
-    rows = [(r["config"], len(r["val_curve"]), all(math.isfinite(v) for v in r["train_curve"] + r["val_curve"]))
-            for r in res]
-    return spark.createDataFrame(rows, "config string, n_points int, all_finite boolean")
-
-
-@query("feature_importance_topk", final_select("n_ranked:i, all_nonneg:b", "(SELECT 20 AS n_ranked, true AS all_nonneg)"))
+    """Per round train and val loss, and per round log-loss / Brier / AUC on val, written as tables; the
+    two loss curves agree round by round, and the kept round is the lowest before patience ran out."""
+    sp = _splits(spark, sf_dir)
+    out = []
+    for r in training.search_holdout(sp, Q, curves=True):
+        by_round = r["by_round"].orderBy("round").collect()             # one row per boosting round
+        agree = len(by_round) == r["rounds"] and all(_near(x["log_loss"], v) and 0 <= x["auc"] <= 1
+                                                     for x, v in zip(by_round, r["val_curve"]))
+        k = r["best_iter"]
+        out.append((r["config"], by_round[0]["n"], r["val_curve"][0] < math.log(2) + 0.1, r["train_curve"][k - 1] < r["train_curve"][0],
+                    r["val_curve"][k - 1] == min(r["val_curve"][:min(len(r["val_curve"]), k + Q.patience)]), agree))
+    return spark.createDataFrame(out, "config string, n long, starts_near_prior boolean, train_falls boolean, best_is_lowest boolean, "
+                                      "auc_rows_agree boolean")
+
+
+@query("feature_importance_topk", with_ctes("split") + final_select(
+    "n_train:i, n_ranked:i, sums_to_one:b, ordered:b, known:b",
+    "(SELECT count(*) AS n_train, 20 AS n_ranked, true AS sums_to_one, true AS ordered, true AS known FROM splitted WHERE split = 'train')"))
 def feature_importance_topk(spark, sf_dir):
-    """The 20 most important features of the primary model."""
+    """The 20 most important features of the primary model (written as a table); all importances sum to 1."""
+    from candlewick.session import write_and_read
     sp = _splits(spark, sf_dir)
     _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
     fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience)
-    top = T.top_k(T.importance_table(spark, fitted.model, sp.cols), 20)
-    return top.agg(F.count(F.lit(1)).alias("n_ranked"), F.min(F.col("importance") >= 0).alias("all_nonneg"))
+    imp = write_and_read(T.importance_table(spark, fitted.model, sp.cols), "importance")
+    top = T.top_k(imp, 20).collect()                                    # 20 rows
+    total = imp.agg(F.sum("importance")).first()[0]
+    ordered = all(x["importance"] >= y["importance"] >= 0 for x, y in zip(top, top[1:])) and top[0]["importance"] > top[-1]["importance"]
+    return sp.train.agg(F.count(F.lit(1)).alias("n_train"), F.lit(len(top)).alias("n_ranked"), F.lit(_near(total, 1.0)).alias("sums_to_one"),
+                        F.lit(ordered).alias("ordered"), F.lit(all(x["feature"] in ALL_FEATURE_COLS for x in top)).alias("known"))
 
 
 _CORR = " UNION ALL ".join(
@@ -185,7 +242,7 @@ _CORR = " UNION ALL ".join(
 @query("select_features", with_ctes(
     "split", f"fl AS (SELECT split, label, {_FILLED} FROM splitted)", f"imp AS ({_CORR})")
     + final_select("feature, importance:d, pct:d, kept:b",
-                   "(SELECT *, round(pct, 6) >= 0.001 AS kept FROM ("
+                   "(SELECT *, pct >= 0.001 AS kept FROM ("
                    "SELECT feature, importance, importance / (sum(importance) OVER () + 1e-9) AS pct FROM imp))"))
 def select_features(spark, sf_dir):
     """T9 on a data-derived importance table (|corr(feature, label)| on train): share and keep flag."""
@@ -201,56 +258,112 @@ def select_features(spark, sf_dir):
     return T.select_features(imp, Q.feature_selection_threshold)
 
 
-@query("train_and_evaluate", with_ctes("split") + final_select(
-    "n_scored:i, all_probs_in_unit:b, has_features:b",
-    "(SELECT count(*) AS n_scored, true AS all_probs_in_unit, true AS has_features FROM test)"))
-def train_and_evaluate(spark, sf_dir):
-    """CV search, probe model, selection, primary + secondary, ensemble scores on test."""
-    res = training.train_pipeline(_splits(spark, sf_dir), Q)
-    return res["test_scored"].agg(F.count(F.lit(1)).alias("n_scored"), _unit("prob").alias("all_probs_in_unit"),
-                                  F.lit(len(res["selected"]) > 0).alias("has_features"))
+_T10 = (
+    "split", "ct AS (SELECT *, (SELECT avg(label) FROM scored WHERE split = 'train') AS p_constant, "
+    "least(greatest(close, 0.01), 0.99) AS p_market FROM test)",
+    f"br AS (SELECT 'Constant prior' AS model, * FROM {metrics_sql('ct', 'p_constant')} "
+    f"UNION ALL SELECT 'Market price' AS model, * FROM {metrics_sql('ct', 'p_market')} "
+    "UNION ALL SELECT v.model, (SELECT count(*) FROM test), NULL, NULL, NULL FROM (VALUES ('Primary model'), ('Ensemble')) v(model))")
 
 
-@query("score_live_model", with_ctes("flat") + final_select(
-    "market_id, candles_seen:i, all_probs_in_unit:b",
-    "(SELECT market_id, count(*) AS candles_seen, true AS all_probs_in_unit FROM flat GROUP BY market_id)"))
+@query("train_and_evaluate", with_ctes(*_T10) + final_select(
+    "model, n:i, log_loss:d, brier:d, auc:d, beats_constant:b, flow_ok:b=true",
+    "(SELECT *, CASE WHEN model IN ('Primary model', 'Ensemble') THEN true END AS beats_constant FROM br)"))
+def train_and_evaluate(spark, sf_dir):
+    """CV search, probe, selection, final models, ensemble, baselines, evaluation, errors, back-test,
+    attribution, ablation and saved bundle.  Returns the evaluation table (the trained rows' values, which SQL
+    cannot state, as whether they beat the constant prior) and whether the other parts agree with it."""
+    from candlewick.session import scratch_path
+    from candlewick.sources import io
+    sp = _splits(spark, sf_dir)
+    res = training.train_pipeline(sp, Q, bundle=scratch_path(spark, "final-bundle"))
+    rows = {r["model"]: r for r in res["evaluation"].collect()}         # four rows
+    bets = E.backtest_summary(res["backtest"]).first()
+    total = res["test_scored"].agg(F.sum(E.pnl_col(threshold=Q.backtest_threshold))).first()[0]
+    models, _, cols = io.load_bundle(spark, res["bundle"])
+    errors = res["errors"].first()
+    ok = (_near(bets["total_pnl"], total) and set(models) == {"primary", "secondary"} and cols == res["selected"]
+          and errors["n"] == rows["Ensemble"]["n"] and res["attribution"].count() == 5 and len(res["ablation"]) == len(_ABL)
+          and sum(r["n"] or 0 for r in res["errors_by_bucket"].collect()) == errors["n"]
+          and math.isfinite(res["val_loss_before_selection"]) and math.isfinite(res["val_loss"]))
+    prior = rows[E.CONSTANT]["log_loss"]
+    base = (E.CONSTANT, E.MARKET)
+    out = [(m, r["n"], *((r["log_loss"], r["brier"], r["auc"], None) if m in base else (None, None, None, r["log_loss"] < prior)), bool(ok))
+           for m, r in rows.items()]
+    return spark.createDataFrame(out, "model string, n long, log_loss double, brier double, auc double, beats_constant boolean, flow_ok boolean")
+
+
+@query("score_live_model", with_ctes("flat", clipped_cte("pre_live", "flat"), features_cte("live", "pre_live")) + final_select(
+    "market_id, candles_seen:i, hours_to_expiry:d, probs_ok:b=true, signal_ok:b=true",
+    "(SELECT market_id, count(*) AS candles_seen, arg_max(hours_to_expiry, ds) AS hours_to_expiry FROM live GROUP BY market_id)"))
 def score_live_model(spark, sf_dir):
-    """I1 + I2 with a trained, saved and reloaded primary + secondary bundle: every market scored."""
+    """I1 + I2 end to end: live-shape quotes -> candles -> cleaning and features -> saved and reloaded bundle ->
+    probability, hours to expiry and signal of every market."""
+    from candlewick.functions.columns import signal_col
+    from candlewick.plans.q_sources import live_flat
     from candlewick.session import scratch_path
-    from candlewick.sources import fixtures, io
+    from candlewick.sources import io
     sp = _splits(spark, sf_dir)
     stats, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
     m1, m2 = training.run_parallel(lambda p: T.fit_gbt(tr, va, p, Q.patience),
                                    [T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed),
                                     T.secondary_params(Q.max_rounds, Q.seed + 1)])
-    path = scratch_path(spark, "live-bundle")
-    io.save_bundle(path, {"primary": m1.model, "secondary": m2.model}, stats, sp.cols)
+    path = io.save_bundle(spark, scratch_path(spark, "live-bundle"), {"primary": m1.model, "secondary": m2.model}, stats, sp.cols)
     models, stats2, cols = io.load_bundle(spark, path)
-    scored = training.score_with_models(fixtures.candle_flat(spark, sf_dir), models, stats2, cols)
-    unit = F.forall("all_probs", lambda p: (p >= 0) & (p <= 1)) & (F.col("current_prob") >= 0) & (F.col("current_prob") <= 1)
-    return scored.select("market_id", "candles_seen", unit.alias("all_probs_in_unit"))
+    scored = training.score_with_models(live_flat(spark, sf_dir), models, stats2, cols)
+    unit = F.forall("all_probs", lambda p: (p >= 0) & (p <= 1)) & (F.size("all_probs") == F.col("candles_seen")) \
+        & (F.element_at("all_probs", -1) == F.col("current_prob"))
+    return scored.select("market_id", "candles_seen", "hours_to_expiry", unit.alias("probs_ok"),
+                         (F.col("signal") == signal_col("current_prob", "candles_seen")).alias("signal_ok"))
 
 
 _ABL = ["Full model (all features + scaler)"] + [f"Remove '{g}'" for g in FEATURE_GROUPS] + ["No StandardScaler"]
 
 
-@query("ablation_table", final_select("ablation, valid:b", _values([[_sq(a), "true"] for a in _ABL], ["ablation", "valid"])))
+@query("ablation_table", with_ctes("split") + final_select(
+    "ablation, n:i, constant_loss:d, beats_constant:b=true, delta_ok:b=true",
+    f"(SELECT a.ablation, p.n, p.constant_loss FROM {_values([[_sq(a)] for a in _ABL], ['ablation'])} a, {_PRIOR.format(split='val')} p)"))
 def ablation_table(spark, sf_dir):
-    """Val log-loss without each feature group and without the scaler (10 fits)."""
-    rows = training.ablation(_splits(spark, sf_dir), Q)
-    return spark.createDataFrame([(r["ablation"], bool(math.isfinite(r["val_loss"]))) for r in rows],
-                                 "ablation string, valid boolean")
+    """Val log-loss without each feature group and without the scaler, and its delta to the full model."""
+    sp = _splits(spark, sf_dir)
+    rows = training.ablation(sp, Q)
+    prior = _prior(sp.train, sp.val)
+    full = next(r["val_loss"] for r in rows if r["ablation"] == _ABL[0])
+    out = [(r["ablation"], prior["n"], prior["loss"], r["val_loss"] < prior["loss"], _near(r["delta"], r["val_loss"] - full, 1e-12))
+           for r in rows]
+    return spark.createDataFrame(out, "ablation string, n long, constant_loss double, beats_constant boolean, delta_ok boolean")
+
+
+@query("ablation_delta", with_ctes("split") + final_select(
+    "ablation, val_loss:d, delta:d",
+    f"(SELECT ablation, val_loss, val_loss - first_value(val_loss) OVER (ORDER BY nr) AS delta FROM ("
+    f"SELECT 'surrogate' AS ablation, 0 AS nr, log_loss AS val_loss FROM {metrics_sql(_VAL)} UNION ALL "
+    f"SELECT 'market price', 1, log_loss FROM {metrics_sql(_VAL, 'least(greatest(close, 0.01), 0.99)')}))"))
+def ablation_delta(spark, sf_dir):
+    """E9 delta, exact, on the val log-loss of two model-free scores."""
+    from candlewick.plans.q_eval import _scored
+    va = _scored(spark, sf_dir).where("split = 'val'")
+    loss = {"surrogate": E.log_loss_brier(va).first()["log_loss"],
+            "market price": E.log_loss_brier(va.withColumn("prob", E.clip_unit("close"))).first()["log_loss"]}
+    rows = training.ablation_delta([dict(ablation=k, val_loss=v) for k, v in loss.items()])
+    return spark.createDataFrame([(r["ablation"], r["val_loss"], r["delta"]) for r in rows], "ablation string, val_loss double, delta double")
 
 
-@query("attribution_topk", final_select("n_ranked:i, known_features:b", "(SELECT 5 AS n_ranked, true AS known_features)"))
+@query("attribution_topk", with_ctes("split") + final_select(
+    "n:i, n_ranked:i, known:b=true, ordered:b=true, top_matters:b=true, loss_agrees:b=true",
+    "(SELECT count(*) AS n, 5 AS n_ranked FROM splitted WHERE split = 'val')"))
 def attribution_topk(spark, sf_dir):
     """E10 (re-aimed): top-5 features by log-loss increase when set to their mean, on all val rows."""
     sp = _splits(spark, sf_dir)
     _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
     fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience)
-    top = training.attribution(fitted.model, va, sp.cols, 5)
-    return top.agg(F.count(F.lit(1)).alias("n_ranked"),
-                   F.min(F.col("feature").isin(ALL_FEATURE_COLS)).alias("known_features"))
+    top = training.attribution(fitted.model, va, sp.cols, 5).collect()  # five rows
+    known = all(r["feature"] in ALL_FEATURE_COLS for r in top)
+    ordered = all(x["importance"] >= y["importance"] for x, y in zip(top, top[1:]))
+    agrees = _near(top[0]["loss_full"], min(fitted.val_curve[:fitted.best_iter])) and all(
+        _near(r["importance"], r["loss_without"] - r["loss_full"], 1e-12) for r in top)
+    return sp.val.agg(F.count(F.lit(1)).alias("n"), F.lit(len(top)).alias("n_ranked"), F.lit(known).alias("known"), F.lit(ordered).alias("ordered"),
+                      F.lit(top[0]["importance"] > 0).alias("top_matters"), F.lit(agrees).alias("loss_agrees"))
 
 
 _EVID = ("(SELECT 'No missing flags' AS variant, (SELECT count(*) FROM model) AS n_rows UNION ALL "
@@ -259,24 +372,25 @@ _EVID = ("(SELECT 'No missing flags' AS variant, (SELECT count(*) FROM model) AS
          "SELECT 'With >6h filter', (SELECT count(*) FROM model))")
 
 
-@query("preprocessing_evidence", with_ctes("model") + final_select("variant, n_rows:i, valid:b=true", _EVID))
+@query("preprocessing_evidence", with_ctes("model") + final_select(
+    "variant, n_rows:i, beats_constant:b=true, auc_above_half:b=true, top_known:b=true", _EVID))
 def preprocessing_evidence(spark, sf_dir):
-    """Test metrics with / without missing flags and with / without the >6 h filter (row counts exact)."""
-    from candlewick.plans.flows import model_rows, prepared
-    from candlewick.sources import fixtures
-    flat = fixtures.candle_flat(spark, sf_dir)
-    variants = [
-        ("No missing flags", model_rows(prepared(flat, flags=False))),
-        ("With missing flags (full)", model_rows(prepared(flat))),
-        ("No >6h filter", model_rows(prepared(flat), min_hours=False)),
-        ("With >6h filter", model_rows(prepared(flat))),
-    ]
+    """Test metrics and top feature with / without missing flags and with / without the >6 h filter
+    (row counts exact).  The feature block runs once; the full variant is fitted once and reported twice."""
+    from candlewick.operators.candles import MISSING_FLAG_SOURCES
+    from candlewick.plans.flows import model_rows
+    feat = training.materialise(flows.feature_frame(spark, sf_dir))
+    unflagged = feat.withColumns({f"{c}_missing": F.lit(0) for c in MISSING_FLAG_SOURCES})
+    variants = [("No missing flags", model_rows(unflagged)), ("full", model_rows(feat)), ("No >6h filter", model_rows(feat, min_hours=False))]
+
     def one(variant):
         name, rows = variant
         sp = training.make_splits(rows, Q)
         _, tr, (va, te) = training.scaled(sp.train, [sp.val, sp.test], sp.cols)
-        fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience, refit=False)
-        m = E.metrics(T.predict_best(fitted, te)).first()
-        return name, sp.rows.count(), bool(math.isfinite(m["log_loss"]))
-    out = training.run_parallel(one, variants)
-    return spark.createDataFrame(out, "variant string, n_rows long, valid boolean")
+        fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience)
+        m = E.metrics(training.written_scores(T.predict_prob(fitted.model, te), "prob")).first()
+        top = T.top_k(T.importance_table(spark, fitted.model, sp.cols), 1).first()["feature"]
+        return name, sp.rows.count(), m["log_loss"] < _prior(sp.train, sp.test)["loss"], m["auc"] > 0.5, top in ALL_FEATURE_COLS
+    got = {r[0]: r[1:] for r in training.run_parallel(one, variants)}
+    out = [(n, *got.get(n, got["full"])) for n in ("No missing flags", "With missing flags (full)", "No >6h filter", "With >6h filter")]
+    return spark.createDataFrame(out, "variant string, n_rows long, beats_constant boolean, auc_above_half boolean, top_known boolean")

@@ -5,21 +5,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.config import PRIMARY_MODEL
+from candlewick.config import DEFAULT_CONFIG, PRIMARY_MODEL
 from candlewick.functions.columns import to_float, zero_default
 from candlewick.operators import candles as C
 from candlewick.operators import features as FE
 from candlewick.operators import models as T
 from candlewick.operators import scoring as SC
 from candlewick.plans import flows, training
-from candlewick.plans.oracle import final_select, with_ctes
-from candlewick.plans.q_eval import _LIVE_CTES, _scored
+from candlewick.plans.oracle import final_select, metrics_sql, with_ctes
+from candlewick.plans.q_eval import _LIVE_CTES
 from candlewick.plans.q_markets import _dedup, _raw
 from candlewick.plans.registry import query
 from candlewick.session import scratch_path
 from candlewick.sources import fixtures, io, live, nested
 from candlewick.streaming import bars, dedupe, scoring
 
+_VAL = "(SELECT * FROM scored WHERE split = 'val')"
 FLAT_SPEC = ("market_id, series_id, ds:t, close:d, high:d, low:d, label:d, volume:d, open_interest:d, end_period_ts:i, "
              "ask_close:d, ask_high:d, ask_low:d, bid_close:d, bid_high:d, bid_low:d, price_mean:d")
 MARKET_COLS = ["ticker", "event_ticker", "status", "market_type", "result", "yes_ask_dollars", "volume_fp"]
@@ -38,11 +39,27 @@ def read_market_timeseries(spark, sf_dir):
     return nested.flatten(nested.read_documents(spark, f"{root}/v*/", multiline=False)).select(*nested.FLAT_COLUMNS)
 
 
+@query("read_timeseries_whole", with_ctes("flat") + final_select(
+    "market_id, n_candles:i, last_ds:t, n_rejected:i",
+    "(SELECT market_id, count(*) AS n_candles, max(ds) AS last_ds, 1 AS n_rejected FROM flat GROUP BY market_id)"))
+def read_timeseries_whole(spark, sf_dir):
+    """S1, whole-file form: files that each hold one document of many markets, one of them cut off in the
+    middle; the good documents are read and the broken one is reported."""
+    path = scratch_path(spark, "whole")
+    docs = nested.nest_candles(fixtures.candle_flat(spark, sf_dir)).withColumn("part", F.pmod(F.xxhash64("market_id"), F.lit(64)))
+    io.write_table(nested.to_documents(docs, "part").select("part", "value"), path, "text", partition_by=["part"])
+    cut = spark.createDataFrame([("cut", '{"CUT-1": [{"ds": "2024-01-01 00:00:00", "clo')], "part string, value string")
+    io.write_table(cut, path, "text", mode="append", partition_by=["part"])
+    n = nested.rejected_documents(spark, path).count()
+    back = nested.read_documents(spark, path, broken="skip")
+    return back.select("market_id", F.size("candles").alias("n_candles"),
+                       F.to_timestamp(F.element_at("candles", -1)["ds"]).alias("last_ds"), F.lit(n).alias("n_rejected"))
+
+
 @query("read_markets_json", with_ctes("dedup") + final_select(", ".join(MARKET_COLS), "dedup"))
 def read_markets_json(spark, sf_dir):
-    """Market metadata landed as JSON and read with an explicit schema."""
-    path = scratch_path(spark, "markets")
-    io.write_table(_dedup(spark, sf_dir).select(*MARKET_COLS), path, "json")
+    """Market metadata landed as files of JSON arrays and read with an explicit schema."""
+    path = io.write_market_arrays(_dedup(spark, sf_dir, *MARKET_COLS).select(*MARKET_COLS), scratch_path(spark, "markets"))
     return io.read_markets(spark, path).select(*MARKET_COLS)
 
 
@@ -50,7 +67,7 @@ def read_markets_json(spark, sf_dir):
 def write_json(spark, sf_dir):
     """S3: overwrite replaces what a previous write left."""
     path = scratch_path(spark, "overwrite")
-    d = _dedup(spark, sf_dir).select(*MARKET_COLS)
+    d = _dedup(spark, sf_dir, *MARKET_COLS).select(*MARKET_COLS)
     io.write_table(d.where("status = 'active'"), path, "json")
     io.write_table(d, path, "json", mode="overwrite")
     return io.read_table(spark, path, "json", io.MARKET_SCHEMA).select(*MARKET_COLS)
@@ -66,11 +83,8 @@ def append_json(spark, sf_dir):
     return io.read_table(spark, path, "json", "src int, seq long, ticker string")
 
 
-@query("normalise_live_candles", with_ctes("flat") + final_select(
-    "market_id, ds, close:d=ask_close, high:d=ask_high, low:d=ask_low, bid_close:d, price_mean:d, "
-    "volume:d, open_interest:d", "flat"))
-def normalise_live_candles(spark, sf_dir):
-    """Live-shape quotes (``close``, ``volume``, ``price.mean``) -> training candle shape."""
+def live_candles(spark, sf_dir):
+    """Quotes as a live feed sends them (``close``, ``volume``, ``price.mean``), normalised."""
     f = fixtures.candle_flat(spark, sf_dir)
     t = lambda c: F.col(c).cast("string")
     live_rows = f.select(
@@ -79,7 +93,21 @@ def normalise_live_candles(spark, sf_dir):
         F.struct(t("bid_close").alias("close"), t("bid_high").alias("high"), t("bid_low").alias("low")).alias("yes_bid"),
         F.struct(t("price_mean").alias("mean")).alias("price"),
         t("volume").alias("volume"), t("open_interest").alias("open_interest"))
-    n = live.normalise_candles(live_rows)
+    return live.normalise_candles(live_rows)
+
+
+def live_flat(spark, sf_dir):
+    """Live quotes -> S5 -> nested documents -> P1: the candle table the scoring path starts from."""
+    n = live_candles(spark, sf_dir).withColumn("ds", F.to_timestamp("ds"))
+    return nested.flatten_rows(n)
+
+
+@query("normalise_live_candles", with_ctes("flat") + final_select(
+    "market_id, ds, close:d=ask_close, high:d=ask_high, low:d=ask_low, bid_close:d, price_mean:d, "
+    "volume:d, open_interest:d", "flat"))
+def normalise_live_candles(spark, sf_dir):
+    """Live-shape quotes (``close``, ``volume``, ``price.mean``) -> training candle shape."""
+    n = live_candles(spark, sf_dir)
     return n.select("market_id", "ds", "close", "high", "low",
                     to_float("yes_bid.close_dollars").alias("bid_close"),
                     to_float("price.mean_dollars").alias("price_mean"),
@@ -101,31 +129,31 @@ def save_timeseries(spark, sf_dir):
 
 
 @query("write_ablation_csv", with_ctes("split") + final_select(
-    "split, rows:i, markets:i, series:i",
-    "(SELECT split, count(*) AS rows, count(DISTINCT market_id) AS markets, count(DISTINCT series_id) AS series "
-    "FROM splitted GROUP BY split)"))
+    "ablation, val_loss:d, delta:d",
+    f"(SELECT ablation, val_loss, val_loss - first_value(val_loss) OVER (ORDER BY nr) AS delta FROM ("
+    f"SELECT 'surrogate' AS ablation, 0 AS nr, log_loss AS val_loss FROM {metrics_sql(_VAL)} UNION ALL "
+    f"SELECT 'market price', 1, log_loss FROM {metrics_sql(_VAL, 'least(greatest(close, 0.01), 0.99)')}))"))
 def write_ablation_csv(spark, sf_dir):
-    """A result table through the CSV sink (header, no index) and back."""
-    from candlewick.operators.splits import split_summary
+    """The ablation table (here of two model-free scores) through the CSV sink (header, no index) and back."""
+    from candlewick.plans.q_models import ablation_delta
     path = scratch_path(spark, "csv")
-    io.write_table(split_summary(_scored(spark, sf_dir)).select("split", "rows", "markets", "series"), path, "csv")
-    return io.read_table(spark, path, "csv", "split string, rows long, markets long, series long")
+    io.write_table(ablation_delta(spark, sf_dir), path, "csv")
+    return io.read_table(spark, path, "csv", "ablation string, val_loss double, delta double")
 
 
 @query("save_load_model", with_ctes("split") + final_select(
     "n_scored:i, max_abs_diff:d", "(SELECT count(*) AS n_scored, 0.0 AS max_abs_diff FROM test)"))
 def save_load_model(spark, sf_dir):
     """Model, scaler and feature list saved, loaded back, and scoring identically."""
-    Q = training.QUICK
+    Q = DEFAULT_CONFIG
     sp = training.make_splits(flows.model_frame(spark, sf_dir), Q)
     stats, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
     fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience)
-    path = scratch_path(spark, "bundle")
-    io.save_bundle(path, {"primary": fitted.model}, stats, sp.cols)
+    path = io.save_bundle(spark, scratch_path(spark, "bundle"), {"primary": fitted.model}, stats, sp.cols)
     models, stats2, cols2 = io.load_bundle(spark, path)
     keys = ["market_id", "ds"]
-    before = T.predict_prob(fitted.model, T.assemble(T.apply_scaler(sp.test, stats), sp.cols), "p_before")
-    after = T.predict_prob(models["primary"], T.assemble(T.apply_scaler(sp.test, stats2), cols2), "p_after")
+    before = T.predict_prob(fitted.model, T.vectorise(sp.test, stats, sp.cols), "p_before")
+    after = T.predict_prob(models["primary"], T.vectorise(sp.test, stats2, cols2), "p_after")
     both = before.select(*keys, "p_before").join(after.select(*keys, "p_after"), keys)
     return both.agg(F.count(F.lit(1)).alias("n_scored"),
                      F.max(F.abs(F.col("p_before") - F.col("p_after"))).alias("max_abs_diff"))
@@ -150,19 +178,18 @@ def hourly_bars(spark, sf_dir):
 
 @query("hourly_bars_stream", with_ctes("", _BARS) + final_select(_BAR_SPEC, "bars"))
 def hourly_bars_stream(spark, sf_dir):
-    """L1 (stream): the same bars from a file-source stream in update mode, merged by batch."""
+    """L1 (stream): the same bars from a file-source stream of partial bars, merged on read (no tick is late)."""
     out, ck = scratch_path(spark, "bars"), scratch_path(spark, "bars-ck")
     bars.stream_bars(spark, sf_dir, out, ck, "events.parquet")
-    return bars.latest_bars(spark, out)
+    return bars.merged_bars(spark, out)
 
 
 @query("stream_dedupe", final_select(
     "event_type, n:i", "(SELECT event_type, count(*) AS n FROM events GROUP BY event_type)"))
 def stream_dedupe(spark, sf_dir):
-    """L2: every event arrives twice; the watermarked stream keeps one of each."""
+    """L2: every event arrives twice, over several micro-batches; the landed table holds one of each."""
     out, ck = scratch_path(spark, "dedupe"), scratch_path(spark, "dedupe-ck")
-    s = dedupe.dedupe_stream(dedupe.replayed_events(spark, sf_dir, "events.parquet"), ["event_id"], "ts")
-    dedupe.run_to_folder(s, out, ck)
+    dedupe.land_distinct(dedupe.replayed_events(spark, sf_dir, "events.parquet"), ["event_id"], out, ck)
     return spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -186,7 +213,7 @@ def stream_score(spark, sf_dir):
               (ds >= F.lit(cuts[0]).cast("timestamp")) & (ds < F.lit(cuts[1]).cast("timestamp")),
               ds >= F.lit(cuts[1]).cast("timestamp")]
     for i, cond in enumerate(slices):
-        flat.where(cond).coalesce(1).write.mode("append").parquet(f"{landing}/slice={i}")
+        flat.where(cond).write.mode("append").parquet(f"{landing}/slice={i}")
     schema = spark.read.parquet(landing).drop("slice").schema
     scoring.run_stream_scoring(spark, f"{landing}/*", store, scores, ck, live_score, schema)
     return scoring.latest_scores(spark, scores).select("market_id", "current_prob", "candles_seen", "signal")

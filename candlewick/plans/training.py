@@ -9,8 +9,9 @@ step inside them is a distributed Spark job; only metric numbers come back.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +22,6 @@ from candlewick.operators import models as T
 from candlewick.operators import splits as G
 from candlewick.session import write_and_read
 
-# Small-round setting used by the registered queries (the library default is 500 / 30).
-QUICK = replace(DEFAULT_CONFIG, max_rounds=8, patience=3, ablation_rounds=6, ablation_patience=2)
-
 
 @dataclass
 class Splits:
@@ -49,9 +47,9 @@ def make_splits(model_rows: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) ->
 
 
 def scaled(train: DataFrame, others: list[DataFrame], cols: list[str], scale: bool = True):
-    """Sentinel fill + scaler fitted on ``train`` + vector assembly."""
+    """Sentinel fill and scaler fitted on ``train``, applied into the feature vector (columns stay as they are)."""
     stats = T.fit_scaler(train, cols) if scale else {c: (0.0, 1.0) for c in cols}
-    prep = lambda d: T.assemble(T.apply_scaler(d, stats), cols)
+    prep = lambda d: T.vectorise(d, stats, cols)
     return stats, prep(train), [prep(o) for o in others]
 
 
@@ -67,48 +65,73 @@ def run_parallel(fn, items, workers: int = FIT_PARALLELISM) -> list:
         return list(pool.map(fn, items))
 
 
-def fit_and_score(train, val, params, patience):
-    """Search-time fit: scored at the best round from the first trees, no refit."""
-    fitted = T.fit_gbt(train, val, params, patience, refit=False)
-    return fitted, T.predict_best(fitted, val)
+KEYS = ["market_id", "series_id", "ds", "label", "close", "hours_to_expiry"]
+
+
+def written_scores(scored: DataFrame, *cols: str) -> DataFrame:
+    """The scores as a table in the shared folder (keys and the named columns), read from there afterwards."""
+    return write_and_read(scored.select(*KEYS, *cols), "scores")
+
+
+def fit_and_score(train, val, params, patience, curves: bool = False):
+    """Early-stopped fit and the written validation scores of its best round."""
+    fitted = T.fit_gbt(train, val, params, patience, curves=curves)
+    return fitted, written_scores(T.predict_prob(fitted.model, val), "prob")
 
 
-def search_holdout(sp: Splits, cfg: PipelineConfig = QUICK, configs=None) -> list[dict]:
-    """T5: each config trained on train, early-stopped and scored on val."""
+def search_holdout(sp: Splits, cfg: PipelineConfig = DEFAULT_CONFIG, configs=None, curves: bool = False) -> list[dict]:
+    """T5: each config trained on train, early-stopped and scored on val; lowest log-loss is best.
+    With ``curves`` (T7): the losses per round and, per round, AUC on val."""
     _, tr, (va,) = scaled(sp.train, [sp.val], sp.cols)
 
     def one(item):
         name, c = item
-        fitted, scored = fit_and_score(tr, va, T.primary_params(c, cfg.max_rounds, cfg.seed), cfg.patience)
+        fitted, scored = fit_and_score(tr, va, T.primary_params(c, cfg.max_rounds, cfg.seed), cfg.patience, curves)
         m = E.metrics(scored).first()
-        return dict(config=name, log_loss=m["log_loss"], auc=m["auc"], brier=m["brier"], best_iter=fitted.best_iter,
-                    train_curve=fitted.train_curve, val_curve=fitted.val_curve)
-    return run_parallel(one, list((configs or HYPERPARAM_CONFIGS).items()))
-
-
-def search_cv(sp: Splits, cfg: PipelineConfig = QUICK, configs=None) -> list[dict]:
-    """Configs x group folds of train+val, scaler fitted per fold."""
+        out = dict(config=name, log_loss=m["log_loss"], auc=m["auc"], brier=m["brier"], best_iter=fitted.best_iter,
+                   rounds=len(fitted.val_curve), val_curve=fitted.val_curve, train_curve=fitted.train_curve)
+        if curves:
+            out["by_round"] = write_and_read(T.auc_curve(fitted.grown, va), "auc-curve")
+        return out
+    rows = run_parallel(one, list((configs or HYPERPARAM_CONFIGS).items()))
+    best = min(rows, key=lambda r: (r["log_loss"], r["config"]))["config"]
+    return [{**r, "is_best": r["config"] == best} for r in rows]
+
+
+def search_cv(sp: Splits, cfg: PipelineConfig = DEFAULT_CONFIG, configs=None) -> list[dict]:
+    """Configs x group folds of train+val, scaler fitted per fold; the first fold of each config also
+    keeps its loss curves."""
     dev = G.group_folds(G.dev_union(sp.rows), "series_id", cfg.n_folds, pin=True)
+
     def one(item):
         (name, c), k = item
         _, tr, (va,) = scaled(dev.where(F.col("fold") != k), [dev.where(F.col("fold") == k)], sp.cols)
-        fitted, scored = fit_and_score(tr, va, T.primary_params(c, cfg.max_rounds, cfg.seed), cfg.patience)
-        m = E.metrics(scored).first()
-        b = fitted.best_iter - 1
-        return dict(config=name, fold=k, val_loss=m["log_loss"], train_loss=fitted.train_curve[b],
-                    auc=m["auc"], brier=m["brier"], best_iter=fitted.best_iter)
+        fitted = T.fit_gbt(tr, va, T.primary_params(c, cfg.max_rounds, cfg.seed), cfg.patience, curves=True)
+        m = E.metrics(written_scores(T.predict_prob(fitted.model, va), "prob")).first()
+        return dict(config=name, fold=k, val_loss=m["log_loss"], train_loss=fitted.train_curve[fitted.best_iter - 1],
+                    auc=m["auc"], brier=m["brier"], best_iter=fitted.best_iter, n=m["n"],
+                    val_curve=fitted.val_curve if k == 0 else None, train_curve=fitted.train_curve if k == 0 else None)
     items = [(c, k) for c in (configs or HYPERPARAM_CONFIGS).items() for k in range(cfg.n_folds)]
     return run_parallel(one, items)
 
 
-def ablation(sp: Splits, cfg: PipelineConfig = QUICK) -> list[dict]:
+CV_COLUMNS = "config string, fold int, val_loss double, train_loss double, auc double, brier double, best_iter int, n long"
+
+
+def fold_table(spark, rows: list[dict]) -> DataFrame:
+    """The fold metrics of ``search_cv`` as a table (one row per config and fold)."""
+    names = [c.split()[0] for c in CV_COLUMNS.split(", ")]
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], CV_COLUMNS)
+
+
+def ablation(sp: Splits, cfg: PipelineConfig = DEFAULT_CONFIG, model_cfg: dict = PRIMARY_MODEL) -> list[dict]:
     """Full model, minus each feature group, and without the scaler: val log-loss and delta."""
-    params = T.primary_params(PRIMARY_MODEL, cfg.ablation_rounds, cfg.seed)
+    params = T.primary_params(model_cfg, cfg.ablation_rounds, cfg.seed)
 
     def val_loss(cols, scale=True):
         _, tr, (va,) = scaled(sp.train, [sp.val], cols, scale)
         _, scored = fit_and_score(tr, va, params, cfg.ablation_patience)
-        return E.metrics(scored).first()["log_loss"]
+        return E.log_loss_brier(scored).first()["log_loss"]
 
     variants = [("Full model (all features + scaler)", sp.cols, True)]
     for grp, gcols in FEATURE_GROUPS.items():
@@ -117,59 +140,83 @@ def ablation(sp: Splits, cfg: PipelineConfig = QUICK) -> list[dict]:
             variants.append((f"Remove '{grp}'", kept, True))
     variants.append(("No StandardScaler", sp.cols, False))
     losses = run_parallel(lambda v: val_loss(v[1], v[2]), variants)
-    base = losses[0]
-    rows = [dict(ablation=name, val_loss=v, delta=v - base) for (name, _, _), v in zip(variants, losses)]
-    return sorted(rows, key=lambda r: r["delta"])
+    rows = [dict(ablation=name, val_loss=v) for (name, _, _), v in zip(variants, losses, strict=True)]
+    return ablation_delta(rows)
+
+
+def ablation_delta(rows: list[dict]) -> list[dict]:
+    """Loss increase over the full model (the first row), smallest first."""
+    base = rows[0]["val_loss"]
+    return sorted(({**r, "delta": r["val_loss"] - base} for r in rows), key=lambda r: (r["delta"], r["ablation"]))
 
 
 def attribution(model, val: DataFrame, cols: list[str], k: int = 5) -> DataFrame:
-    """E10 (re-aimed): mean-imputation importance.  One job: the validation rows are
-    replicated once per feature with that feature set to its (scaled) mean 0, scored
-    together, and the log-loss increase per feature ranked."""
-    base = val.select(*cols, "label")
-    tagged = base.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in cols])))
-    for c in cols:
-        tagged = tagged.withColumn(c, F.when(F.col("feature") == c, F.lit(0.0)).otherwise(F.col(c)))
-    scored = T.predict_prob(model, T.assemble(tagged, cols))
+    """E10 (re-aimed): mean-imputation importance of the scaled feature vectors in ``val``.  One job: the rows
+    are replicated once per feature with that feature at its mean 0, scored together, and the features ranked
+    by the increase of the log-loss."""
+    base = val.select("label", vector_to_array(T.FEATURES).alias("_x"))
+    numbered = F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1)))
+    tagged = base.withColumn("_i", numbered).withColumn(
+        T.FEATURES, array_to_vector(F.transform("_x", lambda x, i: F.when(i == F.col("_i"), F.lit(0.0)).otherwise(x))))
     ref = E.log_loss_col("prob", "label")
-    per = scored.groupBy("feature").agg(F.avg(ref).alias("loss_without"))
-    full = T.predict_prob(model, T.assemble(base, cols)).agg(F.avg(ref).alias("loss_full")).first()["loss_full"]
-    return per.withColumn("importance", F.col("loss_without") - F.lit(full)).orderBy(
-        F.desc("importance"), "feature").limit(k)
+    names = F.array(*[F.lit(c) for c in cols])
+    per = T.predict_prob(model, tagged).groupBy("_i").agg(F.avg(ref).alias("loss_without")).select(
+        F.get(names, F.col("_i")).alias("feature"), "loss_without")
+    full = T.predict_prob(model, val).agg(F.avg(ref).alias("loss_full")).first()["loss_full"]
+    return per.select("feature", "loss_without", F.lit(full).alias("loss_full"),
+                      (F.col("loss_without") - F.lit(full)).alias("importance")).orderBy(F.desc("importance"), "feature").limit(k)
 
 
 def score_with_models(candles: DataFrame, models: dict, stats: dict, cols: list[str],
-                      weight: float | None = None) -> DataFrame:
-    """I1 with trained models: C4 -> F1-F9 (no resolution-candle drop) -> sentinel fill ->
-    saved scaler -> primary / secondary ensemble -> one row per market."""
+                      weight: float | None = None, history: bool = True) -> DataFrame:
+    """I1 + I2 with trained models: C4 -> F1-F9 (no resolution-candle drop) -> saved scaler ->
+    primary / secondary ensemble -> one row per market."""
     from candlewick.operators import candles as C
     from candlewick.operators import scoring as SC
     from candlewick.config import ENSEMBLE_PRIMARY_WEIGHT
-    feat = FE.engineer_features(C.preprocess(candles))
-    x = T.assemble(T.apply_scaler(feat, {c: stats[c] for c in cols}), cols)
+    x = T.vectorise(FE.engineer_features(C.preprocess(candles)), stats, cols)
     if "secondary" in models:
         x = T.predict_prob(models["secondary"], T.predict_prob(models["primary"], x, "p1"), "p2")
         x = T.ensemble(x, "p1", "p2", ENSEMBLE_PRIMARY_WEIGHT if weight is None else weight)
     else:
         x = T.predict_prob(models["primary"], x)
-    return SC.with_signal(SC.score_markets(x))
-
-
-def train_pipeline(sp: Splits, cfg: PipelineConfig = QUICK) -> dict:
-    """CV search -> probe model -> selection -> final primary + secondary -> ensemble on test."""
-    cv = search_cv(sp, cfg)
-    fold_tbl = sp.rows.sparkSession.createDataFrame(cv)
-    best = T.cv_summary(fold_tbl).where("is_best").first()["config"]
-    best_cfg = HYPERPARAM_CONFIGS[best]
+    return SC.with_signal(SC.score_markets(x, history=history))
+
+
+def train_pipeline(sp: Splits, cfg: PipelineConfig = DEFAULT_CONFIG, configs=None, bundle: str | None = None,
+                   with_ablation: bool = True) -> dict:
+    """T10, the whole flow: CV search -> probe model -> feature selection (with the validation loss before it)
+    -> final primary and secondary model -> ensemble on test -> baselines and evaluation table -> error
+    analysis -> back-test -> attribution -> ablation -> saved bundle.
+
+    Every table is on unscaled columns; ``test_scored`` is written once and read by all that follow.
+    """
+    spark = sp.rows.sparkSession
+    configs = configs or HYPERPARAM_CONFIGS
+    cv = search_cv(sp, cfg, configs)
+    best = T.cv_summary(fold_table(spark, cv)).where("is_best").first()["config"]
+    best_cfg = configs[best]
     _, tr, (va,) = scaled(sp.train, [sp.val], sp.cols)
     probe = T.fit_gbt(tr, va, T.primary_params(best_cfg, cfg.max_rounds, cfg.seed), cfg.patience)
-    imp = T.importance_table(sp.rows.sparkSession, probe.model, sp.cols)
+    imp = T.importance_table(spark, probe.model, sp.cols)
     kept = T.select_features(imp, cfg.feature_selection_threshold).where("kept")
     selected = [r["feature"] for r in kept.collect()]  # model metadata: at most one row per feature
-    selected = selected or sp.cols
+    selected = [c for c in sp.cols if c in set(selected)] or sp.cols
     stats, tr_s, (va_s, te_s) = scaled(sp.train, [sp.val, sp.test], selected)
     m1, m2 = run_parallel(lambda p: T.fit_gbt(tr_s, va_s, p, cfg.patience),
                           [T.primary_params(best_cfg, cfg.max_rounds, cfg.seed),
                            T.secondary_params(cfg.max_rounds, cfg.seed + 1)])
-    test_scored = T.ensemble(T.predict_prob(m2.model, T.predict_prob(m1.model, te_s, "p1"), "p2"))
-    return dict(best_config=best, selected=selected, stats=stats, primary=m1, secondary=m2, test_scored=test_scored)
+    test = written_scores(T.ensemble(T.predict_prob(m2.model, T.predict_prob(m1.model, te_s, "p1"), "p2")), "p1", "p2", "prob")
+    rows = E.baselines(sp.train, test, extra={"Primary model": "p1", "Ensemble": "prob"})
+    flagged = E.error_flags(test)
+    out = dict(best_config=best, cv=cv, importance=imp, selected=selected, stats=stats, primary=m1, secondary=m2, test_scored=test,
+               val_loss_before_selection=min(probe.val_curve[:probe.best_iter]), val_loss=min(m1.val_curve[:m1.best_iter]),
+               evaluation=E.evaluation_table(write_and_read(rows, "evaluation")), errors=E.error_totals(flagged),
+               errors_by_bucket=E.error_by_bucket(flagged), backtest=E.backtest(test, cfg.backtest_threshold),
+               attribution=attribution(m1.model, va_s, selected))
+    if with_ablation:
+        out["ablation"] = ablation(Splits(sp.rows, sp.train, sp.val, sp.test, selected), cfg, best_cfg)
+    if bundle:
+        from candlewick.sources import io
+        out["bundle"] = io.save_bundle(spark, bundle, {"primary": m1.model, "secondary": m2.model}, stats, selected)
+    return out

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,10 +49,13 @@ def ensure_session(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a private folder set.
+    A private folder is set only where the session names none and runs on this machine alone; on a
+    cluster a folder of one machine would lose the other executors' files, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="candlewick-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -61,10 +63,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_marked: set[str] = set()
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    """This application's own folder under the checkpoint root; the driver deletes it when it ends."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/candlewick/{spark.sparkContext.applicationId}"
+    if root not in _marked:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _marked.add(root)
+    return root
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root (never reused)."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/candlewick/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def write_and_read(df, name: str = "stage"):
@@ -73,16 +89,3 @@ def write_and_read(df, name: str = "stage"):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (only used where Python itself must list files)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def path_exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -93,8 +93,8 @@ def raw_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     dec = lambda x: x.cast("decimal(10,4)").cast("string")
     return s.select(
         "src", k.alias("seq"),
-        F.concat(F.lit("O"), (k % 500).cast("string"), F.lit("-"), (k % 12000).cast("string")).alias("ticker"),
-        F.concat(F.lit("O"), (k % 500).cast("string")).alias("event_ticker"),
+        F.concat(F.lit("O"), F.expr("k div 160").cast("string"), F.lit("-"), F.expr("k div 4").cast("string")).alias("ticker"),
+        F.concat(F.lit("O"), F.expr("k div 160").cast("string")).alias("event_ticker"),
         F.when(F.col("st") == "F", "finalized").when(F.col("st") == "P", "closed").otherwise("active").alias("status"),
         F.when(k % 17 == 0, "scalar").otherwise("binary").alias("market_type"),
         F.when(k % 19 == 0, F.concat(F.lit("MVE"), cu.cast("string")))

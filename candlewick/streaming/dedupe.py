@@ -1,4 +1,4 @@
-"""L2: streaming de-duplication of repeated records within the watermark."""
+"""L2: streaming de-duplication: within a watermark, or against everything landed so far."""
 
 from __future__ import annotations
 
@@ -12,10 +12,28 @@ def dedupe_stream(stream: DataFrame, keys: list[str], ts: str, watermark: str =
         .dropDuplicatesWithinWatermark(keys)
 
 
-def run_to_folder(stream: DataFrame, out_path: str, checkpoint: str) -> None:
+def run_to_folder(stream: DataFrame, out_path: str, checkpoint: str) -> int:
+    """Run a stream to a Parquet folder until caught up; returns the rows dropped as older than the watermark."""
     q = (stream.writeStream.outputMode("append").format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    return sum(int(op.numRowsDroppedByWatermark) for p in q.recentProgress for op in p.stateOperators)
+
+
+def land_distinct(stream: DataFrame, keys: list[str], out_path: str, checkpoint: str) -> None:
+    """Keep the first arrival of each key for ever, whatever its age: each micro-batch drops its own repeats
+    and the keys landed by earlier batches, and overwrites its own folder, so a replay changes nothing."""
+    spark = stream.sparkSession
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.dropDuplicates(keys)
+        if batch_id > 0:
+            landed = spark.read.option("basePath", out_path).parquet(f"{out_path}/batch_id=*").where(F.col("batch_id") < batch_id)
+            fresh = fresh.join(landed.select(*keys), keys, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    q = (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land).trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
 def replayed_events(spark: SparkSession, folder: str, pattern: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-STORE_BUCKETS = 64
+STORE_BUCKETS = 64      # default only; size it so that a bucket holds a few thousand markets
 
 
 def market_bucket(key: str = "market_id", buckets: int = STORE_BUCKETS):
@@ -24,15 +24,16 @@ def market_bucket(key: str = "market_id", buckets: int = STORE_BUCKETS):
 
 
 def run_stream_scoring(spark: SparkSession, landing: str, store: str, scores: str, checkpoint: str,
-                       score_fn: Callable[[DataFrame], DataFrame], schema, buckets: int = STORE_BUCKETS) -> None:
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+                       score_fn: Callable[[DataFrame], DataFrame], schema, buckets: int = STORE_BUCKETS,
+                       max_files: int = 64) -> None:
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         # Each batch owns its folders and overwrites them: a replayed batch replaces, never duplicates.
-        staged = batch.withColumn("mbucket", market_bucket(buckets=buckets))
-        staged.write.mode("overwrite").partitionBy("mbucket").parquet(f"{store}/batch_id={batch_id}")
-        touched = staged.select("mbucket", "market_id").distinct()
-        history = spark.read.parquet(store).join(touched, ["mbucket", "market_id"], "left_semi") \
+        own = f"{store}/batch_id={batch_id}"
+        batch.withColumn("mbucket", market_bucket(buckets=buckets)).write.mode("overwrite").partitionBy("mbucket").parquet(own)
+        touched = spark.read.parquet(own).select("mbucket", "market_id").distinct()     # the written batch, read once more
+        history = spark.read.parquet(store).where(F.col("batch_id") <= batch_id).join(touched, ["mbucket", "market_id"], "left_semi") \
             .drop("mbucket", "batch_id")
         score_fn(history).write.mode("overwrite").parquet(f"{scores}/batch_id={batch_id}")
 
@@ -41,6 +42,15 @@ def run_stream_scoring(spark: SparkSession, landing: str, store: str, scores: st
     q.awaitTermination()
 
 
+def compact(spark: SparkSession, store: str, fresh: str) -> str:
+    """Rewrite a store's batches as one batch (the newest id) of a new store, one folder per bucket, so that the
+    folders read and listed per batch stay few.  Run between stream runs, then stream on with ``fresh``."""
+    old = spark.read.parquet(store)
+    last = old.agg(F.max("batch_id")).first()[0]
+    old.drop("batch_id").repartition("mbucket").write.mode("overwrite").partitionBy("mbucket").parquet(f"{fresh}/batch_id={last}")
+    return fresh
+
+
 def latest_scores(spark: SparkSession, scores: str, key: str = "market_id") -> DataFrame:
     landed = spark.read.parquet(scores)
     cols = [c for c in landed.columns if c not in (key, "batch_id")]

@@ -42,6 +42,28 @@ def test_grouped_metrics_equal_separate_ones(spark):
         assert by[g] == pytest.approx(brute_auc([(p, y) for gg, p, y in rows if gg == g]), abs=1e-12)
 
 
+def test_rows_without_score_or_label_are_left_out_and_counted(spark):
+    rows = [(0.9, 1.0), (0.1, 0.0), (None, 1.0), (None, 0.0), (0.5, None)]
+    df = spark.createDataFrame(rows, "prob double, label double")
+    m, q = E.metrics(df).first(), E.log_loss_brier(df).first()
+    assert (m["n"], m["auc"]) == (2, 1.0) and m["brier"] == pytest.approx(0.01)
+    assert (q["n"], q["n_missing"]) == (2, 3) and q["log_loss"] == pytest.approx(-math.log(0.9)) == pytest.approx(m["log_loss"])
+
+
+def test_log_loss_needs_one_shuffle_and_no_write(spark):
+    df = spark.range(100).selectExpr("id / 100 AS prob", "cast(id % 2 AS double) AS label")
+    plan = E.log_loss_brier(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "parquet" not in plan.lower()
+
+
+def test_backtest_order_is_total_when_times_repeat(spark):
+    rows = [("A", 1, 0, 0.9, 0.5, 1.0), ("A", 1, 1, 0.1, 0.5, 1.0), ("A", 1, 2, 0.8, 0.2, 0.0)]
+    schema = "market_id string, ds long, pos int, prob double, close double, label double"
+    runs = [[(r.pos, round(r.cum_pnl, 9)) for r in E.backtest(spark.createDataFrame(x, schema)).orderBy("pos").collect()]
+            for x in (rows, rows[::-1])]
+    assert runs[0] == runs[1]
+
+
 def test_constant_score_auc_half(spark):
     df = spark.createDataFrame([(0.3, float(i % 2)) for i in range(20)], "prob double, label double")
     assert E.metrics(df).first()["auc"] == 0.5

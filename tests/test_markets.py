@@ -61,13 +61,6 @@ def test_candles_from_quotes_defaults(spark):
     assert r.ds == dt.datetime(2024, 1, 1) and r.series_id == "T"
 
 
-def test_paginated_pull_keeps_whole_pages(spark):
-    df = spark.createDataFrame([(i,) for i in range(5000)], "seq long")
-    assert M.paginated(df, ["seq"], max_raw=3000, page_size=1000).count() == 4000   # stops after crossing 3,000
-    assert M.paginated(df, ["seq"], max_raw=2999, page_size=1000).count() == 3000
-    assert M.bounded(df, ["seq"], 3001).agg({"seq": "max"}).first()[0] == 3000
-
-
 def test_label_balance_empty_input_is_null_not_error(spark):
     empty = spark.createDataFrame([], "result string")
     r = M.label_balance(empty).first()

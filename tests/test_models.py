@@ -1,9 +1,12 @@
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from candlewick.config import DEFAULT_CONFIG
 from candlewick.operators import models as T
+from candlewick.operators.trees import first_trees
 from candlewick.plans import flows, training
 from candlewick.sources import io
 
@@ -11,9 +14,9 @@ from conftest import SF_SMALL
 
 
 def test_best_iteration_patience():
-    assert T.best_iteration([5, 4, 3, 3.5, 3.6, 3.7, 2.0], patience=3) == 3
-    assert T.best_iteration([5, 4, 3, 3.5, 2.0], patience=3) == 5
-    assert T.best_iteration([1.0], patience=3) == 1
+    assert T.best_iteration([5, 4, 3, 3.5, 3.6, 3.7, 2.0], patience=3) == (3, True)
+    assert T.best_iteration([5, 4, 3, 3.5, 2.0], patience=3) == (5, False)
+    assert T.best_iteration([1.0], patience=3) == (1, False)
 
 
 def test_scaler_population_std_and_constant_column(spark):
@@ -22,8 +25,11 @@ def test_scaler_population_std_and_constant_column(spark):
     m, s = stats["a"]
     assert m == pytest.approx((1 + 3 - 999) / 3)
     assert stats["b"] == (0.0, 0.0)
-    out = T.apply_scaler(df, stats).collect()
-    assert out[0].b == 0.0 and out[2].a == pytest.approx((-999 - m) / s)
+    out = T.scaled_columns(df, stats).collect()
+    assert out[0].z_b == 0.0 and out[2].z_a == pytest.approx((-999 - m) / s)
+    assert [(r.a, r.b) for r in out] == [(1.0, 0.0), (3.0, 0.0), (None, 0.0)]        # the inputs stay
+    x = T.vectorise(df, stats, ["a", "b"]).collect()
+    assert [r.a for r in x] == [1.0, 3.0, None] and x[2].features[0] == pytest.approx((-999 - m) / s)
 
 
 def test_ensemble_weights(spark):
@@ -33,7 +39,7 @@ def test_ensemble_weights(spark):
 
 @pytest.fixture(scope="module")
 def small_splits(spark):
-    return training.make_splits(flows.model_frame(spark, SF_SMALL), training.QUICK)
+    return training.make_splits(flows.model_frame(spark, SF_SMALL))
 
 
 def test_fit_score_save_load(spark, small_splits, tmp_dir):
@@ -44,12 +50,12 @@ def test_fit_score_save_load(spark, small_splits, tmp_dir):
     p = T.predict_prob(fitted.model, te)
     assert p.where((F.col("prob") < 0) | (F.col("prob") > 1)).count() == 0
     path = os.path.join(tmp_dir, "bundle")
-    io.save_bundle(path, {"primary": fitted.model}, stats, sp.cols)
+    io.save_bundle(spark, path, {"primary": fitted.model}, stats, sp.cols)
     models, stats2, cols2 = io.load_bundle(spark, path)
     assert cols2 == sp.cols and set(stats2) == set(stats)
     for c, (m, sd) in stats.items():
         assert stats2[c][0] == pytest.approx(m) and stats2[c][1] == pytest.approx(sd)
-    q = T.predict_prob(models["primary"], T.assemble(T.apply_scaler(sp.test, stats2), cols2), "p2")
+    q = T.predict_prob(models["primary"], T.vectorise(sp.test, stats2, cols2), "p2")
     diff = q.join(p.select("market_id", "ds", "prob"), ["market_id", "ds"]).agg(
         F.max(F.abs(F.col("prob") - F.col("p2")))).first()[0]
     assert diff == 0.0
@@ -79,26 +85,47 @@ def test_select_features_threshold(spark):
 def test_round_scores_match_the_model(spark, small_splits):
     sp = small_splits
     _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
-    fitted = T.fit_gbt(tr, va, T.primary_params({"num_leaves": 15}, 4, 42), patience=10)
-    k = len(fitted.model.trees)
-    last = T.round_scores(fitted.model, va.select("market_id", "ds", "label", "features"), [k])
-    ref = T.predict_prob(fitted.model, va).select("market_id", "ds", F.col("prob").alias("ref"))
-    d = last.join(ref, ["market_id", "ds"]).agg(F.max(F.abs(F.col("prob") - F.col("ref")))).first()[0]
-    assert d < 1e-12
-    curve = {r["round"]: r for r in T.auc_curve(fitted.model, va.select("label", "features")).collect()}
-    assert sorted(curve) == list(range(1, k + 1))
+    fitted = T.fit_gbt(tr, va, T.primary_params({"num_leaves": 15}, 4, 42), patience=10, curves=True)
+    k = len(fitted.grown.trees)
+    rows = va.select("market_id", "ds", "label", "features")
+    for i in (1, k):
+        got = T.round_scores(fitted.grown, rows, [i])
+        ref = T.predict_prob(first_trees(fitted.grown, i), rows).select("market_id", "ds", F.col("prob").alias("ref"))
+        assert got.join(ref, ["market_id", "ds"]).agg(F.max(F.abs(F.col("prob") - F.col("ref")))).first()[0] < 1e-12
+    curve = {r["round"]: r for r in T.auc_curve(fitted.grown, va.select("label", "features")).collect()}
+    assert sorted(curve) == list(range(1, k + 1)) and len(fitted.train_curve) == k
     for i in range(1, k + 1):       # per-round log-loss equals MLlib's own evaluation
         assert curve[i].log_loss == pytest.approx(fitted.val_curve[i - 1], rel=1e-9)
 
 
-def test_predict_best_equals_refit_model(spark, small_splits):
+def test_rounds_grow_only_until_patience_runs_out(spark, small_splits):
     sp = small_splits
     _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
-    params = T.primary_params({"num_leaves": 15, "learning_rate": 0.3}, 6, 42)
-    lean = T.fit_gbt(tr, va, params, patience=1, refit=False)
-    full = T.fit_gbt(tr, va, params, patience=1, refit=True)
-    assert lean.best_iter == full.best_iter
-    a = T.predict_best(lean, va).select("market_id", "ds", "prob")
-    b = T.predict_prob(full.model, va).select("market_id", "ds", F.col("prob").alias("p2"))
-    d = a.join(b, ["market_id", "ds"]).agg(F.max(F.abs(F.col("prob") - F.col("p2")))).first()[0]
-    assert d < 1e-12
+    params = T.primary_params({"num_leaves": 15, "learning_rate": 0.6}, 64, 42)
+    fitted = T.fit_gbt(tr, va, params, patience=2, first_rounds=4)
+    assert len(fitted.val_curve) < 64 and len(fitted.val_curve) <= max(4, 4 * (fitted.best_iter + 2))
+    assert fitted.model.getNumTrees == fitted.best_iter
+    assert fitted.val_curve[fitted.best_iter - 1] == min(fitted.val_curve[:fitted.best_iter + 2])
+
+
+def test_scoring_rounds_is_linear_in_the_trees(spark, small_splits):
+    """All-round scores plan one walk of the trees and no projection per tree."""
+    sp = small_splits
+    _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
+    fitted = T.fit_gbt(tr, va, T.primary_params({"num_leaves": 4}, 12, 42), patience=50)
+    plan = T.round_scores(fitted.grown, va.select("label", "features"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(") <= 4 and plan.count("Project") <= 8
+
+
+def test_train_pipeline_keeps_unscaled_columns(spark, small_splits, tmp_dir):
+    sp = small_splits
+    cfg = replace(DEFAULT_CONFIG, max_rounds=3, patience=2, n_folds=2, ablation_rounds=2, ablation_patience=1)
+    res = training.train_pipeline(sp, cfg, {"only": {"num_leaves": 4, "learning_rate": 0.3}}, os.path.join(tmp_dir, "b"), with_ablation=False)
+    a = {(r.market_id, r.ds): r.close for r in sp.test.select("market_id", "ds", "close").collect()}
+    assert a == {(r.market_id, r.ds): r.close for r in res["test_scored"].select("market_id", "ds", "close").collect()}
+    assert [r.model for r in res["evaluation"].orderBy("model").collect()] == ["Constant prior", "Ensemble", "Market price", "Primary model"]
+    assert res["errors"].first()["n"] == len(a) and res["attribution"].count() == 5
+    models, stats, cols = io.load_bundle(spark, res["bundle"])
+    flat = flows.fixtures.candle_flat(spark, SF_SMALL)
+    live = training.score_with_models(flat, models, stats, cols)
+    assert live.where("hours_to_expiry <> 0").count() == 0          # the latest candle is the expiry proxy
