@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 1 << 20        # numpy works on about this much text at a time (a longer text stands alone)
+SLICE_BYTES = 1 << 18        # numpy works on about this much text at a time (a longer text stands alone)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
