@@ -4,9 +4,10 @@ The default block partitions windows by ``market_id``, so one market's candles m
 one task; that is bounded by a market's hourly lifetime.  Where a single market may hold
 a large share of all rows, this variant keeps every task bounded:
 
-* whole-market values (candle count, expiry, first close) are aggregations, combined
-  map-side, joined back by market; the exact p99 caps come from values ranked inside
-  their market by a range-partitioned running count (``ordered.group_quantile``);
+* whole-market values (expiry, first close, caps) are aggregations, combined map-side, gathered in
+  one table and joined back on (market, time chunk), so a hot market's rows never meet on its key
+  alone; the exact p99 caps come from values ranked inside their market by a range-partitioned
+  running count (``ordered.group_quantile``);
 * the row index comes from counts per (market, time chunk), prefix-summed over the
   market's chunk table, plus a row number inside the time chunk;
 * lags and the previous-k rolling stats are windows over fixed-size row chunks, each
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from candlewick.operators.candles import CLIP_COLUMNS, MISSING_FLAG_SOURCES, missing_flags
 from candlewick.operators.features import ensure_flag_columns, feat_microstructure
-from candlewick.operators.ordered import group_quantile
+from candlewick.operators.ordered import group_quantile, spread
 from candlewick.session import write_and_read
 
 KEY = "market_id"
@@ -38,27 +39,33 @@ def _order(df: DataFrame) -> list[str]:
 
 
 def _row_index(df: DataFrame, hours: int) -> DataFrame:
-    """0-based position of every candle inside its market, in (ds, pos) order."""
+    """``_r``: 0-based position of every candle inside its market, in (ds, pos) order; ``_n_all``: the market's
+    candle count; ``_tc``: the time chunk.  Market totals come from the chunk table, joined on (market, chunk)."""
     tc = F.floor(F.unix_seconds(F.col("ds").cast("timestamp")) / (hours * 3600)).cast("long")
     x = df.withColumn("_tc", tc)
     counts = x.groupBy(KEY, "_tc").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(KEY).orderBy("_tc").rowsBetween(Window.unboundedPreceding, -1)  # chunk table
-    offsets = counts.select(KEY, "_tc", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    chunks = Window.partitionBy(KEY).orderBy("_tc")                                              # chunk table
+    before = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    every = chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = counts.select(KEY, "_tc", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_cnt").over(every).alias("_n_all"))
     inside = Window.partitionBy(KEY, "_tc").orderBy(*_order(df))
-    return x.join(offsets, [KEY, "_tc"]).withColumn("_r", F.col("_off") + F.row_number().over(inside) - 1) \
-        .drop("_tc", "_off")
-
-
-def _clip(x: DataFrame, q: float, approx: bool) -> DataFrame:
-    """Per-market caps: exact from ranked values (skew-safe), or a bounded sketch when ``approx``."""
-    if approx:
-        caps = x.groupBy(KEY).agg(*[F.percentile_approx(c, q, 10000).alias(f"_cap_{c}") for c in CLIP_COLUMNS])
-    else:
-        caps = None
-        for c in CLIP_COLUMNS:
-            one = group_quantile(x, KEY, c, q, f"_cap_{c}")
-            caps = one if caps is None else caps.join(one, KEY, "full")
-    x = x.join(caps, KEY, "left")
+    return x.join(offsets, [KEY, "_tc"]).withColumn("_r", F.col("_off") + F.row_number().over(inside) - 1).drop("_off")
+
+
+def _market_values(x: DataFrame, q: float, approx: bool) -> DataFrame:
+    """One row per market: expiry, first close and the volume / open-interest caps (exact from ranked values,
+    or a bounded sketch when ``approx``)."""
+    first_key = F.when(F.col("close").isNotNull(), F.struct(*_order(x)))
+    caps = [F.percentile_approx(c, q, 10000).alias(f"_cap_{c}") for c in CLIP_COLUMNS] if approx else []
+    market = x.groupBy(KEY).agg(F.max("ds").alias("market_end_ts"), F.min_by("close", first_key).alias("first_close"), *caps)
+    for c in [] if approx else CLIP_COLUMNS:
+        market = market.join(group_quantile(x, KEY, c, q, f"_cap_{c}", "_tc"), KEY, "left")
+    return market
+
+
+def _clip(x: DataFrame) -> DataFrame:
+    """C3 with the caps at hand."""
     out = {}
     for c in CLIP_COLUMNS:
         cap = F.col(f"_cap_{c}")
@@ -82,15 +89,10 @@ def prepared_chunked(flat: DataFrame, q: float = 0.99, approx_clip: bool = False
     flat = keep(flat, "chunked-input")
     # Drop each market's last candle (row index against the market's candle count)
     x = _row_index(flat, time_chunk_hours)
-    n_all = flat.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n_all"))
-    x = x.join(n_all, KEY).where(F.col("_r") < F.col("_n_all") - 1).drop("_n_all")
-    # C2 + C3
-    x = _clip(missing_flags(x), q, approx_clip)
-    # whole-market values of the trimmed market
-    o = _order(flat)
-    first_key = F.when(F.col("close").isNotNull(), F.struct(*o))
-    market = x.groupBy(KEY).agg(F.max("ds").alias("market_end_ts"), F.min_by("close", first_key).alias("first_close"))
-    x = keep(feat_microstructure(x.join(market, KEY)), "chunked-rows")
+    x = keep(missing_flags(x.where(F.col("_r") < F.col("_n_all") - 1).drop("_n_all")), "chunked-trimmed")
+    # C2 + C3: every whole-market value in one table, met on (market, time chunk)
+    market = keep(spread(_market_values(x, q, approx_clip), x, KEY, "_tc"), "chunked-markets")
+    x = keep(feat_microstructure(_clip(x.join(market, [KEY, "_tc"]).drop("_tc"))), "chunked-rows")
     # row chunks with a halo of the previous chunk's last HALO rows
     x = x.withColumn("_rc", F.floor(F.col("_r") / row_chunk).cast("long"))
     halo = x.where(F.col("_r") % row_chunk >= row_chunk - HALO).withColumn("_rc", F.col("_rc") + 1)

@@ -42,24 +42,31 @@ def dense_positions(df: DataFrame, order: list, name: str = "rank0", **kw) -> Da
     return running_sums(df, order, {name: F.lit(1)}, **kw).withColumn(name, F.col(name) - 1)
 
 
-def group_quantile(df: DataFrame, key: str, col: str, q: float, out: str = "quantile") -> DataFrame:
+def spread(per_key: DataFrame, rows: DataFrame, key: str, part: str) -> DataFrame:
+    """``per_key`` (one row per key) repeated for every (key, part) of ``rows``, so that the rows can be joined
+    on both and a hot key's rows stay spread over its parts."""
+    return rows.select(key, part).distinct().join(per_key, key)
+
+
+def group_quantile(df: DataFrame, key: str, col: str, q: float, out: str = "quantile", part: str | None = None) -> DataFrame:
     """Exact per-group ``q`` quantile of ``col`` (linear interpolation, NULLs ignored), one row per group.
 
     Skew-safe: values are ranked inside their group by a range-partitioned running count
     over (key, value) (a hot group is spread over many ranges), and only the two values at
-    the neighbouring ranks of (n - 1) * q are kept per group.
+    the neighbouring ranks of (n - 1) * q are kept per group.  With ``part`` (a column that cuts a
+    group into bounded parts) the rows meet their group's count on (key, part), never on a bare hot key.
     """
-    v = df.select(key, col).where(F.col(col).isNotNull())
-    n = v.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    on = [key] + ([part] if part else [])
+    v = df.select(*on, col).where(F.col(col).isNotNull())
     ranked = running_sums(v, [key, col], {"_cum": F.lit(1)})
-    start = ranked.groupBy(key).agg(F.min("_cum").alias("_c0"))
+    group = ranked.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min("_cum").alias("_c0"))
     pos = (F.col("_n") - 1) * F.lit(float(q))
-    r = ranked.join(start, key).join(n, key).withColumns({
+    r = ranked.join(spread(group, v, key, part) if part else group, on).withColumns({
         "_r": F.col("_cum") - F.col("_c0"), "_pos": pos, "_lo": F.floor(pos), "_hi": F.ceil(pos)})
     picks = r.where((F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_hi"))).groupBy(key).agg(
         F.max(F.when(F.col("_r") == F.col("_lo"), F.col(col))).alias("_vlo"),
         F.max(F.when(F.col("_r") == F.col("_hi"), F.col(col))).alias("_vhi"),
-        F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+        F.max("_pos").alias("_pos"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     value = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
         (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
     return picks.select(key, value.alias(out))

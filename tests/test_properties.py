@@ -99,3 +99,37 @@ def test_skew_safe_switch_gives_the_same_model_rows(spark):
         bad = diff.where(~((diff[c].isNull() & diff[f"b_{c}"].isNull()) |
                            (F.abs(diff[c] - diff[f"b_{c}"]) <= 1e-9))).count()
         assert bad == 0, c
+
+
+def test_chunked_block_never_joins_candles_on_the_market_alone(spark):
+    """With broadcast off, every join of the block that meets candle rows is on (market, chunk)."""
+    from candlewick.operators import chunked
+    from candlewick.sources import fixtures
+    from conftest import SF_SMALL
+    written = chunked.write_and_read
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flat = fixtures.candle_flat(spark, SF_SMALL)
+        plans = []
+
+        def keep(df, name=""):
+            plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+            return written(df, name)
+        chunked.write_and_read = keep
+        chunked.prepared_chunked(flat)
+    finally:
+        chunked.write_and_read = written
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    for name, plan in plans:
+        bare = [line for line in plan.splitlines() if "Join" in line and line.count("market_id#") == 2 and "_tc#" not in line and "_rc#" not in line]
+        assert not bare or name == "chunked-markets", (name, bare)
+
+
+def test_skew_safe_refuses_what_it_does_not_cover(spark):
+    from dataclasses import replace
+
+    from candlewick.config import DEFAULT_CONFIG
+    from candlewick.plans import flows
+    with pytest.raises(ValueError):
+        flows.prepared(spark.range(1).toDF("x"), replace(DEFAULT_CONFIG, skew_safe=True), clip=False)
