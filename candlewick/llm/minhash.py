@@ -11,9 +11,12 @@ empty throws again with twice the rank.
 Documents with equal shingle sets are folded first (one representative each). Representatives that share a
 band are candidates: each round every band bucket picks a few centres, and pairs (centre, member) of
 different components are checked exactly (Jaccard >= 0.8 on the hashed shingles); links join components;
-used centres leave their bucket, and buckets whose remaining members are in one component are done. The
-rounds end when no bucket is left, so every candidate pair is checked or already connected, while a group
-of m near copies costs O(m) pairs and never m*m.
+used centres leave their bucket, and buckets whose remaining members are in one component are done. Where a
+bucket holds more than ``BUCKET_ROWS`` (many documents sharing a passage), its members are regrouped, after
+one round, by the rarest shingles of their sets: sets of similarity t share one of their n - ceil(t n) + 1
+rarest, under any one order of all shingles, so no link is lost and a common passage brings no one together.
+The rounds end when no bucket is left, so every candidate pair is checked or already connected, while a
+group of m near copies costs O(m) pairs and never m*m.
 
 Defined results: null text counts as empty; texts without words form one class; texts under five words are
 alike only if their words are equal. Rows sharing a doc_id are one document and one class; a row without
@@ -37,7 +40,9 @@ from candlewick.session import write_and_read
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 28, 5          # a pair of similarity 0.8 misses every band with probability 1.5e-5
-CENTRES = 4                  # centres a bucket in the first round; doubles every round
+CENTRES, LARGE_CENTRES = 8, 2   # centres a bucket in the first round; four times as many every round
+BUCKET_ROWS = 48             # larger buckets are regrouped by rare shingles
+ORDER_BITS = 18              # shingle frequencies are counted in 2**18 hashed counters
 _CDF = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
 _TO_UNIT = 2.0 ** -32
 
@@ -165,6 +170,47 @@ def jaccard(a: Column, b: Column) -> Column:
     return udf(a, b)
 
 
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """Hashed shingle counts over all ``sets`` (2**ORDER_BITS numbers): the order in which shingles are rare."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << ORDER_BITS, np.int64)
+        for b in batches:
+            raw = b"".join(b.column("shingles").to_pylist())
+            total += np.bincount((np.frombuffer(raw, "<u8") >> U(64 - ORDER_BITS)).astype(np.int64), minlength=1 << ORDER_BITS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["slot", "n"])
+    got = sets.mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << ORDER_BITS, np.int64)
+    out[got.column(0).to_numpy()] = got.column(1).to_numpy()
+    return out
+
+
+def rare_prefix(values: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """The n - ceil(threshold n) + 1 rarest of a set's shingles (ties by hash): two sets of at least that
+    similarity share one of them."""
+    keep = len(values) - math.ceil(threshold * len(values) - 1e-9) + 1
+    order = np.lexsort((values, counts[(values >> U(64 - ORDER_BITS)).astype(np.int64)]))
+    return values[order[:keep]]
+
+
+def _prefixes(shared, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts = [rare_prefix(np.frombuffer(v, "<u8"), shared.value, threshold) for v in b.column("shingles").to_pylist()]
+            size = np.array([len(p) for p in parts])
+            flat = np.concatenate(parts).astype(U).view(np.int64) if parts else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(b.column("node").to_numpy(), size)),
+                                              pa.array(np.repeat(b.column("n").to_numpy(), size)),
+                                              pa.array(np.repeat(b.column("root").to_numpy(), size))], ["bucket", "node", "n", "root"])
+    return run
+
+
+def _still_open(rows: DataFrame) -> DataFrame:
+    """(bucket, rows) of the buckets whose members are of several components."""
+    return (rows.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("rows"))
+            .where("x <> y").select("bucket", "rows"))
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = False) -> DataFrame:
     """(doc_id, key, class_id): the near-duplicate class of every row of ``docs`` (doc_id, text).
 
@@ -175,34 +221,45 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = Fals
         _sketch(weighted), "key bigint, one bigint, two bigint, n int, bands array<bigint>"), "dart-sketch")
     groups = write_and_read(sk.groupBy("one", "two", "n").agg(F.min("key").alias("node")), "dart-groups")
     reps = sk.join(groups, (F.col("key") == F.col("node")) & (sk.one == groups.one) & (sk.two == groups.two), "left_semi")
-    banded = reps.select(F.col("key").alias("node"), "n", F.explode("bands").alias("band"))
-    shared = (banded.groupBy("band").agg(F.min("node").alias("x"), F.max("node").alias("y"))
-              .where("x <> y").select("band"))
-    active = write_and_read(banded.join(shared, "band").withColumn("root", F.col("node")), "dart-buckets")
-    sets = write_and_read(text.select("key", "text").join(active.select(F.col("node").alias("key")).distinct(), "key", "left_semi")
+    banded = reps.select(F.col("key").alias("node"), "n", F.explode("bands").alias("bucket"), F.col("key").alias("root"))
+    active = write_and_read(banded.join(_still_open(banded), "bucket"), "dart-buckets")
+    met = active.select(F.col("node").alias("key")).distinct()
+    sets = write_and_read(text.select("key", "text").join(met, "key", "left_semi")
                           .mapInArrow(_shingles, "key bigint, shingles binary"), "dart-sets")
-    links, tree, centres, turn = None, None, CENTRES, 0
+    tree, centres, turn = None, CENTRES, 0
     while not active.isEmpty():
         spot = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "root")
-        chosen = (active.groupBy("band", F.pmod(F.xxhash64("node", F.lit(~turn)), F.lit(centres)).alias("seat"))
-                  .agg(F.min(spot).alias("c")).select("band", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"),
+        seats = F.when((F.col("rows") > BUCKET_ROWS) & F.lit(turn == 0), F.lit(LARGE_CENTRES)).otherwise(F.lit(centres))
+        seat = F.when(F.col("rows") <= seats, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(~turn)), seats))
+        chosen = (active.groupBy("bucket", seat.alias("seat"))
+                  .agg(F.min(spot).alias("c")).select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"),
                                                       F.col("c.root").alias("croot")))
         chosen = write_and_read(chosen, "dart-centres")
-        pairs = (active.join(chosen, "band").where((F.col("node") != F.col("centre")) & (F.col("root") != F.col("croot"))
-                                                  & (F.least("n", "cn") >= F.lit(threshold) * F.greatest("n", "cn")))
+        pairs = (active.join(chosen, "bucket").where((F.col("node") != F.col("centre")) & (F.col("root") != F.col("croot"))
+                                                    & (F.least("n", "cn") >= F.lit(threshold) * F.greatest("n", "cn")))
                  .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
         found = (pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a")
                  .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
                  .where(jaccard(F.col("sa"), F.col("sb")) >= threshold).select("a", "b"))
         found = write_and_read(found, "dart-links")
-        links = found if tree is None else found.unionByName(tree.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        tree = stars(links)
-        rest = (active.drop("root").join(chosen.select("band", F.col("centre").alias("node")), ["band", "node"], "left_anti")
-                .join(tree, "node", "left").withColumn("root", F.coalesce("root", "node")))
-        rest = write_and_read(rest, "dart-rest")
-        open_ = rest.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
-        active = write_and_read(rest.join(open_, "band", "left_semi"), "dart-buckets")
-        centres, turn = min(2 * centres, 256), turn + 1
+        if not found.isEmpty():
+            links = found if tree is None else found.unionByName(tree.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            tree = stars(links)
+        rest = active.drop("rows").join(chosen.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti")
+        if turn == 0:      # centres of large buckets go on: their bucket is regrouped, not finished
+            rest = rest.unionByName(active.where(F.col("rows") > BUCKET_ROWS).drop("rows")).distinct()
+        if tree is not None:
+            rest = rest.drop("root").join(tree, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest = write_and_read(rest.select("bucket", "node", "n", "root"), "dart-rest")
+        active = write_and_read(rest.join(_still_open(rest), "bucket"), "dart-buckets")
+        if turn == 0:
+            large = active.where(F.col("rows") > BUCKET_ROWS).select("node", "n", "root").distinct()
+            shared = docs.sparkSession.sparkContext.broadcast(_frequencies(sets))
+            rare = write_and_read(large.join(sets.withColumnRenamed("key", "node"), "node")
+                                  .mapInArrow(_prefixes(shared, threshold), "bucket bigint, node bigint, n int, root bigint"), "dart-rare")
+            rare = rare.join(_still_open(rare), "bucket")
+            active = write_and_read(active.where(F.col("rows") <= BUCKET_ROWS).unionByName(rare.select(*active.columns)), "dart-buckets")
+        centres, turn = min(4 * centres, 512), turn + 1
     named = groups if tree is None else groups.join(tree, "node", "left").withColumn("node", F.coalesce("root", "node")).drop("root")
     rows = sk.select("key", "one", "two", "n").join(named, ["one", "two", "n"])
     real = F.when(F.col("key") > -(1 << 62), F.col("key"))
