@@ -15,8 +15,9 @@ used centres leave their bucket, and buckets whose remaining members are in one
 bucket holds more than ``BUCKET_ROWS`` (many documents sharing a passage), its members are regrouped, after
 one round, by the rarest shingles of their sets: sets of similarity t share one of their n - ceil(t n) + 1
 rarest, under any one order of all shingles, so no link is lost and a common passage brings no one together.
-The rounds end when no bucket is left, so every candidate pair is checked or already connected, while a
-group of m near copies costs O(m) pairs and never m*m.
+Pairs whose 128 one-bit signatures differ in over ``MOST_BITS`` places are passed over (similarity 0.8 differs in
+12.8 on average; over 36 has probability below 1e-8). The rounds end when no bucket is left, so every
+candidate pair is checked or already connected, while a group of m near copies costs O(m) pairs and never m*m.
 
 Defined results: null text counts as empty; texts without words form one class; texts under five words are
 alike only if their words are equal. Rows sharing a doc_id are one document and one class; a row without
@@ -40,8 +41,9 @@ from candlewick.session import write_and_read
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 28, 5          # a pair of similarity 0.8 misses every band with probability 1.5e-5
-CENTRES, LARGE_CENTRES = 8, 2   # centres a bucket in the first round; four times as many every round
-BUCKET_ROWS = 48             # larger buckets are regrouped by rare shingles
+CENTRES, LARGE_CENTRES = 8, 2   # centres a bucket in the first round; eight times as many every round
+BUCKET_ROWS = 24             # larger buckets are regrouped by rare shingles
+MOST_BITS = 36
 ORDER_BITS = 18              # shingle frequencies are counted in 2**18 hashed counters
 _CDF = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
 _TO_UNIT = 2.0 ** -32
@@ -114,6 +116,13 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     return key.view(np.int64)
 
 
+def bit_sketch(sig: np.ndarray) -> np.ndarray:
+    """(rows, 2) 64-bit words of the lowest bits of the first 128 coordinates (they agree with probability
+    (1 + similarity) / 2)."""
+    bits = (sig[:, :128] & U(1)).astype(np.uint8)
+    return np.packbits(bits, axis=1).view(">u8").astype(np.uint64).view(np.int64)
+
+
 def _digests(values: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit order-free digests of each row's distinct hashes."""
     with np.errstate(over="ignore"):
@@ -135,14 +144,15 @@ def _sketch(weighted: bool):
         for b in batches:
             for lo, hi, data, off in slices(b.column("text")):
                 v, voff, times = unique_per_row(*shingle_hashes(data, off, WIDTH))
-                keys = band_keys(signatures(v, voff, times.astype(float) if weighted else None))
+                sig = signatures(v, voff, times.astype(float) if weighted else None)
+                keys, bits = band_keys(sig), bit_sketch(sig)
                 some = np.diff(voff) > 0
                 bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)),
                                                  pa.array(keys[some].ravel()))
                 one, two = _digests(v, voff)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("key").slice(lo, hi - lo), pa.array(one), pa.array(two), pa.array(np.diff(voff).astype(np.int32)), bands],
-                    ["key", "one", "two", "n", "bands"])
+                    [b.column("key").slice(lo, hi - lo), pa.array(one), pa.array(two), pa.array(np.diff(voff).astype(np.int32)), bands,
+                     pa.array(bits[:, 0]), pa.array(bits[:, 1])], ["key", "one", "two", "n", "bands", "s1", "s2"])
     return run
 
 
@@ -199,9 +209,9 @@ def _prefixes(shared, threshold: float):
             parts = [rare_prefix(np.frombuffer(v, "<u8"), shared.value, threshold) for v in b.column("shingles").to_pylist()]
             size = np.array([len(p) for p in parts])
             flat = np.concatenate(parts).astype(U).view(np.int64) if parts else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(b.column("node").to_numpy(), size)),
-                                              pa.array(np.repeat(b.column("n").to_numpy(), size)),
-                                              pa.array(np.repeat(b.column("root").to_numpy(), size))], ["bucket", "node", "n", "root"])
+            names = ["node", "n", "root", "s1", "s2"]
+            yield pa.RecordBatch.from_arrays([pa.array(flat), *(pa.array(np.repeat(b.column(c).to_numpy(), size)) for c in names)],
+                                             ["bucket", *names])
     return run
 
 
@@ -218,25 +228,28 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = Fals
     """
     text = docs.select("doc_id", doc_key(F.col("doc_id"), F.col("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     sk = write_and_read(text.select("key", "text").mapInArrow(
-        _sketch(weighted), "key bigint, one bigint, two bigint, n int, bands array<bigint>"), "dart-sketch")
+        _sketch(weighted), "key bigint, one bigint, two bigint, n int, bands array<bigint>, s1 bigint, s2 bigint"), "dart-sketch")
     groups = write_and_read(sk.groupBy("one", "two", "n").agg(F.min("key").alias("node")), "dart-groups")
     reps = sk.join(groups, (F.col("key") == F.col("node")) & (sk.one == groups.one) & (sk.two == groups.two), "left_semi")
     banded = reps.select(F.col("key").alias("node"), "n", F.explode("bands").alias("bucket"), F.col("key").alias("root"))
-    active = write_and_read(banded.join(_still_open(banded), "bucket"), "dart-buckets")
+    active = banded.join(_still_open(banded), "bucket").join(sk.select(F.col("key").alias("node"), "s1", "s2"), "node")
+    active = write_and_read(active.dropDuplicates(["bucket", "node"]), "dart-buckets")
     met = active.select(F.col("node").alias("key")).distinct()
     sets = write_and_read(text.select("key", "text").join(met, "key", "left_semi")
                           .mapInArrow(_shingles, "key bigint, shingles binary"), "dart-sets")
     tree, centres, turn = None, CENTRES, 0
     while not active.isEmpty():
-        spot = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "root")
+        spot = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "root", "s1", "s2")
         seats = F.when((F.col("rows") > BUCKET_ROWS) & F.lit(turn == 0), F.lit(LARGE_CENTRES)).otherwise(F.lit(centres))
         seat = F.when(F.col("rows") <= seats, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(~turn)), seats))
         chosen = (active.groupBy("bucket", seat.alias("seat"))
                   .agg(F.min(spot).alias("c")).select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"),
-                                                      F.col("c.root").alias("croot")))
+                                                      F.col("c.root").alias("croot"), F.col("c.s1").alias("c1"), F.col("c.s2").alias("c2")))
         chosen = write_and_read(chosen, "dart-centres")
         pairs = (active.join(chosen, "bucket").where((F.col("node") != F.col("centre")) & (F.col("root") != F.col("croot"))
-                                                    & (F.least("n", "cn") >= F.lit(threshold) * F.greatest("n", "cn")))
+                                                    & (F.least("n", "cn") >= F.lit(threshold) * F.greatest("n", "cn"))
+                                                    & (F.bit_count(F.col("s1").bitwiseXOR(F.col("c1")))
+                                                       + F.bit_count(F.col("s2").bitwiseXOR(F.col("c2"))) <= MOST_BITS))
                  .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
         found = (pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a")
                  .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -250,16 +263,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = Fals
             rest = rest.unionByName(active.where(F.col("rows") > BUCKET_ROWS).drop("rows")).distinct()
         if tree is not None:
             rest = rest.drop("root").join(tree, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest = write_and_read(rest.select("bucket", "node", "n", "root"), "dart-rest")
+        rest = write_and_read(rest.select("bucket", "node", "n", "root", "s1", "s2"), "dart-rest")
         active = write_and_read(rest.join(_still_open(rest), "bucket"), "dart-buckets")
         if turn == 0:
-            large = active.where(F.col("rows") > BUCKET_ROWS).select("node", "n", "root").distinct()
+            large = active.where(F.col("rows") > BUCKET_ROWS).select("node", "n", "root", "s1", "s2").distinct()
             shared = docs.sparkSession.sparkContext.broadcast(_frequencies(sets))
             rare = write_and_read(large.join(sets.withColumnRenamed("key", "node"), "node")
-                                  .mapInArrow(_prefixes(shared, threshold), "bucket bigint, node bigint, n int, root bigint"), "dart-rare")
+                                  .mapInArrow(_prefixes(shared, threshold), "bucket bigint, node bigint, n int, root bigint, s1 bigint, s2 bigint"), "dart-rare")
             rare = rare.join(_still_open(rare), "bucket")
             active = write_and_read(active.where(F.col("rows") <= BUCKET_ROWS).unionByName(rare.select(*active.columns)), "dart-buckets")
-        centres, turn = min(4 * centres, 512), turn + 1
+        centres, turn = min(8 * centres, 512), turn + 1
     named = groups if tree is None else groups.join(tree, "node", "left").withColumn("node", F.coalesce("root", "node")).drop("root")
     rows = sk.select("key", "one", "two", "n").join(named, ["one", "two", "n"])
     real = F.when(F.col("key") > -(1 << 62), F.col("key"))
