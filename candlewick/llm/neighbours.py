@@ -38,6 +38,7 @@ BLOCK_ROWS = 1024
 MOST_BLOCKS = 4096         # blocks of the upper tree
 LEAF_ROWS = 128
 CHUNK_ROWS = 1024
+CHUNKS_HELD = 64           # chunks whose running best a task keeps
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -266,27 +267,40 @@ def nearest(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "
 
     def look(first_round: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[int, dict] = {}       # chunks met by this task: their queries' best so far
             for b in batches:
                 for r in b.to_pylist():
-                    ids, q = np.frombuffer(r["chunk_ids"], "<i8"), np.frombuffer(r["chunk_v"], "<f8").reshape(-1, d)
-                    home = np.frombuffer(r["chunk_home"], "<i8") == block_of_part[r["part"]]
-                    if first_round:
-                        pick, bounds = np.flatnonzero(home), np.full(int(home.sum()), -np.inf)
-                    else:
-                        pick = np.flatnonzero(~home)
-                        bounds = np.full(len(ids), -np.inf)
-                        if r["seen_ids"] is not None:
-                            seen = np.array(r["seen_ids"], np.int64)
-                            at = np.searchsorted(ids, seen)
-                            bounds[at] = np.array(r["seen_kth"])
-                        bounds = bounds[pick]
+                    c = held.get(r["chunk"])
+                    if c is None:
+                        if len(held) >= CHUNKS_HELD:
+                            yield from map(best_of, held.values())
+                            held.clear()
+                        ids = np.frombuffer(r["chunk_ids"], "<i8")
+                        c = held[r["chunk"]] = {"ids": ids, "q": np.frombuffer(r["chunk_v"], "<f8").reshape(-1, d),
+                                                "home": np.frombuffer(r["chunk_home"], "<i8"), "bounds": np.full(len(ids), -np.inf),
+                                                "found": (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))}
+                        if not first_round and r["seen_ids"] is not None:
+                            c["bounds"][np.searchsorted(ids, np.array(r["seen_ids"], np.int64))] = np.array(r["seen_kth"])
+                    at_home = c["home"] == block_of_part[r["part"]]
+                    pick = np.flatnonzero(at_home if first_round else ~at_home)
                     if not len(pick):
                         continue
                     v = np.frombuffer(r["part_v"], "<f8").reshape(-1, d)
-                    who, vec, score = search_block(ids[pick], q[pick], bounds, np.frombuffer(r["part_ids"], "<i8"), v, shared.value, k, sure)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[pick][who]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"])
+                    who, vec, score = search_block(c["ids"][pick], c["q"][pick], c["bounds"][pick], np.frombuffer(r["part_ids"], "<i8"), v,
+                                                   shared.value, k, sure)
+                    found = tuple(np.concatenate([x, y]) for x, y in zip(c["found"], (pick[who], vec, score), strict=True))
+                    keep = _best(found[0], found[2], found[1], k)
+                    c["found"] = found = tuple(x[keep] for x in found)
+                    n = np.bincount(found[0], minlength=len(c["ids"]))
+                    full = np.flatnonzero(n >= k)
+                    c["bounds"][full] = np.maximum(c["bounds"][full], found[2][np.cumsum(n)[full] - 1])
+            yield from map(best_of, held.values())
         return run
 
+    def best_of(c: dict) -> pa.RecordBatch:
+        who, vec, score = c["found"]
+        return pa.RecordBatch.from_arrays([pa.array(c["ids"][who]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"])
+
     home_pairs = sorted({(c + i, first_part[h] + j) for h, (c, own) in chunk_of.items() if h in parts
                          for i in range(own) for j in range(parts[h])})
     start = spark.createDataFrame(home_pairs or [(-1, -1)], "chunk bigint, part bigint")
