@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 
@@ -34,13 +35,14 @@ class WordCache:
         """(ids of all words in order, offsets per word)."""
         if len(self.slot) > self.most:
             self.forget()
-        new = list(set(words).difference(self.slot))
-        if new:
-            new.sort()
+        slot = np.fromiter(map(self.slot.get, words, repeat(-1)), np.int64, len(words))
+        lost = np.flatnonzero(slot < 0)
+        if len(lost):
+            new = list(dict.fromkeys([words[i] for i in lost.tolist()]))
             at = len(self.start) - 1
             self._add(self.encode(new))
             self.slot.update(zip(new, range(at, at + len(new)), strict=True))
-        slot = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
+            slot[lost] = np.fromiter((self.slot[words[i]] for i in lost.tolist()), np.int64, len(lost))
         first = self.start[slot]
         size = self.start[slot + 1] - first
         off = np.concatenate([[0], np.cumsum(size)])
