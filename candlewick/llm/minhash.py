@@ -41,7 +41,7 @@ from candlewick.session import write_and_read
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 28, 5          # a pair of similarity 0.8 misses every band with probability 1.5e-5
-CENTRES, LARGE_CENTRES = 8, 2   # centres a bucket in the first round; eight times as many every round
+CENTRES = 1                  # centres a bucket in the first round; eight times as many every round
 BUCKET_ROWS = 24             # larger buckets are regrouped by rare shingles
 MOST_BITS = 36
 ORDER_BITS = 18              # shingle frequencies are counted in 2**18 hashed counters
@@ -240,8 +240,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = Fals
     tree, centres, turn = None, CENTRES, 0
     while not active.isEmpty():
         spot = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "root", "s1", "s2")
-        seats = F.when((F.col("rows") > BUCKET_ROWS) & F.lit(turn == 0), F.lit(LARGE_CENTRES)).otherwise(F.lit(centres))
-        seat = F.when(F.col("rows") <= seats, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(~turn)), seats))
+        # one centre first: most copies join through it, and only buckets still open cost more
+        seat = F.when(F.col("rows") <= centres, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(~turn)), F.lit(centres)))
         chosen = (active.groupBy("bucket", seat.alias("seat"))
                   .agg(F.min(spot).alias("c")).select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"),
                                                       F.col("c.root").alias("croot"), F.col("c.s1").alias("c1"), F.col("c.s2").alias("c2")))
