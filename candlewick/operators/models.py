@@ -104,18 +104,15 @@ class Fitted:
     train_curve: list[float] | None = None
 
 
-FIRST_ROUNDS = 128
-
-
 def fit_gbt(train: DataFrame, val: DataFrame, params: dict, patience: int, label: str = "label",
-            curves: bool = False, first_rounds: int = FIRST_ROUNDS) -> Fitted:
-    """Early-stopped boosting: fit 128, 256 ... rounds (``first_rounds``, doubling, at most ``maxIter``) until the
-    validation loss has not improved for ``patience`` rounds, and keep the best round's trees (the same seed
-    and input give the same first trees, so nothing is refitted).  The rounds fitted are bounded by four times
-    the stopping point, or ``first_rounds``.  ``curves`` also reads the training loss per round (one more pass).  MLlib's log loss is twice the
+            curves: bool = False, first_rounds: int | None = None) -> Fitted:
+    """Early-stopped boosting: fit ``first_rounds`` (default: four times the patience, at least 32), then twice as
+    many and so on (at most ``maxIter``) until the validation loss has not improved for ``patience`` rounds,
+    and keep the best round's trees (the same seed and input give the same first trees, so nothing is
+    refitted).  The rounds fitted are bounded by four times the stopping point, or ``first_rounds``.  ``curves`` also reads the training loss per round (one more pass).  MLlib's log loss is twice the
     usual one."""
     most = params["maxIter"]
-    rounds = min(first_rounds, most)
+    rounds = min(first_rounds or max(32, 4 * patience), most)
     while True:
         est = GBTClassifier(featuresCol=FEATURES, labelCol=label, lossType="logistic", **{**params, "maxIter": rounds})
         grown = est.fit(train)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.config import DEFAULT_CONFIG, PRIMARY_MODEL
+from candlewick.config import PRIMARY_MODEL
 from candlewick.functions.columns import to_float, zero_default
 from candlewick.operators import candles as C
 from candlewick.operators import features as FE
@@ -145,7 +145,8 @@ def write_ablation_csv(spark, sf_dir):
     "n_scored:i, max_abs_diff:d", "(SELECT count(*) AS n_scored, 0.0 AS max_abs_diff FROM test)"))
 def save_load_model(spark, sf_dir):
     """Model, scaler and feature list saved, loaded back, and scoring identically."""
-    Q = DEFAULT_CONFIG
+    from candlewick.plans.q_models import Q as Q_MODELS
+    Q = Q_MODELS
     sp = training.make_splits(flows.model_frame(spark, sf_dir), Q)
     stats, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
     fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience)
