@@ -216,9 +216,11 @@ def _prefixes(shared, threshold: float):
 
 
 def _still_open(rows: DataFrame) -> DataFrame:
-    """(bucket, rows) of the buckets whose members are of several components."""
-    return (rows.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("rows"))
-            .where("x <> y").select("bucket", "rows"))
+    """(bucket, rows) of the buckets whose members are of several components; of buckets with the same members
+    (compared by two 64-bit digests), one."""
+    digest = [F.bit_xor(F.xxhash64("node", F.lit(salt))).alias(f"d{salt}") for salt in (1, 2)]
+    every = rows.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("rows"), *digest)
+    return every.where("x <> y").groupBy("rows", "x", "y", "d1", "d2").agg(F.min("bucket").alias("bucket")).select("bucket", "rows")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = False) -> DataFrame:
