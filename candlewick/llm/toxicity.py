@@ -88,7 +88,7 @@ class Model:
             (np.zeros(0), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def fit(texts: list[str], labels: np.ndarray, bits: int = BITS, rounds: int = 100, rate: float = 1.0,
+def fit(texts: list[str] | pa.Array, labels: np.ndarray, bits: int = BITS, rounds: int = 100, rate: float = 1.0,
         l2: float = 0.03, least: int = 5, gain: float = 20.0) -> Model:
     """Adagrad descent on the document log-loss of the noisy-or with an L2 penalty; words in under ``least`` sampled documents,
     or whose presence tells the label by a likelihood ratio under ``gain``, keep weight 0."""
@@ -97,16 +97,18 @@ def fit(texts: list[str], labels: np.ndarray, bits: int = BITS, rounds: int = 10
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(size), -30.0, -30.0 if not len(y) or y.max() == 0 else 30.0, bits)
     words, sents, docs, n_sent = [], [], [], 0
-    for lo, hi, data, off in slices(pa.array(texts, pa.string())):
+    for lo, hi, data, off in slices(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())):
         bucket, sent, s0, _, rows = sentence_words(data, off, bits)
-        pair = np.unique(np.stack([sent, bucket]), axis=1)         # presence of a word in a sentence
-        words.append(pair[1])
-        sents.append(pair[0] + n_sent)
-        docs.append(np.repeat(np.arange(lo, hi), np.diff(rows)))
+        pair = np.unique((sent << bits) | bucket)                  # presence of a word in a sentence
+        words.append((pair & (size - 1)).astype(np.int32))
+        sents.append(((pair >> bits) + n_sent).astype(np.int32))
+        docs.append(np.repeat(np.arange(lo, hi, dtype=np.int32), np.diff(rows)))
         n_sent += len(s0)
     word, sent, doc = np.concatenate(words), np.concatenate(sents), np.concatenate(docs)
-    seen = np.unique(np.stack([doc[sent], word]), axis=1)
-    n, k = np.bincount(seen[1], minlength=size), np.bincount(seen[1], y[seen[0]], size)
+    del words, sents, docs
+    seen = np.unique((doc[sent].astype(np.int64) << bits) | word)
+    n, k = np.bincount(seen & (size - 1), minlength=size), np.bincount(seen & (size - 1), y[seen >> bits], size)
+    del seen
     base = y.mean()
     with np.errstate(divide="ignore", invalid="ignore"):
         share = k / n
@@ -139,7 +141,7 @@ def fit(texts: list[str], labels: np.ndarray, bits: int = BITS, rounds: int = 10
     return Model(table, side[0], side[1], bits)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> tuple[list[str], np.ndarray]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> tuple[pa.Array, np.ndarray]:
     """At most about ``most`` labelled texts outside the held-out fold, chosen by a hash of doc_id."""
     known = labels.where(F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT)).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
@@ -148,7 +150,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
         known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < int((1 << 30) * most / total))
     rows = (docs.select("doc_id", "text").join(known, "doc_id").orderBy("doc_id", F.xxhash64("text"))
             .select(F.coalesce("text", F.lit("")).alias("text"), "toxic").toArrow())
-    return rows.column(0).to_pylist(), rows.column(1).to_numpy()
+    texts = rows.column(0).combine_chunks()
+    return texts.chunk(0) if isinstance(texts, pa.ChunkedArray) and texts.num_chunks else texts, rows.column(1).to_numpy()
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
