@@ -8,6 +8,7 @@ from candlewick.config import DEFAULT_CONFIG
 from candlewick.operators import models as T
 from candlewick.operators.trees import first_trees
 from candlewick.plans import flows, training
+from candlewick.plans.catalog import REGISTRY
 from candlewick.sources import io
 
 from conftest import SF_SMALL
@@ -129,3 +130,19 @@ def test_train_pipeline_keeps_unscaled_columns(spark, small_splits, tmp_dir):
     flat = flows.fixtures.candle_flat(spark, SF_SMALL)
     live = training.score_with_models(flat, models, stats, cols)
     assert live.where("hours_to_expiry <> 0").count() == 0          # the latest candle is the expiry proxy
+
+
+@pytest.mark.parametrize("name", ["gbt_primary", "gbt_secondary", "hparam_search_holdout", "hparam_search_cv", "training_curves",
+                                  "feature_importance_topk", "train_and_evaluate", "score_live_model", "ablation_table", "attribution_topk",
+                                  "preprocessing_evidence", "save_load_model"])
+def test_registered_model_queries_fit_with_the_library_setting(spark, small_splits, monkeypatch, name):
+    class Seen(Exception):
+        pass
+
+    def fit(train, val, params, patience, *args, **kwargs):
+        raise Seen(params["maxIter"], patience)
+    monkeypatch.setattr(T, "fit_gbt", fit)
+    monkeypatch.setattr(training, "make_splits", lambda *args: small_splits)
+    with pytest.raises(Seen) as seen:
+        REGISTRY[name].build(spark, SF_SMALL)
+    assert seen.value.args == ((200, 20) if name == "ablation_table" else (500, 30))
