@@ -139,6 +139,23 @@ def doc_key(doc_id: Column, text: Column) -> Column:
     return F.coalesce(doc_id.cast("bigint"), made)
 
 
+def document_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``_key``, and one (key, text) row of each key. Rows share a key if they have the same doc_id and the
+    same text; texts that share a doc_id get a negative key of doc_id and text each."""
+    body = F.coalesce("text", F.lit(""))
+    keyed = docs.withColumn("_key", doc_key(F.col("doc_id"), F.col("text")))
+    mark = F.xxhash64(body)
+    again = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("rows"), (F.min(mark) != F.max(mark)).alias("_differ"))
+    again = write_and_read(again.where("rows > 1").select("_key", "_differ"), "dart-again")
+    if again.isEmpty():
+        return keyed, keyed.select(F.col("_key").alias("key"), body.alias("text"))
+    own = -F.pmod(F.xxhash64("_key", body), F.lit(1 << 61)) - F.lit(3 << 61)
+    joined = keyed.join(again, "_key", "left").withColumn("_key", F.when(F.col("_differ"), own).otherwise(F.col("_key")))
+    text = joined.select(F.col("_key").alias("key"), body.alias("text"), "_differ")
+    once = text.where("_differ is null").unionByName(text.where("_differ is not null").dropDuplicates(["key"]))
+    return joined.drop("_differ"), once.drop("_differ")
+
+
 def _sketch(weighted: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -217,7 +234,7 @@ def _prefixes(shared, threshold: float):
 
 def _still_open(rows: DataFrame) -> DataFrame:
     """(bucket, rows) of the buckets whose members are of several components; of buckets with the same members
-    (compared by two 64-bit digests), one."""
+    (compared by two 64-bit digests), one. ``rows`` must hold a node once a bucket: repeats cancel out of the digests."""
     digest = [F.bit_xor(F.xxhash64("node", F.lit(salt))).alias(f"d{salt}") for salt in (1, 2)]
     every = rows.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("rows"), *digest)
     return every.where("x <> y").groupBy("rows", "x", "y", "d1", "d2").agg(F.min("bucket").alias("bucket")).select("bucket", "rows")
@@ -228,16 +245,20 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = Fals
 
     ``weighted`` throws darts by shingle multiplicity; links are checked on the distinct shingles either way.
     """
-    text = docs.select("doc_id", doc_key(F.col("doc_id"), F.col("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    sk = write_and_read(text.select("key", "text").mapInArrow(
+    return _classes(*document_keys(docs), threshold, weighted)
+
+
+def _classes(keyed: DataFrame, text: DataFrame, threshold: float = THRESHOLD, weighted: bool = False) -> DataFrame:
+    """``classes`` of what ``document_keys`` gives."""
+    sk = write_and_read(text.mapInArrow(
         _sketch(weighted), "key bigint, one bigint, two bigint, n int, bands array<bigint>, s1 bigint, s2 bigint"), "dart-sketch")
     groups = write_and_read(sk.groupBy("one", "two", "n").agg(F.min("key").alias("node")), "dart-groups")
     reps = sk.join(groups, (F.col("key") == F.col("node")) & (sk.one == groups.one) & (sk.two == groups.two), "left_semi")
     banded = reps.select(F.col("key").alias("node"), "n", F.explode("bands").alias("bucket"), F.col("key").alias("root"))
     active = banded.join(_still_open(banded), "bucket").join(sk.select(F.col("key").alias("node"), "s1", "s2"), "node")
-    active = write_and_read(active.dropDuplicates(["bucket", "node"]), "dart-buckets")
+    active = write_and_read(active, "dart-buckets")
     met = active.select(F.col("node").alias("key")).distinct()
-    sets = write_and_read(text.select("key", "text").join(met, "key", "left_semi")
+    sets = write_and_read(text.join(met, "key", "left_semi")
                           .mapInArrow(_shingles, "key bigint, shingles binary"), "dart-sets")
     tree, centres, turn = None, CENTRES, 0
     while not active.isEmpty():
@@ -269,20 +290,19 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = Fals
         active = write_and_read(rest.join(_still_open(rest), "bucket"), "dart-buckets")
         if turn == 0:
             large = active.where(F.col("rows") > BUCKET_ROWS).select("node", "n", "root", "s1", "s2").distinct()
-            shared = docs.sparkSession.sparkContext.broadcast(_frequencies(sets))
+            shared = keyed.sparkSession.sparkContext.broadcast(_frequencies(sets))
             rare = write_and_read(large.join(sets.withColumnRenamed("key", "node"), "node")
                                   .mapInArrow(_prefixes(shared, threshold), "bucket bigint, node bigint, n int, root bigint, s1 bigint, s2 bigint"), "dart-rare")
             rare = rare.join(_still_open(rare), "bucket")
             active = write_and_read(active.where(F.col("rows") <= BUCKET_ROWS).unionByName(rare.select(*active.columns)), "dart-buckets")
         centres, turn = min(8 * centres, 512), turn + 1
     named = groups if tree is None else groups.join(tree, "node", "left").withColumn("node", F.coalesce("root", "node")).drop("root")
-    rows = sk.select("key", "one", "two", "n").join(named, ["one", "two", "n"])
-    real = F.when(F.col("key") > -(1 << 62), F.col("key"))
-    return rows.select(real.alias("doc_id"), "key", F.col("node").alias("class_id"))
+    rows = sk.select("key", "one", "two", "n").join(named, ["one", "two", "n"]).select("key", F.col("node").alias("class_id"))
+    return keyed.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("_key").alias("key")).join(rows, "key").select("doc_id", "key", "class_id")
 
 
 def one_per_class(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each class: the one whose key is the class id."""
-    kept = classes(docs, **options).where("key = class_id").select(F.col("key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", doc_key(F.col("doc_id"), F.col("text")))
+    keyed, text = document_keys(docs)
+    kept = _classes(keyed, text, **options).where("key = class_id").select(F.col("key").alias("_key")).distinct()
     return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -161,6 +161,31 @@ def test_near_duplicate_classes_match_brute_force(spark):
     assert kept.columns == df.columns and sorted(x.doc_id for x in kept.collect()) == sorted(set(want))
 
 
+def _middle_copies(seed, middles):
+    """Two texts that differ in their last word, and between them copies with 17 new words each (similarity 0.81)."""
+    r = random.Random(seed)
+    base = [f"w{r.randrange(10 ** 6)}" for _ in range(204)]
+    out = [base]
+    for _ in range(middles):
+        copy = list(base)
+        at = 5 + r.randrange(160)
+        copy[at:at + 17] = [f"v{r.randrange(10 ** 6)}" for _ in range(17)]
+        out.append(copy)
+    return [" ".join(c) for c in out + [base[:-1] + ["end"]]]
+
+
+def test_near_duplicate_classes_of_a_table_of_doubled_rows_match_brute_force(spark):
+    # these seeds have copies that only buckets of the same size, smallest and largest member bring together
+    rows = [t for seed, n in ((148, 2), (3, 3), (29, 4), (12, 6)) for t in _middle_copies(seed, n)]
+    sets = [shingles(t) for t in rows]
+    want = _components(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])])
+    assert len(set(want)) == 4
+    once = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(rows)], SCHEMA)
+    twice = once.unionByName(once).repartition(3)
+    assert sorted((x.doc_id, x.class_id) for x in minhash.classes(twice).collect()) == sorted(2 * list(enumerate(want)))
+    assert sorted(x.doc_id for x in minhash.one_per_class(twice).collect()) == sorted(set(want))
+
+
 def test_near_duplicates_handle_null_ids_repeated_rows_and_empty_tables(spark):
     assert minhash.classes(spark.createDataFrame([], SCHEMA)).count() == 0
     t = "one two three four five six seven"
