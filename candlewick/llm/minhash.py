@@ -20,8 +20,10 @@ Pairs whose 128 one-bit signatures differ in over ``MOST_BITS`` places are passe
 candidate pair is checked or already connected, while a group of m near copies costs O(m) pairs and never m*m.
 
 Defined results: null text counts as empty; texts without words form one class; texts under five words are
-alike only if their words are equal. Rows sharing a doc_id are one document and one class; a row without
-doc_id gets a negative key from its text's hash. The class id is the smallest doc_id (key) in the class.
+alike only if their words are equal. Rows sharing a doc_id and a text are one document and one class. A row without
+doc_id gets a negative key from its text's hash; different texts that share a doc_id are different documents, each
+with a negative key from doc_id and text. The class id is the smallest key in the class (a doc_id, where no row
+of the class has a negative key).
 """
 
 from __future__ import annotations
@@ -302,7 +304,8 @@ def _classes(keyed: DataFrame, text: DataFrame, threshold: float = THRESHOLD, we
 
 
 def one_per_class(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each class: the one whose key is the class id."""
+    """``docs`` with one row of each class: of the rows whose key is the class id, the smallest by all columns in their order."""
     keyed, text = document_keys(docs)
     kept = _classes(keyed, text, **options).where("key = class_id").select(F.col("key").alias("_key")).distinct()
-    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    least = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row")
+    return keyed.join(kept, "_key", "left_semi").groupBy("_key").agg(least).select("_row.*")

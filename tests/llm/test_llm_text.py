@@ -186,6 +186,21 @@ def test_near_duplicate_classes_of_a_table_of_doubled_rows_match_brute_force(spa
     assert sorted(x.doc_id for x in minhash.one_per_class(twice).collect()) == sorted(set(want))
 
 
+def test_texts_that_share_a_doc_id_are_documents_of_their_own(spark):
+    r = random.Random(4)
+    one, two = ([f"w{r.randrange(10 ** 6)}" for _ in range(80)] for _ in range(2))
+    texts = [" ".join(w) for w in (one, two, one[:-1] + ["end"], two[:-1] + ["end"], one)]
+    rows = [(i, t, n, "x") for n, (i, t) in enumerate(zip((1, 1, 2, 3, 1), texts, strict=True), 10)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, SCHEMA).repartition(2)
+        got = minhash.classes(df).collect()
+        assert sorted(x.doc_id for x in got) == [1, 1, 1, 2, 3] and len({(x.key, x.class_id) for x in got}) == 4
+        assert sorted(sum(x.class_id == c for x in got) for c in {x.class_id for x in got}) == [2, 3]
+        kept = minhash.one_per_class(df)
+        assert kept.columns == df.columns
+        assert sorted((x.doc_id, x.text, x.n_chars) for x in kept.collect()) == sorted([(1, texts[0], 10), (1, texts[1], 11)])
+
+
 def test_near_duplicates_handle_null_ids_repeated_rows_and_empty_tables(spark):
     assert minhash.classes(spark.createDataFrame([], SCHEMA)).count() == 0
     t = "one two three four five six seven"
