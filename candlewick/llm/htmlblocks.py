@@ -1,7 +1,7 @@
 """Cutting a web page into leaf blocks: their text and the path of open elements above them.
 
 Block elements cut, inline elements and <br> do not; scripts, styles, titles, templates and comments hold no
-text. An unclosed tag at the end of a cut-off page is markup. Character references are decoded and white
+text (self-closed ones are empty); text inside objects, frames, formulas and drawings is kept. An unclosed tag at the end of a cut-off page is markup. Character references are decoded and white
 space inside a block becomes one space.
 """
 
@@ -14,7 +14,10 @@ import re
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp
 small span strike strong sub sup time tt u var wbr""".split())
-RAW = "script|style|title|template|noscript|textarea|iframe|object|svg|math"
+EMBEDDED = frozenset("""noscript textarea iframe object svg g path math mfrac mi mn mo mrow ms mspace msqrt mstyle msub msubsup msup
+mtext""".split())
+INLINE |= EMBEDDED
+RAW = "script|style|title|template"
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 # an implied end never reaches past these
@@ -24,7 +27,7 @@ h5 h6 header hgroup hr main menu nav ol pre section table ul""".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})(?=[\s/>]|\Z)[^>]*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    rf"|<(?P<raw>{RAW})(?=[\s/>]|\Z)[^>]*(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
     r"|<[/!?a-z][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
@@ -97,7 +100,7 @@ def leaf_blocks(html: str) -> list[tuple[str, str]]:
                     break
                 if t in BARRIER:
                     break
-        if m["attrs"].endswith("/") and not inline and tag not in CLOSED_BY_BLOCK:
+        if m["attrs"].endswith("/") and (tag in EMBEDDED or not inline and tag not in CLOSED_BY_BLOCK):
             continue
         words = ""
         attrs = m["attrs"]

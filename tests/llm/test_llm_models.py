@@ -201,6 +201,18 @@ def test_blocks_decode_references_and_skip_what_is_not_text():
     assert htmlblocks.leaf_blocks("<p>cut <a hre") == [("cut", ">p|L0|S0")]
 
 
+def test_blocks_keep_what_follows_or_stands_inside_embedded_elements():
+    def texts(html):
+        return [t for t, _ in htmlblocks.leaf_blocks(html)]
+    for tag in ("svg", "math", "object", "iframe", "noscript", "textarea"):
+        assert texts(f"<div><{tag} class='a'/><p>one</p></div><p>two</p>") == ["one", "two"]
+        assert texts(f"<div><{tag} class='a'><p>one</p></div><p>two</p>") == ["one", "two"]
+        assert texts(f"<p>one <{tag}>in</{tag}> two</p><p>three</p>") == ["one in two", "three"]
+    assert texts("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then <svg><path d='M0'/></svg>so</p>") == ["if x=1 then so"]
+    assert texts("<title/><script src='x'/><p>one</p><script>var b = 1 > 0;</script><p>two</p>") == ["one", "two"]
+    assert texts("<p>one</p><script>var c;") == ["one"]
+
+
 @pytest.fixture(scope="module")
 def net(spark):
     return extraction.train(table(spark, SF, "pages"))
