@@ -301,9 +301,9 @@ def nearest(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "
         who, vec, score = c["found"]
         return pa.RecordBatch.from_arrays([pa.array(c["ids"][who]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"])
 
-    home_pairs = sorted({(c + i, first_part[h] + j) for h, (c, own) in chunk_of.items() if h in parts
-                         for i in range(own) for j in range(parts[h])})
-    start = spark.createDataFrame(home_pairs or [(-1, -1)], "chunk bigint, part bigint")
+    homes = spark.createDataFrame([(h, c + i) for h, (c, own) in chunk_of.items() if h in parts for i in range(own)], "block bigint, chunk bigint")
+    owned = spark.createDataFrame([(b, first_part[b] + j) for b in parts for j in range(parts[b])], "block bigint, part bigint")
+    start = homes.join(F.broadcast(owned), "block").select("chunk", "part")
     pairs = start.join(asks, "chunk").join(body, "part")
     one = write_and_read(pairs.mapInArrow(look(True), out), "ann-home")
     by_query = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

@@ -224,6 +224,23 @@ def test_neighbours_reach_recall_and_exact_scores(spark):
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_of_one_hot_region_are_paired_off_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(neighbours, "CHUNK_ROWS", 16)
+    df = spark.createDataFrame([(i, [1.0, 2.0, 3.0, 4.0]) for i in range(600)], "vec_id bigint, embedding array<double>")
+    listed, make = [], type(spark).createDataFrame
+
+    def counted(self, data, *args, **kwargs):
+        listed.append(len(data))
+        return make(self, data, *args, **kwargs)
+    monkeypatch.setattr(type(spark), "createDataFrame", counted)
+    got = {}
+    for x in neighbours.nearest(df, F.lit(True)).collect():
+        got.setdefault(x.query_id, {})[x.rank] = x.vec_id
+    assert got == {q: dict(enumerate([i for i in range(21) if i != q][:20], 1)) for q in range(600)}
+    assert listed and max(listed) <= 600 // 16 + 600 // 32 + 2      # not chunks times parts
+
+
 def test_neighbour_query_recall(spark):
     rows = [(r.vec_id, r.embedding) for r in table(spark, SF, "embeddings").collect()]
     ids = np.array([i for i, _ in rows])
