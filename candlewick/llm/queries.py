@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from candlewick.llm import extraction, fingerprints, language, minhash, mixing, neighbours, packing, pieces, toxicity, urls
+from candlewick.llm import (alignment, chat, extraction, fingerprints, language, minhash, mixing, neighbours, packing, periodic, pieces,
+                            toxicity, urls)
 from candlewick.session import scratch_path
 from candlewick.sources.tables import table
 
@@ -81,5 +84,53 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.withColumn("_p", pieces.round_trip(F.col("text"), spark)).select("doc_id", "_p.*")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tokenizers' tokens of every document: groups between shared cuts, links and how common they are."""
+    return alignment.link_statistics(table(spark, sf_dir, "documents"))
+
+
+CONTROL_CONVERSATION, CONTROL_TEXT = -7, r"\### Assistant: </turn> ok"
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and read back from its formatted text: turns, trained text and their digests."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(CONTROL_CONVERSATION, i, role, CONTROL_TEXT) for i, role in enumerate(("user", "assistant"))],
+                                    "conv_id bigint, turn bigint, role string, text string")
+    return chat.read_back(chat.format_chat(rows.unionByName(control)))
+
+
+def with_planted_loop(words: list[bytes], g: int) -> list[bytes]:
+    """The words from g % n on repeat with a period that g gives."""
+    n = len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@F.arrow_udf(StringType())
+def planted(text: pa.Array, h: pa.Array) -> pa.Array:
+    out = []
+    for t, k in zip(text, h.to_pylist()):
+        words = (t.as_py() or "").encode().split()
+        out.append(b" ".join(with_planted_loop(words, k // 10)).decode() if words else None)
+    return pa.array(out, pa.string())
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document (a tenth of them with a planted loop) and the text without the repetitions."""
+    docs = table(spark, sf_dir, "documents")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    loops = F.when(h % 10 == 0, F.col("text"))
+    texts = docs.select("doc_id", F.coalesce(planted(loops, h), F.col("text")).alias("text"))
+    r = F.col("repeats")
+    line = F.transform(r["runs"], lambda x: F.concat(x["start"], F.lit(","), x["length"], F.lit(","), x["period"], F.lit("\n")))
+    return periodic.with_runs(texts).select(
+        "doc_id", F.size(r["runs"]).cast("bigint").alias("n_runs"), r["best"]["start"].alias("start"), r["best"]["length"].alias("length"),
+        r["best"]["period"].alias("period"), r["best"]["exponent_milli"].alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2(r["collapsed"], 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_extraction, op3_urls, op4_language, op5_minhash, op6_toxicity,
-                                   op7_neighbours, op8_packing, op9_pieces, op10_mixing)}
+                                   op7_neighbours, op8_packing, op9_pieces, op10_mixing, op11_alignment,
+                                   op12_chat, op13_runs)}
