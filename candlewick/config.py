@@ -111,6 +111,7 @@ PRIMARY_MODEL = {
 SECONDARY_MODEL = {
     "learning_rate": 0.05, "max_depth": 5, "subsample": 0.8, "colsample_bytree": 0.8, "lambda": 1.0,
 }
+BAGGING_FREQ = 5                 # rounds of the primary model that share a sample of rows
 ENSEMBLE_PRIMARY_WEIGHT = 0.6
 SEED = 42
 SENTINEL = -999.0

@@ -1,26 +1,21 @@
-"""Scaling, boosted-tree training and selection on MLlib.
+"""Scaling, boosted-tree training and selection.
 
-Training data stays a DataFrame; MLlib's GBT aggregates split statistics across
-partitions, so nothing but per-column scaler statistics and tree ensembles reaches
-the driver.
+Training data stays a DataFrame; only per-column scaler statistics, histograms and trees reach the driver.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.config import ENSEMBLE_PRIMARY_WEIGHT, SECONDARY_MODEL, SENTINEL
+from candlewick.config import BAGGING_FREQ, ENSEMBLE_PRIMARY_WEIGHT, SECONDARY_MODEL, SENTINEL
+from candlewick.operators import boosting
+from candlewick.operators.boosting import FEATURES, Fitted, Model, Settings
 from candlewick.operators.candles import fill_sentinel
-from candlewick.operators.trees import first_trees, round_scores
 
-FEATURES = "features"
+MISSING_FEATURES = FEATURES + "_missing"
 
 
 # ---------------------------------------------------------------- T1 scaler
@@ -47,10 +42,10 @@ def scaled_columns(df: DataFrame, stats: dict[str, tuple[float, float]], prefix:
 
 
 def vectorise(df: DataFrame, stats: dict[str, tuple[float, float]], cols: list[str], out: str = FEATURES) -> DataFrame:
-    """Sentinel fill, scaling and assembly straight into the feature vector; no input column changes."""
-    tmp = [f"_z{i}" for i in range(len(cols))]
-    exprs = _scaled({c: stats[c] for c in cols})
-    return assemble(df.withColumns({t: exprs[c] for t, c in zip(tmp, cols, strict=True)}), tmp, out).drop(*tmp)
+    """Scaled columns as one array, sentinel for NULL; the column ``<out>_missing`` is the same with its NULLs. No input column changes."""
+    filled, kept = _scaled({c: stats[c] for c in cols}), _scaled({c: stats[c] for c in cols}, fill=False)
+    return df.drop(out, out + "_missing").withColumns({out: F.array(*[filled[c] for c in cols]),
+                                                       out + "_missing": F.array(*[kept[c].cast("double") for c in cols])})
 
 
 def scaler_table(spark, stats: dict[str, tuple[float, float]]) -> DataFrame:
@@ -62,79 +57,37 @@ def scaler_from_table(table: DataFrame) -> dict[str, tuple[float, float]]:
 
 
 # ---------------------------------------------------------------- T2/T3 boosted trees
-def assemble(df: DataFrame, cols: list[str], out: str = FEATURES) -> DataFrame:
-    """Feature vector of ``cols`` (replacing an existing ``out`` column)."""
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df.drop(out))
+def primary_settings(cfg: dict, max_rounds: int, patience: int, seed: int = 42, **more) -> Settings:
+    """Leaf-wise trees."""
+    return Settings(**{**dict(name="primary", learning_rate=float(cfg.get("learning_rate", 0.05)), l2=float(cfg.get("lambda_l2", 0.0)),
+                              max_leaves=int(cfg.get("num_leaves", 31)), min_rows=int(cfg.get("min_data_in_leaf", 20)),
+                              feature_fraction=float(cfg.get("feature_fraction", 1.0)), bagging_fraction=float(cfg.get("bagging_fraction", 1.0)),
+                              bagging_freq=int(cfg.get("bagging_freq", BAGGING_FREQ)), seed=seed, max_rounds=max_rounds, patience=patience), **more})
 
 
-def primary_params(cfg: dict, max_iter: int, seed: int = 42) -> dict:
-    """Leaf-wise settings mapped onto level-wise MLlib trees (depth = ceil(log2(leaves)))."""
-    leaves = int(cfg.get("num_leaves", 31))
-    return dict(stepSize=float(cfg.get("learning_rate", 0.05)), maxDepth=max(1, math.ceil(math.log2(leaves))),
-                minInstancesPerNode=int(cfg.get("min_data_in_leaf", 10)),
-                featureSubsetStrategy=str(cfg.get("feature_fraction", 0.8)),
-                subsamplingRate=float(cfg.get("bagging_fraction", 0.8)), maxIter=max_iter, seed=seed)
+def secondary_settings(max_rounds: int, patience: int, seed: int = 43, **more) -> Settings:
+    """Depth-wise trees with a learned side for missing values."""
+    c = SECONDARY_MODEL
+    return Settings(**{**dict(name="secondary", learning_rate=float(c["learning_rate"]), l2=float(c["lambda"]), max_leaves=None,
+                              max_depth=int(c["max_depth"]), min_rows=1, min_hessian=1.0, feature_fraction=float(c["colsample_bytree"]),
+                              bagging_fraction=float(c["subsample"]), bagging_freq=1, learned_missing=True, seed=seed,
+                              max_rounds=max_rounds, patience=patience), **more})
 
 
-def secondary_params(max_iter: int, seed: int = 43) -> dict:
-    c = SECONDARY_MODEL
-    return dict(stepSize=float(c["learning_rate"]), maxDepth=int(c["max_depth"]), minInstancesPerNode=1,
-                featureSubsetStrategy=str(c["colsample_bytree"]), subsamplingRate=float(c["subsample"]),
-                maxIter=max_iter, seed=seed)
-
-
-def best_iteration(losses: list[float], patience: int) -> tuple[int, bool]:
-    """(1-based round of the lowest validation loss before ``patience`` rounds without improvement,
-    whether patience ran out)."""
-    best, best_i = float("inf"), 0
-    for i, v in enumerate(losses):
-        if v < best:
-            best, best_i = v, i
-        elif i - best_i >= patience:
-            return best_i + 1, True
-    return best_i + 1, False
-
-
-@dataclass
-class Fitted:
-    model: GBTClassificationModel       # the first ``best_iter`` trees
-    grown: GBTClassificationModel       # every tree fitted
-    best_iter: int
-    val_curve: list[float]
-    train_curve: list[float] | None = None
-
-
-def fit_gbt(train: DataFrame, val: DataFrame, params: dict, patience: int, label: str = "label",
-            curves: bool = False, first_rounds: int | None = None) -> Fitted:
-    """Early-stopped boosting: fit ``first_rounds`` (default: four times the patience, at least 32), then twice as
-    many and so on (at most ``maxIter``) until the validation loss has not improved for ``patience`` rounds,
-    and keep the best round's trees (the same seed and input give the same first trees, so nothing is
-    refitted).  The rounds fitted are bounded by four times the stopping point, or ``first_rounds``.  ``curves`` also reads the training loss per round (one more pass).  MLlib's log loss is twice the
-    usual one."""
-    most = params["maxIter"]
-    rounds = min(first_rounds or max(32, 4 * patience), most)
-    while True:
-        est = GBTClassifier(featuresCol=FEATURES, labelCol=label, lossType="logistic", **{**params, "maxIter": rounds})
-        grown = est.fit(train)
-        val_curve = [v / 2.0 for v in grown.evaluateEachIteration(val)]
-        k, stopped = best_iteration(val_curve, patience)
-        if stopped or rounds >= most:
-            break
-        rounds = min(2 * rounds, most)
-    train_curve = [v / 2.0 for v in grown.evaluateEachIteration(train)] if curves else None
-    return Fitted(first_trees(grown, k), grown, k, val_curve, train_curve)
-
-
-def predict_prob(model: GBTClassificationModel, df: DataFrame, out: str = "prob") -> DataFrame:
-    p = model.transform(df.drop("rawPrediction", "probability", "prediction"))
-    return p.withColumn(out, vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")
-
-
-def auc_curve(model: GBTClassificationModel, df: DataFrame, rounds: list[int] | None = None,
-              label: str = "label") -> DataFrame:
+def fit_models(rows: DataFrame, settings: list[Settings], cols: list[str], part: Column, key: Column, label: str = "label",
+               features: str = FEATURES) -> list[Fitted]:
+    """Models fitted in lockstep, each until its patience runs out; ``features``: FEATURES, or MISSING_FEATURES where NULLs count."""
+    return boosting.fit(rows, settings, cols, part, key, label, features=features)
+
+
+def predict_prob(model: Model, df: DataFrame, out: str = "prob") -> DataFrame:
+    return boosting.with_probability(model, df, out)
+
+
+def auc_curve(model: Model, df: DataFrame, rounds: list[int] | None = None, label: str = "label") -> DataFrame:
     """T7 companion: log-loss, Brier and AUC per boosting round on ``df`` (one grouped pass)."""
     from candlewick.operators.evaluation import metrics
-    return metrics(round_scores(model, df, rounds), "prob", label, by=["round"])
+    return metrics(boosting.round_probabilities(model, df, rounds), "prob", label, by=["round"])
 
 
 # ---------------------------------------------------------------- T4 ensemble
@@ -157,10 +110,12 @@ def cv_summary(fold_metrics: DataFrame) -> DataFrame:
     return s.withColumn("is_best", F.col("config") == best)
 
 
-def importance_table(spark, model: GBTClassificationModel, cols: list[str]) -> DataFrame:
-    """Gain-style importance per feature (MLlib's normalised impurity gain)."""
-    imp = model.featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(cols, [float(x) for x in imp])), "feature string, importance double")
+def importance_table(spark, model: Model, cols: list[str]) -> DataFrame:
+    """Gain importance per feature: its splits' summed gain, as a share of all."""
+    gains = model.gains()
+    total = float(gains.sum())
+    return spark.createDataFrame([(c, float(x) / total if total else 0.0) for c, x in zip(cols, gains, strict=True)],
+                                 "feature string, importance double")
 
 
 def top_k(imp: DataFrame, k: int = 20) -> DataFrame:

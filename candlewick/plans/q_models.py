@@ -1,7 +1,7 @@
 """Model queries (T*, E9-E11).
 
 Scaling, ensembling, fold summaries, deltas and selection have exact oracles on data-derived
-inputs.  SQL cannot refit MLlib trees, so a fitted model's query writes its scores and tables to the
+inputs.  SQL cannot refit trees, so a fitted model's query writes its scores and tables to the
 shared folder and returns, beside values SQL knows exactly (rows scored, label sums, baseline
 metrics), checks that a wrong fit or table breaks: the loss beats the constant prior, the AUC is
 above one half, reported metrics equal those recomputed from the written scores, deltas and best
@@ -14,7 +14,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from candlewick.config import ALL_FEATURE_COLS, DEFAULT_CONFIG, FEATURE_GROUPS, HYPERPARAM_CONFIGS, PRIMARY_MODEL
+from candlewick.config import ALL_FEATURE_COLS, DEFAULT_CONFIG, FEATURE_GROUPS, HYPERPARAM_CONFIGS
 from candlewick.operators import evaluation as E
 from candlewick.operators import models as T
 from candlewick.operators import splits as G
@@ -79,23 +79,23 @@ def standard_scale(spark, sf_dir):
     return T.scaled_columns(sp.test, stats).select("market_id", "ds", *[F.col(f"z_{c}").alias(c) for c in ALL_FEATURE_COLS])
 
 
-def _fit_one(spark, sf_dir, params_fn):
+def _fit_one(spark, sf_dir, fit):
     sp = _splits(spark, sf_dir)
-    _, tr, (va, te) = training.scaled(sp.train, [sp.val, sp.test], sp.cols)
-    fitted = T.fit_gbt(tr, va, params_fn(), Q.patience)
-    return _checked(sp.train, training.written_scores(T.predict_prob(fitted.model, te), "prob"))
+    _, rows = training.scaled(sp)
+    fitted = fit(rows, sp.cols, Q)
+    return _checked(sp.train, training.written_scores(T.predict_prob(fitted.model, training.in_split(rows, "test")), "prob"))
 
 
 @query("gbt_primary", with_ctes("split") + final_select(_CHECKED, _PRIOR.format(split="test")))
 def gbt_primary(spark, sf_dir):
-    """Primary boosted trees (early-stopped on val) scoring every test row."""
-    return _fit_one(spark, sf_dir, lambda: T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed))
+    """Leaf-wise boosted trees (early-stopped on val) scoring every test row."""
+    return _fit_one(spark, sf_dir, training.fit_primary)
 
 
 @query("gbt_secondary", with_ctes("split") + final_select(_CHECKED, _PRIOR.format(split="test")))
 def gbt_secondary(spark, sf_dir):
-    """Depth-5 secondary boosted trees scoring every test row."""
-    return _fit_one(spark, sf_dir, lambda: T.secondary_params(Q.max_rounds, Q.seed + 1))
+    """Depth-5 boosted trees with a learned side for NULLs, scoring every test row."""
+    return _fit_one(spark, sf_dir, training.fit_secondary)
 
 
 @query("ensemble_score", with_ctes("split") + final_select(
@@ -225,8 +225,8 @@ def feature_importance_topk(spark, sf_dir):
     """The 20 most important features of the primary model (written as a table); all importances sum to 1."""
     from candlewick.session import write_and_read
     sp = _splits(spark, sf_dir)
-    _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
-    fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience)
+    _, rows = training.scaled(sp)
+    fitted = training.fit_primary(rows, sp.cols, Q)
     imp = write_and_read(T.importance_table(spark, fitted.model, sp.cols), "importance")
     top = T.top_k(imp, 20).collect()                                    # 20 rows
     total = imp.agg(F.sum("importance")).first()[0]
@@ -305,10 +305,8 @@ def score_live_model(spark, sf_dir):
     from candlewick.session import scratch_path
     from candlewick.sources import io
     sp = _splits(spark, sf_dir)
-    stats, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
-    m1, m2 = training.run_parallel(lambda p: T.fit_gbt(tr, va, p, Q.patience),
-                                   [T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed),
-                                    T.secondary_params(Q.max_rounds, Q.seed + 1)])
+    stats, rows = training.scaled(sp)
+    m1, m2 = training.run_parallel(lambda fit: fit(rows, sp.cols, Q), [training.fit_primary, training.fit_secondary])
     path = io.save_bundle(spark, scratch_path(spark, "live-bundle"), {"primary": m1.model, "secondary": m2.model}, stats, sp.cols)
     models, stats2, cols = io.load_bundle(spark, path)
     scored = training.score_with_models(live_flat(spark, sf_dir), models, stats2, cols)
@@ -351,20 +349,25 @@ def ablation_delta(spark, sf_dir):
 
 
 @query("attribution_topk", with_ctes("split") + final_select(
-    "n:i, n_ranked:i, known:b=true, ordered:b=true, top_matters:b=true, loss_agrees:b=true",
+    "n:i, n_ranked:i, known:b=true, ordered:b=true, top_matters:b=true, adds_up:b=true",
     "(SELECT count(*) AS n, 5 AS n_ranked FROM splitted WHERE split = 'val')"))
 def attribution_topk(spark, sf_dir):
-    """E10 (re-aimed): top-5 features by log-loss increase when set to their mean, on all val rows."""
+    """The 5 features of greatest mean absolute Shapley value over all val rows; every row's values and the
+    model's expectation add up to its log-odds."""
+    from candlewick.operators import shapley
     sp = _splits(spark, sf_dir)
-    _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
-    fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience)
+    _, rows = training.scaled(sp)
+    fitted = training.fit_primary(rows, sp.cols, Q)
+    va = training.in_split(rows, "val")
     top = training.attribution(fitted.model, va, sp.cols, 5).collect()  # five rows
     known = all(r["feature"] in ALL_FEATURE_COLS for r in top)
     ordered = all(x["importance"] >= y["importance"] for x, y in zip(top, top[1:]))
-    agrees = _near(top[0]["loss_full"], min(fitted.val_curve[:fitted.best_iter])) and all(
-        _near(r["importance"], r["loss_without"] - r["loss_full"], 1e-12) for r in top)
-    return sp.val.agg(F.count(F.lit(1)).alias("n"), F.lit(len(top)).alias("n_ranked"), F.lit(known).alias("known"), F.lit(ordered).alias("ordered"),
-                      F.lit(top[0]["importance"] > 0).alias("top_matters"), F.lit(agrees).alias("loss_agrees"))
+    mean = fitted.model.base + sum(shapley.expectation(shapley.paths(t)) for t in fitted.model.trees)
+    both = T.predict_prob(fitted.model, shapley.with_values(fitted.model, va))
+    total = F.lit(mean) + F.aggregate("shapley", F.lit(0.0), lambda a, x: a + x)
+    gap = both.agg(F.max(F.abs(1 / (1 + F.exp(-total)) - F.col("prob")))).first()[0]
+    return sp.val.agg(F.lit(top[0]["n"]).alias("n"), F.lit(len(top)).alias("n_ranked"), F.lit(known).alias("known"), F.lit(ordered).alias("ordered"),
+                      F.lit(top[0]["importance"] > 0).alias("top_matters"), F.lit(gap < 1e-9).alias("adds_up"))
 
 
 _EVID = ("(SELECT 'No missing flags' AS variant, (SELECT count(*) FROM model) AS n_rows UNION ALL "
@@ -387,9 +390,9 @@ def preprocessing_evidence(spark, sf_dir):
     def one(variant):
         name, rows = variant
         sp = training.make_splits(rows, Q)
-        _, tr, (va, te) = training.scaled(sp.train, [sp.val, sp.test], sp.cols)
-        fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience)
-        m = E.metrics(training.written_scores(T.predict_prob(fitted.model, te), "prob")).first()
+        _, scaled = training.scaled(sp)
+        fitted = training.fit_primary(scaled, sp.cols, Q)
+        m = E.metrics(training.written_scores(T.predict_prob(fitted.model, training.in_split(scaled, "test")), "prob")).first()
         top = T.top_k(T.importance_table(spark, fitted.model, sp.cols), 1).first()["feature"]
         return name, sp.rows.count(), m["log_loss"] < _prior(sp.train, sp.test)["loss"], m["auc"] > 0.5, top in ALL_FEATURE_COLS
     got = {r[0]: r[1:] for r in training.run_parallel(one, variants)}

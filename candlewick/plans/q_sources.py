@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.config import PRIMARY_MODEL
+
 from candlewick.functions.columns import to_float, zero_default
 from candlewick.operators import candles as C
 from candlewick.operators import features as FE
@@ -148,8 +148,8 @@ def save_load_model(spark, sf_dir):
     from candlewick.plans.q_models import Q as Q_MODELS
     Q = Q_MODELS
     sp = training.make_splits(flows.model_frame(spark, sf_dir), Q)
-    stats, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
-    fitted = T.fit_gbt(tr, va, T.primary_params(PRIMARY_MODEL, Q.max_rounds, Q.seed), Q.patience)
+    stats, rows = training.scaled(sp)
+    fitted = training.fit_primary(rows, sp.cols, Q)
     path = io.save_bundle(spark, scratch_path(spark, "bundle"), {"primary": fitted.model}, stats, sp.cols)
     models, stats2, cols2 = io.load_bundle(spark, path)
     keys = ["market_id", "ds"]

@@ -1,9 +1,9 @@
-"""The training flow (T5-T10, E9-E11): materialise once, split once, then fit on MLlib.
+"""The training flow (T5-T10, E9-E11): materialise once, split once, then fit models in lockstep.
 
 The model rows are written once to the shared checkpoint folder and the split / fold
 assignments (one row per series) once more; every fit reads those tables, so the
-feature windows run a single time.  Fold and config loops run on the driver, but each
-step inside them is a distributed Spark job; only metric numbers come back.
+feature windows run a single time.  Configs, folds and ablation variants are models of one
+lockstep fit (``operators/boosting.py``); only histograms, trees and metric numbers reach the driver.
 """
 
 from __future__ import annotations
@@ -11,14 +11,14 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.config import DEFAULT_CONFIG, FEATURE_GROUPS, HYPERPARAM_CONFIGS, PRIMARY_MODEL, PipelineConfig
 from candlewick.operators import evaluation as E
 from candlewick.operators import features as FE
 from candlewick.operators import models as T
+from candlewick.operators import shapley as SH
 from candlewick.operators import splits as G
 from candlewick.session import write_and_read
 
@@ -46,14 +46,25 @@ def make_splits(model_rows: DataFrame, cfg: PipelineConfig = DEFAULT_CONFIG) ->
     return Splits(rows, rows.where("split = 'train'"), rows.where("split = 'val'"), rows.where("split = 'test'"), cols)
 
 
-def scaled(train: DataFrame, others: list[DataFrame], cols: list[str], scale: bool = True):
-    """Sentinel fill and scaler fitted on ``train``, applied into the feature vector (columns stay as they are)."""
-    stats = T.fit_scaler(train, cols) if scale else {c: (0.0, 1.0) for c in cols}
-    prep = lambda d: T.vectorise(d, stats, cols)
-    return stats, prep(train), [prep(o) for o in others]
+def scaled(sp: Splits, cols: list[str] | None = None, scale: bool = True) -> tuple[dict, DataFrame]:
+    """(scaler fitted on train, all rows with their feature arrays; columns stay as they are)."""
+    cols = cols or sp.cols
+    stats = T.fit_scaler(sp.train, cols) if scale else {c: (0.0, 1.0) for c in cols}
+    return stats, T.vectorise(sp.rows, stats, cols)
 
 
-FIT_PARALLELISM = 5  # independent fits submitted as concurrent Spark jobs
+TRAIN, VAL = 0, 1       # part numbers of a split's fit
+FIT_PARALLELISM = 5     # independent fits submitted as concurrent Spark jobs
+
+
+def split_part() -> Column:
+    """Part number of the split; test rows take no part in a fit."""
+    return F.when(F.col("split") == "train", TRAIN).when(F.col("split") == "val", VAL)
+
+
+def row_key() -> Column:
+    """What row sampling hashes: a row's market and time."""
+    return F.xxhash64("market_id", "ds")
 
 
 def run_parallel(fn, items, workers: int = FIT_PARALLELISM) -> list:
@@ -73,46 +84,82 @@ def written_scores(scored: DataFrame, *cols: str) -> DataFrame:
     return write_and_read(scored.select(*KEYS, *cols), "scores")
 
 
-def fit_and_score(train, val, params, patience, curves: bool = False):
-    """Early-stopped fit and the written validation scores of its best round."""
-    fitted = T.fit_gbt(train, val, params, patience, curves=curves)
-    return fitted, written_scores(T.predict_prob(fitted.model, val), "prob")
+def fit_split(rows: DataFrame, settings: list, cols: list[str], features: str = T.FEATURES) -> list:
+    """Models fitted in lockstep on the split's train rows, stopped on its val rows."""
+    return T.fit_models(rows, settings, cols, split_part(), row_key(), features=features)
+
+
+def fit_primary(rows: DataFrame, cols: list[str], cfg: PipelineConfig = DEFAULT_CONFIG, model_cfg: dict = PRIMARY_MODEL):
+    """T2 on a split."""
+    return fit_split(rows, [T.primary_settings(model_cfg, cfg.max_rounds, cfg.patience, cfg.seed)], cols)[0]
+
+
+def fit_secondary(rows: DataFrame, cols: list[str], cfg: PipelineConfig = DEFAULT_CONFIG):
+    """T3 on a split, NULLs kept."""
+    return fit_split(rows, [T.secondary_settings(cfg.max_rounds, cfg.patience, cfg.seed + 1)], cols, T.MISSING_FEATURES)[0]
+
+
+def in_split(rows: DataFrame, split: str) -> DataFrame:
+    return rows.where(F.col("split") == split)
 
 
 def search_holdout(sp: Splits, cfg: PipelineConfig = DEFAULT_CONFIG, configs=None, curves: bool = False) -> list[dict]:
-    """T5: each config trained on train, early-stopped and scored on val; lowest log-loss is best.
-    With ``curves`` (T7): the losses per round and, per round, AUC on val."""
-    _, tr, (va,) = scaled(sp.train, [sp.val], sp.cols)
-
-    def one(item):
-        name, c = item
-        fitted, scored = fit_and_score(tr, va, T.primary_params(c, cfg.max_rounds, cfg.seed), cfg.patience, curves)
-        m = E.metrics(scored).first()
-        out = dict(config=name, log_loss=m["log_loss"], auc=m["auc"], brier=m["brier"], best_iter=fitted.best_iter,
+    """T5: each config trained on train (in lockstep), early-stopped and scored on val; lowest log-loss is best.
+    The losses per round come with the fit; with ``curves`` (T7) also AUC on val per round."""
+    configs = configs or HYPERPARAM_CONFIGS
+    _, rows = scaled(sp)
+    va = in_split(rows, "val")
+    fits = fit_split(rows, [T.primary_settings(c, cfg.max_rounds, cfg.patience, cfg.seed, name=n) for n, c in configs.items()], sp.cols)
+
+    def one(fitted):
+        m = E.metrics(written_scores(T.predict_prob(fitted.model, va), "prob")).first()
+        out = dict(config=fitted.settings.name, log_loss=m["log_loss"], auc=m["auc"], brier=m["brier"], best_iter=fitted.best_iter,
                    rounds=len(fitted.val_curve), val_curve=fitted.val_curve, train_curve=fitted.train_curve)
         if curves:
-            out["by_round"] = write_and_read(T.auc_curve(fitted.grown, va), "auc-curve")
+            out["by_round"] = write_and_read(T.auc_curve(fitted.grown, va.select("label", T.FEATURES)), "auc-curve")
         return out
-    rows = run_parallel(one, list((configs or HYPERPARAM_CONFIGS).items()))
-    best = min(rows, key=lambda r: (r["log_loss"], r["config"]))["config"]
-    return [{**r, "is_best": r["config"] == best} for r in rows]
+    res = run_parallel(one, fits)
+    best = min(res, key=lambda r: (r["log_loss"], r["config"]))["config"]
+    return [{**r, "is_best": r["config"] == best} for r in res]
 
 
 def search_cv(sp: Splits, cfg: PipelineConfig = DEFAULT_CONFIG, configs=None) -> list[dict]:
-    """Configs x group folds of train+val, scaler fitted per fold; the first fold of each config also
-    keeps its loss curves."""
+    """Configs x group folds of train+val, all models in one lockstep fit; each row is scored by the models of
+    its own fold.  The first fold of each config also keeps its loss curves.  Trees do not depend on a column's
+    scale, so no scaler is fitted per fold; the bins are those of all dev rows (their features, not labels)."""
+    configs = configs or HYPERPARAM_CONFIGS
     dev = G.group_folds(G.dev_union(sp.rows), "series_id", cfg.n_folds, pin=True)
+    rows = T.vectorise(dev, {c: (0.0, 1.0) for c in sp.cols}, sp.cols)
+    folds = range(cfg.n_folds)
+    fits = T.fit_models(rows, [T.primary_settings(c, cfg.max_rounds, cfg.patience, cfg.seed, name=n, val=(k,),
+                                                  train=tuple(j for j in folds if j != k))
+                               for n, c in configs.items() for k in folds], sp.cols, F.col("fold"), row_key())
+    per = fold_scores(rows, fits, list(configs))
+    got = {(r["config"], r["fold"]): r for r in E.metrics(per, "prob", "label", by=["config", "fold"]).collect()}   # a row per fit
+    out = []
+    for f in fits:
+        k, m = f.settings.val[0], got[f.settings.name, f.settings.val[0]]
+        out.append(dict(config=f.settings.name, fold=k, val_loss=m["log_loss"], train_loss=f.train_curve[f.best_iter - 1],
+                        auc=m["auc"], brier=m["brier"], best_iter=f.best_iter, n=m["n"],
+                        val_curve=f.val_curve if k == 0 else None, train_curve=f.train_curve if k == 0 else None))
+    return out
 
-    def one(item):
-        (name, c), k = item
-        _, tr, (va,) = scaled(dev.where(F.col("fold") != k), [dev.where(F.col("fold") == k)], sp.cols)
-        fitted = T.fit_gbt(tr, va, T.primary_params(c, cfg.max_rounds, cfg.seed), cfg.patience, curves=True)
-        m = E.metrics(written_scores(T.predict_prob(fitted.model, va), "prob")).first()
-        return dict(config=name, fold=k, val_loss=m["log_loss"], train_loss=fitted.train_curve[fitted.best_iter - 1],
-                    auc=m["auc"], brier=m["brier"], best_iter=fitted.best_iter, n=m["n"],
-                    val_curve=fitted.val_curve if k == 0 else None, train_curve=fitted.train_curve if k == 0 else None)
-    items = [(c, k) for c in (configs or HYPERPARAM_CONFIGS).items() for k in range(cfg.n_folds)]
-    return run_parallel(one, items)
+
+def fold_scores(rows: DataFrame, fits: list, names: list[str]) -> DataFrame:
+    """Written scores of every row by each config's model of the row's own fold."""
+    by_fold = {}
+    for f in fits:
+        by_fold.setdefault(f.settings.val[0], {})[f.settings.name] = f.model
+    parts = [F.col("fold").alias("fold"), F.col("label").alias("label")]
+    scored = None
+    for k, models in by_fold.items():
+        d = rows.where(F.col("fold") == k).select(*parts, T.FEATURES)
+        for i, n in enumerate(names):
+            d = T.predict_prob(models[n], d, f"p{i}")
+        d = d.drop(T.FEATURES)
+        scored = d if scored is None else scored.unionByName(d)
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("config"), F.col(f"p{i}").alias("prob")) for i, n in enumerate(names)]))
+    return write_and_read(scored.select("fold", "label", pairs.alias("s")).select("fold", "label", "s.config", "s.prob"), "fold-scores")
 
 
 CV_COLUMNS = "config string, fold int, val_loss double, train_loss double, auc double, brier double, best_iter int, n long"
@@ -125,22 +172,18 @@ def fold_table(spark, rows: list[dict]) -> DataFrame:
 
 
 def ablation(sp: Splits, cfg: PipelineConfig = DEFAULT_CONFIG, model_cfg: dict = PRIMARY_MODEL) -> list[dict]:
-    """Full model, minus each feature group, and without the scaler: val log-loss and delta."""
-    params = T.primary_params(model_cfg, cfg.ablation_rounds, cfg.seed)
-
-    def val_loss(cols, scale=True):
-        _, tr, (va,) = scaled(sp.train, [sp.val], cols, scale)
-        _, scored = fit_and_score(tr, va, params, cfg.ablation_patience)
-        return E.log_loss_brier(scored).first()["log_loss"]
-
-    variants = [("Full model (all features + scaler)", sp.cols, True)]
+    """Full model, minus each feature group (one lockstep fit, each model with its columns), and without the
+    scaler: val log-loss and delta."""
+    settings = lambda **more: T.primary_settings(model_cfg, cfg.ablation_rounds, cfg.ablation_patience, cfg.seed, **more)
+    variants = [settings(name="Full model (all features + scaler)")]
     for grp, gcols in FEATURE_GROUPS.items():
-        kept = [c for c in sp.cols if c not in gcols]
+        kept = tuple(i for i, c in enumerate(sp.cols) if c not in gcols)
         if kept:
-            variants.append((f"Remove '{grp}'", kept, True))
-    variants.append(("No StandardScaler", sp.cols, False))
-    losses = run_parallel(lambda v: val_loss(v[1], v[2]), variants)
-    rows = [dict(ablation=name, val_loss=v) for (name, _, _), v in zip(variants, losses, strict=True)]
+            variants.append(settings(name=f"Remove '{grp}'", columns=kept))
+    jobs = [(scaled(sp)[1], variants), (scaled(sp, scale=False)[1], [settings(name="No StandardScaler")])]
+    fits = [(rows, f) for (rows, _), fs in zip(jobs, run_parallel(lambda j: fit_split(*j, sp.cols), jobs), strict=True) for f in fs]
+    loss = lambda x: E.log_loss_brier(written_scores(T.predict_prob(x[1].model, in_split(x[0], "val")), "prob")).first()["log_loss"]
+    rows = [dict(ablation=f.settings.name, val_loss=v) for (_, f), v in zip(fits, run_parallel(loss, fits), strict=True)]
     return ablation_delta(rows)
 
 
@@ -151,20 +194,8 @@ def ablation_delta(rows: list[dict]) -> list[dict]:
 
 
 def attribution(model, val: DataFrame, cols: list[str], k: int = 5) -> DataFrame:
-    """E10 (re-aimed): mean-imputation importance of the scaled feature vectors in ``val``.  One job: the rows
-    are replicated once per feature with that feature at its mean 0, scored together, and the features ranked
-    by the increase of the log-loss."""
-    base = val.select("label", vector_to_array(T.FEATURES).alias("_x"))
-    numbered = F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1)))
-    tagged = base.withColumn("_i", numbered).withColumn(
-        T.FEATURES, array_to_vector(F.transform("_x", lambda x, i: F.when(i == F.col("_i"), F.lit(0.0)).otherwise(x))))
-    ref = E.log_loss_col("prob", "label")
-    names = F.array(*[F.lit(c) for c in cols])
-    per = T.predict_prob(model, tagged).groupBy("_i").agg(F.avg(ref).alias("loss_without")).select(
-        F.get(names, F.col("_i")).alias("feature"), "loss_without")
-    full = T.predict_prob(model, val).agg(F.avg(ref).alias("loss_full")).first()["loss_full"]
-    return per.select("feature", "loss_without", F.lit(full).alias("loss_full"),
-                      (F.col("loss_without") - F.lit(full)).alias("importance")).orderBy(F.desc("importance"), "feature").limit(k)
+    """Mean absolute Shapley value (log-odds) of each feature over all rows of ``val``, the ``k`` largest."""
+    return SH.mean_absolute(model, val, cols).orderBy(F.desc("importance"), "feature").limit(k)
 
 
 def score_with_models(candles: DataFrame, models: dict, stats: dict, cols: list[str],
@@ -196,24 +227,22 @@ def train_pipeline(sp: Splits, cfg: PipelineConfig = DEFAULT_CONFIG, configs=Non
     cv = search_cv(sp, cfg, configs)
     best = T.cv_summary(fold_table(spark, cv)).where("is_best").first()["config"]
     best_cfg = configs[best]
-    _, tr, (va,) = scaled(sp.train, [sp.val], sp.cols)
-    probe = T.fit_gbt(tr, va, T.primary_params(best_cfg, cfg.max_rounds, cfg.seed), cfg.patience)
+    probe = fit_primary(scaled(sp)[1], sp.cols, cfg, best_cfg)
     imp = T.importance_table(spark, probe.model, sp.cols)
     kept = T.select_features(imp, cfg.feature_selection_threshold).where("kept")
     selected = [r["feature"] for r in kept.collect()]  # model metadata: at most one row per feature
     selected = [c for c in sp.cols if c in set(selected)] or sp.cols
-    stats, tr_s, (va_s, te_s) = scaled(sp.train, [sp.val, sp.test], selected)
-    m1, m2 = run_parallel(lambda p: T.fit_gbt(tr_s, va_s, p, cfg.patience),
-                          [T.primary_params(best_cfg, cfg.max_rounds, cfg.seed),
-                           T.secondary_params(cfg.max_rounds, cfg.seed + 1)])
-    test = written_scores(T.ensemble(T.predict_prob(m2.model, T.predict_prob(m1.model, te_s, "p1"), "p2")), "p1", "p2", "prob")
-    rows = E.baselines(sp.train, test, extra={"Primary model": "p1", "Ensemble": "prob"})
+    stats, rows = scaled(sp, selected)
+    va, te = in_split(rows, "val"), in_split(rows, "test")
+    m1, m2 = run_parallel(lambda fit: fit(rows, selected, cfg), [lambda *a: fit_primary(*a, best_cfg), fit_secondary])
+    test = written_scores(T.ensemble(T.predict_prob(m2.model, T.predict_prob(m1.model, te, "p1"), "p2")), "p1", "p2", "prob")
+    table = E.baselines(sp.train, test, extra={"Primary model": "p1", "Ensemble": "prob"})
     flagged = E.error_flags(test)
     out = dict(best_config=best, cv=cv, importance=imp, selected=selected, stats=stats, primary=m1, secondary=m2, test_scored=test,
                val_loss_before_selection=min(probe.val_curve[:probe.best_iter]), val_loss=min(m1.val_curve[:m1.best_iter]),
-               evaluation=E.evaluation_table(write_and_read(rows, "evaluation")), errors=E.error_totals(flagged),
+               evaluation=E.evaluation_table(write_and_read(table, "evaluation")), errors=E.error_totals(flagged),
                errors_by_bucket=E.error_by_bucket(flagged), backtest=E.backtest(test, cfg.backtest_threshold),
-               attribution=attribution(m1.model, va_s, selected))
+               attribution=attribution(m1.model, va, selected))
     if with_ablation:
         out["ablation"] = ablation(Splits(sp.rows, sp.train, sp.val, sp.test, selected), cfg, best_cfg)
     if bundle:

@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick.config import DEFAULT_CONFIG
+from candlewick.operators import boosting
 from candlewick.operators import models as T
-from candlewick.operators.trees import first_trees
 from candlewick.plans import flows, training
 from candlewick.plans.catalog import REGISTRY
 from candlewick.sources import io
@@ -14,12 +14,6 @@ from candlewick.sources import io
 from conftest import SF_SMALL
 
 
-def test_best_iteration_patience():
-    assert T.best_iteration([5, 4, 3, 3.5, 3.6, 3.7, 2.0], patience=3) == (3, True)
-    assert T.best_iteration([5, 4, 3, 3.5, 2.0], patience=3) == (5, False)
-    assert T.best_iteration([1.0], patience=3) == (1, False)
-
-
 def test_scaler_population_std_and_constant_column(spark):
     df = spark.createDataFrame([(1.0, 0.0), (3.0, 0.0), (None, 0.0)], "a double, b double")
     stats = T.fit_scaler(df, ["a", "b"])
@@ -31,6 +25,7 @@ def test_scaler_population_std_and_constant_column(spark):
     assert [(r.a, r.b) for r in out] == [(1.0, 0.0), (3.0, 0.0), (None, 0.0)]        # the inputs stay
     x = T.vectorise(df, stats, ["a", "b"]).collect()
     assert [r.a for r in x] == [1.0, 3.0, None] and x[2].features[0] == pytest.approx((-999 - m) / s)
+    assert x[2].features_missing == [None, 0.0] and x[0].features_missing == x[0].features
 
 
 def test_ensemble_weights(spark):
@@ -43,12 +38,19 @@ def small_splits(spark):
     return training.make_splits(flows.model_frame(spark, SF_SMALL))
 
 
-def test_fit_score_save_load(spark, small_splits, tmp_dir):
-    sp = small_splits
-    stats, tr, (va, te) = training.scaled(sp.train, [sp.val, sp.test], sp.cols)
-    fitted = T.fit_gbt(tr, va, T.primary_params({"num_leaves": 15}, 4, 42), patience=2)
-    assert 1 <= fitted.best_iter <= 4 and len(fitted.val_curve) == 4
-    p = T.predict_prob(fitted.model, te)
+SMALL = replace(DEFAULT_CONFIG, max_rounds=4, patience=2)
+
+
+@pytest.fixture(scope="module")
+def small_fit(small_splits):
+    stats, rows = training.scaled(small_splits)
+    return stats, rows, training.fit_primary(rows, small_splits.cols, SMALL, {"num_leaves": 15, "learning_rate": 0.3})
+
+
+def test_fit_score_save_load(spark, small_splits, small_fit, tmp_dir):
+    sp, (stats, rows, fitted) = small_splits, small_fit
+    assert 1 <= fitted.best_iter <= 4 and len(fitted.val_curve) == len(fitted.train_curve) <= 4
+    p = T.predict_prob(fitted.model, training.in_split(rows, "test"))
     assert p.where((F.col("prob") < 0) | (F.col("prob") > 1)).count() == 0
     path = os.path.join(tmp_dir, "bundle")
     io.save_bundle(spark, path, {"primary": fitted.model}, stats, sp.cols)
@@ -83,39 +85,19 @@ def test_select_features_threshold(spark):
     assert got == {"x": True, "y": False}
 
 
-def test_round_scores_match_the_model(spark, small_splits):
-    sp = small_splits
-    _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
-    fitted = T.fit_gbt(tr, va, T.primary_params({"num_leaves": 15}, 4, 42), patience=10, curves=True)
-    k = len(fitted.grown.trees)
-    rows = va.select("market_id", "ds", "label", "features")
+def test_round_scores_and_curves_match_the_model(small_fit):
+    _, rows, fitted = small_fit
+    va = training.in_split(rows, "val")
+    k = len(fitted.val_curve)
+    keyed = va.select("market_id", "ds", "features")
     for i in (1, k):
-        got = T.round_scores(fitted.grown, rows, [i])
-        ref = T.predict_prob(first_trees(fitted.grown, i), rows).select("market_id", "ds", F.col("prob").alias("ref"))
+        got = boosting.round_probabilities(fitted.grown, keyed, [i])
+        ref = T.predict_prob(fitted.grown.first(i), keyed).select("market_id", "ds", F.col("prob").alias("ref"))
         assert got.join(ref, ["market_id", "ds"]).agg(F.max(F.abs(F.col("prob") - F.col("ref")))).first()[0] < 1e-12
     curve = {r["round"]: r for r in T.auc_curve(fitted.grown, va.select("label", "features")).collect()}
-    assert sorted(curve) == list(range(1, k + 1)) and len(fitted.train_curve) == k
-    for i in range(1, k + 1):       # per-round log-loss equals MLlib's own evaluation
-        assert curve[i].log_loss == pytest.approx(fitted.val_curve[i - 1], rel=1e-9)
-
-
-def test_rounds_grow_only_until_patience_runs_out(spark, small_splits):
-    sp = small_splits
-    _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
-    params = T.primary_params({"num_leaves": 15, "learning_rate": 0.6}, 64, 42)
-    fitted = T.fit_gbt(tr, va, params, patience=2, first_rounds=4)
-    assert len(fitted.val_curve) < 64 and len(fitted.val_curve) <= max(4, 4 * (fitted.best_iter + 2))
-    assert fitted.model.getNumTrees == fitted.best_iter
-    assert fitted.val_curve[fitted.best_iter - 1] == min(fitted.val_curve[:fitted.best_iter + 2])
-
-
-def test_scoring_rounds_is_linear_in_the_trees(spark, small_splits):
-    """All-round scores plan one walk of the trees and no projection per tree."""
-    sp = small_splits
-    _, tr, (va,) = training.scaled(sp.train, [sp.val], sp.cols)
-    fitted = T.fit_gbt(tr, va, T.primary_params({"num_leaves": 4}, 12, 42), patience=50)
-    plan = T.round_scores(fitted.grown, va.select("label", "features"))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("UDF(") <= 4 and plan.count("Project") <= 8
+    assert sorted(curve) == list(range(1, k + 1))
+    for i in range(1, k + 1):       # the curve that came with the fit is that of the written scores
+        assert curve[i].log_loss == pytest.approx(fitted.val_curve[i - 1], abs=1e-8)
 
 
 def test_train_pipeline_keeps_unscaled_columns(spark, small_splits, tmp_dir):
@@ -139,10 +121,10 @@ def test_registered_model_queries_fit_with_the_library_setting(spark, small_spli
     class Seen(Exception):
         pass
 
-    def fit(train, val, params, patience, *args, **kwargs):
-        raise Seen(params["maxIter"], patience)
-    monkeypatch.setattr(T, "fit_gbt", fit)
+    def fit(rows, settings, *args, **kwargs):
+        raise Seen({(x.max_rounds, x.patience) for x in settings})
+    monkeypatch.setattr(T, "fit_models", fit)
     monkeypatch.setattr(training, "make_splits", lambda *args: small_splits)
     with pytest.raises(Seen) as seen:
         REGISTRY[name].build(spark, SF_SMALL)
-    assert seen.value.args == ((200, 20) if name == "ablation_table" else (500, 30))
+    assert seen.value.args == ({(200, 20) if name == "ablation_table" else (500, 30)},)

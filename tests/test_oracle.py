@@ -1,4 +1,4 @@
-"""Differential test: every registered query against its DuckDB oracle on sf0.001.
+"""Differential test: every registered market query against its DuckDB oracle on sf0.001.
 
 Model-fitting queries (rows-only invariants) are covered by test_models; set
 CW_ORACLE_ALL=1 to run them here as well.
@@ -12,12 +12,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from candlewick.plans.catalog import REGISTRY
 from conftest import SF_SMALL
 
 SLOW = {"gbt_primary", "gbt_secondary", "hparam_search_holdout", "hparam_search_cv", "training_curves",
         "feature_importance_topk", "train_and_evaluate", "ablation_table", "attribution_topk",
         "preprocessing_evidence", "save_load_model", "score_live_model"}
-NAMES = [n for n in entry.oracle_sql() if os.environ.get("CW_ORACLE_ALL") or n not in SLOW]
+NAMES = [n for n, q in REGISTRY.items() if q.sql and (os.environ.get("CW_ORACLE_ALL") or n not in SLOW)]
 
 
 def _norm(v):
@@ -45,9 +46,9 @@ def duck():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    sdf = entry.queries()[name](spark, SF_SMALL)
+    sdf = REGISTRY[name].build(spark, SF_SMALL)
     scols, srows = sdf.columns, [tuple(r) for r in sdf.collect()]
-    res = duck.execute(entry.oracle_sql()[name])
+    res = duck.execute(REGISTRY[name].sql)
     dcols, drows = [d[0] for d in res.description], res.fetchall()
     assert sorted(scols) == sorted(dcols)
     assert len(srows) == len(drows)
