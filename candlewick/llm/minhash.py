@@ -9,14 +9,15 @@ Only darts of rank below t / (total weight), t = k ln k + 2k, are thrown; a docu
 empty throws again with twice the rank.
 
 Documents with equal shingle sets are folded first (one representative each). Representatives that share a
-band are candidates: each round every band bucket picks a few centres, and pairs (centre, member) of
-different components are checked exactly (Jaccard >= 0.8 on the hashed shingles); links join components;
-used centres leave their bucket, and buckets whose remaining members are in one component are done. Where a
+band are candidates: each round every band bucket picks a few centres (one at first, then members outside the
+bucket's largest component), and pairs (centre, member) of different components are checked exactly (Jaccard >= 0.8
+on the hashed shingles); links join components; used centres leave their bucket, having met every member of another
+component, and buckets whose remaining members are in one component are done. Where a
 bucket holds more than ``BUCKET_ROWS`` (many documents sharing a passage), its members are regrouped, after
 one round, by the rarest shingles of their sets: sets of similarity t share one of their n - ceil(t n) + 1
 rarest, under any one order of all shingles, so no link is lost and a common passage brings no one together.
 Pairs whose 128 one-bit signatures differ in over ``MOST_BITS`` places are passed over (similarity 0.8 differs in
-12.8 on average; over 36 has probability below 1e-8). The rounds end when no bucket is left, so every
+12.8 on average; over 36 has probability below 1e-8); with ``weighted`` or a lower threshold none are passed over. The rounds end when no bucket is left, so every
 candidate pair is checked or already connected, while a group of m near copies costs O(m) pairs and never m*m.
 
 Defined results: null text counts as empty; texts without words form one class; texts under five words are
@@ -43,7 +44,7 @@ from candlewick.session import write_and_read
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 28, 5          # a pair of similarity 0.8 misses every band with probability 1.5e-5
-CENTRES = 1                  # centres a bucket in the first round; eight times as many every round
+CENTRES = 1                  # centres a bucket in the first round; eight times as many every round, up to 512
 BUCKET_ROWS = 24             # larger buckets are regrouped by rare shingles
 MOST_BITS = 36
 ORDER_BITS = 18              # shingle frequencies are counted in 2**18 hashed counters
@@ -247,7 +248,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = Fals
 
     ``weighted`` throws darts by shingle multiplicity; links are checked on the distinct shingles either way.
     """
-    return _classes(*document_keys(docs), threshold, weighted)
+    return _classes(*document_keys(docs.select("doc_id", "text")), threshold, weighted)
 
 
 def _classes(keyed: DataFrame, text: DataFrame, threshold: float = THRESHOLD, weighted: bool = False) -> DataFrame:
@@ -262,19 +263,25 @@ def _classes(keyed: DataFrame, text: DataFrame, threshold: float = THRESHOLD, we
     met = active.select(F.col("node").alias("key")).distinct()
     sets = write_and_read(text.join(met, "key", "left_semi")
                           .mapInArrow(_shingles, "key bigint, shingles binary"), "dart-sets")
+    differ = F.bit_count(F.col("s1").bitwiseXOR(F.col("c1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("c2")))
+    # darts thrown by multiplicity say nothing certain of the distinct shingles: then every pair is checked
+    alike = F.lit(True) if weighted or threshold < THRESHOLD else differ <= MOST_BITS
     tree, centres, turn = None, CENTRES, 0
     while not active.isEmpty():
         spot = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "root", "s1", "s2")
-        # one centre first: most copies join through it, and only buckets still open cost more
-        seat = F.when(F.col("rows") <= centres, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(~turn)), F.lit(centres)))
-        chosen = (active.groupBy("bucket", seat.alias("seat"))
+        if turn == 0:      # one centre a bucket: most copies join through it
+            able, seat = active, F.lit(0)
+        else:              # centres from all components of a bucket but its largest, so a group of copies waits for the few others
+            share = active.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("m"))
+            most = share.groupBy("bucket").agg(F.max(F.struct("m", "root")).alias("most"))
+            able = active.join(most, "bucket").where(F.col("root") != F.col("most.root"))
+            seat = F.when(F.col("rows") - F.col("most.m") <= centres, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(~turn)), F.lit(centres)))
+        chosen = (able.groupBy("bucket", seat.alias("seat"))
                   .agg(F.min(spot).alias("c")).select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"),
                                                       F.col("c.root").alias("croot"), F.col("c.s1").alias("c1"), F.col("c.s2").alias("c2")))
         chosen = write_and_read(chosen, "dart-centres")
         pairs = (active.join(chosen, "bucket").where((F.col("node") != F.col("centre")) & (F.col("root") != F.col("croot"))
-                                                    & (F.least("n", "cn") >= F.lit(threshold) * F.greatest("n", "cn"))
-                                                    & (F.bit_count(F.col("s1").bitwiseXOR(F.col("c1")))
-                                                       + F.bit_count(F.col("s2").bitwiseXOR(F.col("c2"))) <= MOST_BITS))
+                                                    & (F.least("n", "cn") >= F.lit(threshold) * F.greatest("n", "cn")) & alike)
                  .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
         found = (pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a")
                  .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -304,8 +311,10 @@ def _classes(keyed: DataFrame, text: DataFrame, threshold: float = THRESHOLD, we
 
 
 def one_per_class(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each class: of the rows whose key is the class id, the smallest by all columns in their order."""
-    keyed, text = document_keys(docs)
+    """``docs`` with one row of each class: of the rows whose key is the class id, the smallest by all columns in their order
+    (by their JSON, if a column holds maps, which have no order). Columns of any name pass through."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed, text = document_keys(docs.select("doc_id", "text", row.alias("_row")))
     kept = _classes(keyed, text, **options).where("key = class_id").select(F.col("key").alias("_key")).distinct()
-    least = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row")
-    return keyed.join(kept, "_key", "left_semi").groupBy("_key").agg(least).select("_row.*")
+    order = F.to_json("_row") if "map<" in keyed.schema["_row"].dataType.simpleString() else F.col("_row")
+    return keyed.join(kept, "_key", "left_semi").groupBy("_key").agg(F.min_by("_row", order).alias("_row")).select("_row.*")

@@ -208,3 +208,29 @@ def test_near_duplicates_handle_null_ids_repeated_rows_and_empty_tables(spark):
     got = minhash.classes(df).collect()
     assert len(got) == 5 and len({x.class_id for x in got}) == 2
     assert minhash.one_per_class(df).count() == 2
+
+
+def test_a_large_group_of_copies_and_a_few_others_cost_no_square(spark):
+    """Copies that share a passage with other documents: links as by brute force (weighted darts too)."""
+    r = random.Random(12)
+    word = lambda: f"w{r.randrange(10 ** 6)}"
+    passage = [word() for _ in range(50)]
+    base = passage + [word() for _ in range(70)]
+    rows = []
+    for _ in range(60):
+        copy = list(base)
+        copy[r.randrange(50, 120)] = word()
+        rows.append(" ".join(copy))
+    rows += [" ".join(passage + [word() for _ in range(r.randint(8, 60))]) for _ in range(50)]
+    sets = [shingles(t) for t in rows]
+    want = _components(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])])
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(rows)], SCHEMA)
+    for weighted in (False, True):
+        assert {x.doc_id: x.class_id for x in minhash.classes(df, weighted=weighted).collect()} == dict(enumerate(want))
+
+
+def test_one_per_class_passes_columns_of_any_name_and_type(spark):
+    rows = [(1, "a b c d e f", "x", {"k": 2}, 7), (2, "a b c d e f", "y", {"k": 1}, 8), (3, "other words altogether here now", None, None, 9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _key string, tags map<string, int>, key int")
+    got = minhash.one_per_class(df)
+    assert got.columns == df.columns and sorted(tuple(r) for r in got.collect()) == [rows[0], rows[2]]
