@@ -10,12 +10,14 @@ piece, the cumulative piece lengths, and which part of which document each piece
 Parquet binary columns: the concatenated ``ids`` of a file's rows are its (rows x LENGTH) matrix.
 
 Defined results: a null or empty text gives one piece holding the end token alone; repeated rows are packed
-each; a null doc_id stays null in ``doc_ids``; an empty table gives no rows.
+each; a null doc_id stays null in ``doc_ids``; an empty table gives no rows. Which pieces share a row depends on how the
+table is split into tasks (every document is whole in any case); columns besides doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.text import slices
-from candlewick.llm.words import WordCache
 
 VOCABULARY_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # fixed value: the pattern that belongs to the vocabulary
@@ -35,55 +36,24 @@ WINDOW = 1 << 21          # ids a task packs at a time
 TEXT_BYTES = 4 << 20
 SCHEMA = "ids binary, positions binary, cu_seqlens array<int>, doc_ids array<bigint>, parts array<int>"
 
-_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 0x20]
-_ASCII_SPACES = [c for c in _SPACES if ord(c) < 0x80]
-
-
-def plain_spacing(text: str) -> bool:
-    """Whether every space stands alone between visible characters: then no pre-token crosses a space's left edge."""
-    if "  " in text or "\0" in text or text[0].isspace() or text[-1].isspace():
-        return False
-    return not any(c + " " in text or " " + c in text for c in (_ASCII_SPACES if text.isascii() else _SPACES))
-
-
 class Tokenizer:
-    """Byte-level BPE ids of batches of texts; words are encoded once each."""
+    """Byte-level BPE ids of texts."""
 
     def __init__(self, ranks: bytes):
         import tiktoken
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.coder = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
-        self.line_end = self.coder.encode_ordinary("\n")
-        self.words = WordCache(self._encode_words)
-
-    def _encode_words(self, words: list[str]) -> list:
-        """Ids of each word: marked ``\\0`` as it stands, else after a space. All words go through the coder as
-        one text of lines, since a line end is a token of its own between words that hold none."""
-        texts = [w[1:] if w[:1] == "\0" else " " + w for w in words]
-        out: list = [None] * len(texts)
-        lines = [i for i, t in enumerate(texts) if t and "\n" not in t]
-        ids = np.array(self.coder.encode_ordinary("\n".join([texts[i] for i in lines]) + "\n"), np.int32) if lines else np.empty(0, np.int32)
-        end = np.flatnonzero(ids == self.line_end[0])
-        if len(end) == len(lines) and not any(texts[i][-1].isspace() or texts[i][:2].isspace() for i in lines):
-            for i, a, b in zip(lines, [0, *(end[:-1] + 1).tolist()], end.tolist(), strict=True):
-                out[i] = ids[a:b]
-        return [self.coder.encode_ordinary(t) if v is None else v for t, v in zip(texts, out, strict=True)]
+
+    def ended(self, text: str, end: int) -> np.ndarray:
+        """Ids of a text and the ``end`` id."""
+        ids = self.coder.encode_ordinary(text)
+        ids.append(end)
+        return np.frombuffer(array("H", ids), np.uint16)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets). A text with unusual spacing counts as one word."""
-        words: list[str] = []
-        count = [0]
-        for t in texts:
-            if t:
-                if plain_spacing(t):
-                    parts = t.split(" ")
-                    parts[0] = "\0" + parts[0]
-                    words += parts
-                else:
-                    words.append("\0" + t)
-            count.append(len(words))
-        ids, off = self.words.lookup(words)
-        return ids, off[np.array(count)]
+        """(ids of all texts, offsets)."""
+        parts = [self.ended(t, 0)[:-1] for t in texts]
+        return np.concatenate([np.empty(0, np.uint16), *parts]), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
 
 
 class Capacities:
@@ -170,10 +140,8 @@ def pack(docs: DataFrame, path: str = VOCABULARY_PATH, length: int = LENGTH, win
         for b in batches:
             keys = b.column("doc_id").to_pylist()
             for lo, hi, _, _ in slices(b.column("text"), TEXT_BYTES):
-                ids, off = coder.encode(b.column("text").slice(lo, hi - lo).fill_null("").to_pylist())
-                ids = ids.astype("<u2")
-                for k in range(hi - lo):
-                    whole = np.append(ids[off[k]:off[k + 1]], np.uint16(END_ID))
+                for k, t in enumerate(b.column("text").slice(lo, hi - lo).fill_null("").to_pylist()):
+                    whole = coder.ended(t, END_ID)
                     for part, a in enumerate(range(0, len(whole), length)):
                         held.append((whole[a:a + length], keys[lo + k], part))
                     total += len(whole)
