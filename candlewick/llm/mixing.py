@@ -6,7 +6,7 @@ summed by (source, leading hash bits), the bucket where the running sum crosses
 one that is summed again by its next bits, and so on until single hashes are left.
 
 Defined results: a null source is a source of its own, last in order; a null text or size counts 0; rows
-with equal ids share a hash and are taken or left together; a source of size 0 has target 0 and takes
+with equal ids share a hash and are taken or left together, rows without an id by equal texts; a source of size 0 has target 0 and takes
 nothing; an empty table gives an empty result. Input columns other than those named are kept by
 ``mix`` (names starting with ``_mix`` are reserved).
 """
@@ -29,9 +29,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def row_hash(key: Column) -> Column:
-    """60-bit hash of a key's text (md5, so that SQL engines can repeat it)."""
-    return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("bigint")
+def row_hash(key: Column, text: Column | None = None) -> Column:
+    """60-bit hash of a key's text (md5, so that SQL engines can repeat it); rows without a key go by ``text``."""
+    body = F.lit("") if text is None else F.concat(F.lit(":"), F.coalesce(text.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), body)), 1, 15), 16, 10).cast("bigint")
 
 
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -93,6 +94,10 @@ def thresholds(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return edge.select("source", "whole", (F.col("prefix") + nearer.cast("bigint")).alias("below"))
 
 
+def _hash(df: DataFrame, key: str) -> Column:
+    return row_hash(F.col(key), F.col("text") if "text" in df.columns else None)
+
+
 def mix(df: DataFrame, key: str = "doc_id", source: str = "source", size: Column | None = None,
         weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> tuple[DataFrame, DataFrame]:
     """(rows, cuts): the written (id, source, size, h) of each row, and per source its size, target, whole
@@ -102,7 +107,7 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", size: Column
     """
     size = word_count(F.col("text")) if size is None else size
     narrow = write_and_read(df.select(F.col(key).alias("id"), F.col(source).alias("source"), size.alias("size"),
-                                      row_hash(F.col(key)).alias("h")), "mix-rows")
+                                      _hash(df, key).alias("h")), "mix-rows")
     plan = write_and_read(targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-plan")
     cut = thresholds(narrow.select("source", "size", "h"), plan)
     per = write_and_read(
@@ -124,7 +129,7 @@ def taken(df: DataFrame, **options) -> DataFrame:
 def mixed(df: DataFrame, key: str = "doc_id", source: str = "source", **options) -> DataFrame:
     """The mix itself: each row of ``df`` as often as it is taken, with ``df``'s own columns."""
     _, per = mix(df, key=key, source=source, **options)
-    copies = F.col("whole") + (row_hash(F.col(key)) < F.col("below")).cast("bigint")
+    copies = F.col("whole") + (_hash(df, key) < F.col("below")).cast("bigint")
     return (df.join(per, F.col(source).eqNullSafe(F.col("_mix_s")), "inner")
             .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.lit(int(MOST))))).where(F.col("_mix_copy") <= copies)
             .select(*[F.col(f"`{c}`") for c in df.columns]))

@@ -4,7 +4,7 @@ OP10 = r"""
 WITH docs AS (
   SELECT doc_id, source,
          CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), ':' || coalesce(text, ''))), 1, 15))::BIGINT AS h
   FROM documents),
 sizes AS (
   SELECT source, sum(size)::BIGINT AS source_size,

@@ -11,7 +11,8 @@ are exact (64-bit); among equal sums the longest last piece wins.
 Only identity normalisation (with the added leading space) is supported; other model files are refused.
 
 Defined results: a null or empty text has no ids and decodes to the empty text; every text, whatever its
-characters, decodes to itself; ids that are control pieces or outside the vocabulary decode to nothing.
+characters, decodes to itself; ids that are null, control pieces or outside the vocabulary decode to nothing, a null array
+to the empty text. ``encode`` and ``decode`` replace a column named like their output.
 """
 
 from __future__ import annotations
@@ -255,8 +256,9 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "text", path: str = MODEL
     def udf(a: pa.Array) -> pa.Array:
         parts = []
         coder = Encoder(shared.value)
-        for row in a.fill_null([]):
-            raw, _ = coder.decode(np.array([x for x in row.as_py() if x is not None], np.int64), np.array([0, len(row)]))
+        for row in a.to_pylist():
+            known = [x for x in row or [] if x is not None]
+            raw, _ = coder.decode(np.array(known, np.int64), np.array([0, len(known)]))
             parts.append(raw.tobytes().decode("utf-8", "replace"))
         return pa.array(parts, pa.string())
     return df.withColumn(out, udf(F.col(ids)))

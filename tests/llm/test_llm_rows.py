@@ -79,6 +79,12 @@ def test_mixing_targets_nulls_and_repeats(spark):
     assert mixing.taken(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_rows_without_an_id_are_taken_near_the_target(spark):
+    rows = [(None, " ".join([f"w{i}"] * (1 + i % 9)), "en", "nulls", 0) for i in range(300)] + [(i, "x y z", "en", "b", 0) for i in range(900)]
+    got = mixing.taken(spark.createDataFrame(rows, DOCS)).where("doc_id is null").collect()
+    assert abs(sum(r.taken for r in got) - got[0].target) <= 9 and {r.taken // r.size for r in got} <= {0, 1, 2}
+
+
 # --- packing ----------------------------------------------------------------------------------------------------
 
 def test_best_fit_decreasing_matches_a_plain_search():
@@ -175,6 +181,13 @@ def test_every_text_decodes_to_itself(spark):
     assert pieces.encode(spark.createDataFrame([], "text string")).count() == 0
 
 
+def test_decode_skips_nulls_and_unknown_ids(spark):
+    ids = pieces.encode(spark.createDataFrame([("two words",)], "text string")).first().ids
+    rows = [(1, [ids[0], None, *ids[1:], None]), (2, None), (3, []), (4, [None]), (5, [-1, 10 ** 6, 1])]
+    got = {r.i: r.text for r in pieces.decode(spark.createDataFrame(rows, "i int, ids array<int>")).collect()}
+    assert got == {1: "two words", 2: "", 3: "", 4: "", 5: ""}
+
+
 # --- neighbours -------------------------------------------------------------------------------------------------
 
 def _nearest(rows, k=20):
