@@ -46,7 +46,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [("toxicity", drop_toxic), ("language", keep_languages), ("near-duplicates", drop_near_duplicates),
           ("mixing", mix_sources), ("pieces", encode_pieces)]
 
-ORACLE_SQL = None      # trained models and sub-word encoding: no SQL form; tests hold it against brute force
+ORACLE_SQL = None      # trained models and sub-word encoding: no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
