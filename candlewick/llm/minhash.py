@@ -16,9 +16,12 @@ component, and buckets whose remaining members are in one component are done. Wh
 bucket holds more than ``BUCKET_ROWS`` (many documents sharing a passage), its members are regrouped, after
 one round, by the rarest shingles of their sets: sets of similarity t share one of their n - ceil(t n) + 1
 rarest, under any one order of all shingles, so no link is lost and a common passage brings no one together.
-Pairs whose 128 one-bit signatures differ in over ``MOST_BITS`` places are passed over (similarity 0.8 differs in
-12.8 on average; over 36 has probability below 1e-8); with ``weighted`` or a lower threshold none are passed over. The rounds end when no bucket is left, so every
-candidate pair is checked or already connected, while a group of m near copies costs O(m) pairs and never m*m.
+A pair meets its exact check only if its parity maps allow the similarity: every shingle of a set flips one of ``PARITY`` bits, so
+two sets whose maps differ in x bits differ in x shingles at least, and similarity t leaves at most (n + n') (1 - t) / (1 + t)
+of those. The test stands in the bucket join and loses no link; all but pairs close below the threshold (and pairs of sets of
+some thousand shingles, whose maps are full) end there. Buckets hold (bucket, node, root) only; sizes and maps are fetched for
+the join. The rounds end when no bucket is left, so every candidate pair is checked or already connected, while a group
+of m near copies costs O(m) pairs and never m*m.
 
 Defined results: null text counts as empty; texts without words form one class; texts under five words are
 alike only if their words are equal. Rows sharing a doc_id and a text are one document and one class. A row without
@@ -46,7 +49,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 28, 5          # a pair of similarity 0.8 misses every band with probability 1.5e-5
 CENTRES = 1                  # centres a bucket in the first round; eight times as many every round, up to 512
 BUCKET_ROWS = 24             # larger buckets are regrouped by rare shingles
-MOST_BITS = 36
+PARITY = 1024                # bits of a set's parity map
+MAPS = [f"p{i}" for i in range(PARITY // 64)]
 ORDER_BITS = 18              # shingle frequencies are counted in 2**18 hashed counters
 _CDF = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
 _TO_UNIT = 2.0 ** -32
@@ -119,11 +123,12 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     return key.view(np.int64)
 
 
-def bit_sketch(sig: np.ndarray) -> np.ndarray:
-    """(rows, 2) 64-bit words of the lowest bits of the first 128 coordinates (they agree with probability
-    (1 + similarity) / 2)."""
-    bits = (sig[:, :128] & U(1)).astype(np.uint8)
-    return np.packbits(bits, axis=1).view(">u8").astype(np.uint64).view(np.int64)
+def parity_maps(values: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """(rows, PARITY / 64) words: bit j of a row is the parity of its (distinct) hashes that fall on j."""
+    rows = len(off) - 1
+    slot = np.repeat(np.arange(rows), np.diff(off)) * PARITY + (mix64(values) & U(PARITY - 1)).astype(np.int64)
+    odd = (np.bincount(slot, minlength=rows * PARITY) & 1).astype(np.uint8)
+    return np.packbits(odd).view(">u8").astype(np.uint64).view(np.int64).reshape(rows, PARITY // 64)
 
 
 def _digests(values: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,14 +170,14 @@ def _sketch(weighted: bool):
             for lo, hi, data, off in slices(b.column("text")):
                 v, voff, times = unique_per_row(*shingle_hashes(data, off, WIDTH))
                 sig = signatures(v, voff, times.astype(float) if weighted else None)
-                keys, bits = band_keys(sig), bit_sketch(sig)
+                keys = band_keys(sig)
                 some = np.diff(voff) > 0
                 bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)),
                                                  pa.array(keys[some].ravel()))
                 one, two = _digests(v, voff)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("key").slice(lo, hi - lo), pa.array(one), pa.array(two), pa.array(np.diff(voff).astype(np.int32)), bands,
-                     pa.array(bits[:, 0]), pa.array(bits[:, 1])], ["key", "one", "two", "n", "bands", "s1", "s2"])
+                    [b.column("key").slice(lo, hi - lo), pa.array(one), pa.array(two), pa.array(np.diff(voff).astype(np.int32)), bands],
+                    ["key", "one", "two", "n", "bands"])
     return run
 
 
@@ -182,7 +187,10 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             v, voff, _ = unique_per_row(*shingle_hashes(data, off, WIDTH))
             raw = v.astype("<u8").tobytes()
             sets = [raw[8 * x:8 * y] for x, y in zip(voff[:-1], voff[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("key").slice(lo, hi - lo), pa.array(sets, pa.binary())], ["key", "shingles"])
+            maps = parity_maps(v, voff)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("key").slice(lo, hi - lo), pa.array(np.diff(voff).astype(np.int32)), pa.array(sets, pa.binary()),
+                 *(pa.array(maps[:, i]) for i in range(len(MAPS)))], ["node", "n", "shingles", *MAPS])
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -229,7 +237,7 @@ def _prefixes(shared, threshold: float):
             parts = [rare_prefix(np.frombuffer(v, "<u8"), shared.value, threshold) for v in b.column("shingles").to_pylist()]
             size = np.array([len(p) for p in parts])
             flat = np.concatenate(parts).astype(U).view(np.int64) if parts else np.empty(0, np.int64)
-            names = ["node", "n", "root", "s1", "s2"]
+            names = ["node", "root"]
             yield pa.RecordBatch.from_arrays([pa.array(flat), *(pa.array(np.repeat(b.column(c).to_numpy(), size)) for c in names)],
                                              ["bucket", *names])
     return run
@@ -253,22 +261,21 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = Fals
 
 def _classes(keyed: DataFrame, text: DataFrame, threshold: float = THRESHOLD, weighted: bool = False) -> DataFrame:
     """``classes`` of what ``document_keys`` gives."""
-    sk = write_and_read(text.mapInArrow(
-        _sketch(weighted), "key bigint, one bigint, two bigint, n int, bands array<bigint>, s1 bigint, s2 bigint"), "dart-sketch")
+    sk = write_and_read(text.mapInArrow(_sketch(weighted), "key bigint, one bigint, two bigint, n int, bands array<bigint>"), "dart-sketch")
     groups = write_and_read(sk.groupBy("one", "two", "n").agg(F.min("key").alias("node")), "dart-groups")
     reps = sk.join(groups, (F.col("key") == F.col("node")) & (sk.one == groups.one) & (sk.two == groups.two), "left_semi")
-    banded = reps.select(F.col("key").alias("node"), "n", F.explode("bands").alias("bucket"), F.col("key").alias("root"))
-    active = banded.join(_still_open(banded), "bucket").join(sk.select(F.col("key").alias("node"), "s1", "s2"), "node")
-    active = write_and_read(active, "dart-buckets")
+    banded = reps.select(F.col("key").alias("node"), F.explode("bands").alias("bucket"), F.col("key").alias("root"))
+    active = write_and_read(banded.join(_still_open(banded), "bucket"), "dart-buckets")
     met = active.select(F.col("node").alias("key")).distinct()
-    sets = write_and_read(text.join(met, "key", "left_semi")
-                          .mapInArrow(_shingles, "key bigint, shingles binary"), "dart-sets")
-    differ = F.bit_count(F.col("s1").bitwiseXOR(F.col("c1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("c2")))
-    # darts thrown by multiplicity say nothing certain of the distinct shingles: then every pair is checked
-    alike = F.lit(True) if weighted or threshold < THRESHOLD else differ <= MOST_BITS
+    sets = write_and_read(text.join(met, "key", "left_semi").mapInArrow(
+        _shingles, "node bigint, n int, shingles binary, " + ", ".join(f"{c} bigint" for c in MAPS)), "dart-sets")
+    sizes, bodies = sets.drop("shingles"), sets.select("node", "shingles")
+    theirs = sizes.select(*(F.col(c).alias(f"c_{c}") for c in sizes.columns))
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"c_{c}"))) for c in MAPS), F.lit(0))
+    alike = differ <= (F.col("n") + F.col("c_n")) * F.lit((1 - threshold) / (1 + threshold)) + F.lit(1e-6)
     tree, centres, turn = None, CENTRES, 0
     while not active.isEmpty():
-        spot = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "root", "s1", "s2")
+        spot = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")
         if turn == 0:      # one centre a bucket: most copies join through it
             able, seat = active, F.lit(0)
         else:              # centres from all components of a bucket but its largest, so a group of copies waits for the few others
@@ -276,32 +283,32 @@ def _classes(keyed: DataFrame, text: DataFrame, threshold: float = THRESHOLD, we
             most = share.groupBy("bucket").agg(F.max(F.struct("m", "root")).alias("most"))
             able = active.join(most, "bucket").where(F.col("root") != F.col("most.root"))
             seat = F.when(F.col("rows") - F.col("most.m") <= centres, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(~turn)), F.lit(centres)))
-        chosen = (able.groupBy("bucket", seat.alias("seat"))
-                  .agg(F.min(spot).alias("c")).select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"),
-                                                      F.col("c.root").alias("croot"), F.col("c.s1").alias("c1"), F.col("c.s2").alias("c2")))
+        chosen = (able.groupBy("bucket", seat.alias("seat")).agg(F.min(spot).alias("c"))
+                  .select("bucket", F.col("c.node").alias("c_node"), F.col("c.root").alias("c_root")))
         chosen = write_and_read(chosen, "dart-centres")
-        pairs = (active.join(chosen, "bucket").where((F.col("node") != F.col("centre")) & (F.col("root") != F.col("croot"))
-                                                    & (F.least("n", "cn") >= F.lit(threshold) * F.greatest("n", "cn")) & alike)
-                 .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
-        found = (pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa")), "a")
-                 .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb")), "b")
+        pairs = (active.select("bucket", "node", "root").join(sizes, "node").join(chosen.join(theirs, "c_node"), "bucket")
+                 .where((F.col("node") != F.col("c_node")) & (F.col("root") != F.col("c_root"))
+                        & (F.least("n", "c_n") >= F.lit(threshold) * F.greatest("n", "c_n")) & alike)
+                 .select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct())
+        found = (pairs.join(bodies.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+                 .join(bodies.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
                  .where(jaccard(F.col("sa"), F.col("sb")) >= threshold).select("a", "b"))
         found = write_and_read(found, "dart-links")
         if not found.isEmpty():
             links = found if tree is None else found.unionByName(tree.select(F.col("node").alias("a"), F.col("root").alias("b")))
             tree = stars(links)
-        rest = active.drop("rows").join(chosen.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti")
+        rest = active.drop("rows").join(chosen.select("bucket", F.col("c_node").alias("node")), ["bucket", "node"], "left_anti")
         if turn == 0:      # centres of large buckets go on: their bucket is regrouped, not finished
             rest = rest.unionByName(active.where(F.col("rows") > BUCKET_ROWS).drop("rows")).distinct()
         if tree is not None:
             rest = rest.drop("root").join(tree, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest = write_and_read(rest.select("bucket", "node", "n", "root", "s1", "s2"), "dart-rest")
+        rest = write_and_read(rest.select("bucket", "node", "root"), "dart-rest")
         active = write_and_read(rest.join(_still_open(rest), "bucket"), "dart-buckets")
         if turn == 0:
-            large = active.where(F.col("rows") > BUCKET_ROWS).select("node", "n", "root", "s1", "s2").distinct()
+            large = active.where(F.col("rows") > BUCKET_ROWS).select("node", "root").distinct()
             shared = keyed.sparkSession.sparkContext.broadcast(_frequencies(sets))
-            rare = write_and_read(large.join(sets.withColumnRenamed("key", "node"), "node")
-                                  .mapInArrow(_prefixes(shared, threshold), "bucket bigint, node bigint, n int, root bigint, s1 bigint, s2 bigint"), "dart-rare")
+            rare = write_and_read(large.join(bodies, "node").mapInArrow(
+                _prefixes(shared, threshold), "bucket bigint, node bigint, root bigint"), "dart-rare")
             rare = rare.join(_still_open(rare), "bucket")
             active = write_and_read(active.where(F.col("rows") <= BUCKET_ROWS).unionByName(rare.select(*active.columns)), "dart-buckets")
         centres, turn = min(8 * centres, 512), turn + 1

@@ -161,6 +161,36 @@ def test_near_duplicate_classes_match_brute_force(spark):
     assert kept.columns == df.columns and sorted(x.doc_id for x in kept.collect()) == sorted(set(want))
 
 
+@pytest.mark.parametrize("most", [2, 23, 24, 25, 10 ** 9])
+def test_regrouping_of_large_buckets_changes_no_class(spark, monkeypatch, most):
+    rows = _near_rows()[:120]
+    sets = [shingles(t) for t in rows]
+    want = _components(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] == sets[j] or
+                                   (sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))])
+    monkeypatch.setattr(minhash, "BUCKET_ROWS", most)
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(rows)], SCHEMA)
+    assert {x.doc_id: x.class_id for x in minhash.classes(df).collect()} == dict(enumerate(want))
+
+
+def test_parity_maps_never_differ_in_more_bits_than_their_sets_in_elements():
+    r = np.random.default_rng(3)
+    pool = r.integers(0, 2 ** 63, 6000).astype(np.uint64)
+    sets = [np.sort(r.choice(pool, n, replace=False)) for n in (0, 1, 2, 150, 150, 1400, 1500, 5000)]
+    sets.append(np.sort(np.append(sets[3][1:], np.uint64(7))))
+    off = np.cumsum([0] + [len(s) for s in sets])
+    maps = minhash.parity_maps(np.concatenate(sets), off)
+    for i, s in enumerate(sets):
+        want = 0
+        for h in text.mix64(s):
+            want ^= 1 << (minhash.PARITY - 1 - int(h) % minhash.PARITY)
+        assert b"".join(int(w).to_bytes(8, "big", signed=True) for w in maps[i]) == want.to_bytes(minhash.PARITY // 8, "big")
+        for j in range(i):
+            apart = sum(((int(a) ^ int(b)) & (2 ** 64 - 1)).bit_count() for a, b in zip(maps[i], maps[j], strict=True))
+            assert apart <= len(np.setxor1d(s, sets[j]))
+    close = sum(((int(a) ^ int(b)) & (2 ** 64 - 1)).bit_count() for a, b in zip(maps[3], maps[-1], strict=True))
+    assert close in (0, 2)
+
+
 def _middle_copies(seed, middles):
     """Two texts that differ in their last word, and between them copies with 17 new words each (similarity 0.81)."""
     r = random.Random(seed)
