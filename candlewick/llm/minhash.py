@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm.components import stars
 from candlewick.llm.text import U, mix64, shingle_hashes, slices, unique_per_row
-from candlewick.session import write_and_read
+from candlewick.session import arrow_batches, write_and_read
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -51,6 +51,7 @@ CENTRES = 1                  # centres a bucket in the first round; eight times
 BUCKET_ROWS = 24             # larger buckets are regrouped by rare shingles
 PARITY = 1024                # bits of a set's parity map
 MAPS = [f"p{i}" for i in range(PARITY // 64)]
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20      # of the Arrow batches that hold texts or sets
 ORDER_BITS = 18              # shingle frequencies are counted in 2**18 hashed counters
 _CDF = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
 _TO_UNIT = 2.0 ** -32
@@ -261,6 +262,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, weighted: bool = Fals
 
 def _classes(keyed: DataFrame, text: DataFrame, threshold: float = THRESHOLD, weighted: bool = False) -> DataFrame:
     """``classes`` of what ``document_keys`` gives."""
+    with arrow_batches(keyed.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        return _linked(keyed, text, threshold, weighted)
+
+
+def _linked(keyed: DataFrame, text: DataFrame, threshold: float, weighted: bool) -> DataFrame:
     sk = write_and_read(text.mapInArrow(_sketch(weighted), "key bigint, one bigint, two bigint, n int, bands array<bigint>"), "dart-sketch")
     groups = write_and_read(sk.groupBy("one", "two", "n").agg(F.min("key").alias("node")), "dart-groups")
     reps = sk.join(groups, (F.col("key") == F.col("node")) & (sk.one == groups.one) & (sk.two == groups.two), "left_semi")

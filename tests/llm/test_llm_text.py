@@ -264,3 +264,21 @@ def test_one_per_class_passes_columns_of_any_name_and_type(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, _key string, tags map<string, int>, key int")
     got = minhash.one_per_class(df)
     assert got.columns == df.columns and sorted(tuple(r) for r in got.collect()) == [rows[0], rows[2]]
+
+
+def test_near_duplicates_run_with_small_arrow_batches(spark, monkeypatch):
+    """Texts and sets reach the workers in batches of bounded rows and bytes, and the session's settings come back."""
+    names = [f"spark.sql.execution.arrow.{k}" for k in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before, seen = [spark.conf.get(k) for k in names], []
+
+    def linked(keyed, *rest):
+        seen.extend(spark.conf.get(k) for k in names)
+        sizes = keyed.coalesce(1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+        seen.append(max(r["n"] for r in sizes.collect()))
+        raise ValueError("seen")
+    monkeypatch.setattr(minhash, "_linked", linked)
+    monkeypatch.setattr(minhash, "BATCH_ROWS", 7)
+    docs = spark.range(0, 50, 1, 1).selectExpr("id as doc_id", "cast(id as string) as text")
+    with pytest.raises(ValueError):
+        minhash.classes(docs)
+    assert seen == ["7", str(minhash.BATCH_BYTES), 7] and [spark.conf.get(k) for k in names] == before
