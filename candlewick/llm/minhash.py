@@ -20,7 +20,8 @@ A pair meets its exact check only if its parity maps allow the similarity: every
 two sets whose maps differ in x bits differ in x shingles at least, and similarity t leaves at most (n + n') (1 - t) / (1 + t)
 of those. The test stands in the bucket join and loses no link; all but pairs close below the threshold (and pairs of sets of
 some thousand shingles, whose maps are full) end there. Buckets hold (bucket, node, root) only; sizes and maps are fetched for
-the join. The rounds end when no bucket is left, so every candidate pair is checked or already connected, while a group
+the join. Sets are made of the members of open buckets only: a bitmap of hashed keys, of bounded size, keeps most other
+texts out of the shuffle that finds them. The rounds end when no bucket is left, so every candidate pair is checked or already connected, while a group
 of m near copies costs O(m) pairs and never m*m.
 
 Defined results: null text counts as empty; texts without words form one class; texts under five words are
@@ -52,6 +53,7 @@ BUCKET_ROWS = 24             # larger buckets are regrouped by rare shingles
 PARITY = 1024                # bits of a set's parity map
 MAPS = [f"p{i}" for i in range(PARITY // 64)]
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20      # of the Arrow batches that hold texts or sets
+MARK_WORDS = 1 << 19         # most 64-bit words of a bitmap of keys
 ORDER_BITS = 18              # shingle frequencies are counted in 2**18 hashed counters
 _CDF = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
 _TO_UNIT = 2.0 ** -32
@@ -266,14 +268,23 @@ def _classes(keyed: DataFrame, text: DataFrame, threshold: float = THRESHOLD, we
         return _linked(keyed, text, threshold, weighted)
 
 
+def marked(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``rows`` whose ``key`` is in ``keys``, and few others: keys are hashed to the bits of at most MARK_WORDS words,
+    which reach every task, so a join that follows shuffles little else. Wide rows stay where they are."""
+    slot = F.pmod(F.xxhash64("key"), F.lit(64 * MARK_WORDS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
+    words = keys.groupBy(F.shiftright(slot, 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    return rows.join(F.broadcast(words), (F.shiftright(slot, 6) == F.col("_word")) & (F.col("_bits").bitwiseAND(bit) != 0), "left_semi")
+
+
 def _linked(keyed: DataFrame, text: DataFrame, threshold: float, weighted: bool) -> DataFrame:
     sk = write_and_read(text.mapInArrow(_sketch(weighted), "key bigint, one bigint, two bigint, n int, bands array<bigint>"), "dart-sketch")
     groups = write_and_read(sk.groupBy("one", "two", "n").agg(F.min("key").alias("node")), "dart-groups")
     reps = sk.join(groups, (F.col("key") == F.col("node")) & (sk.one == groups.one) & (sk.two == groups.two), "left_semi")
     banded = reps.select(F.col("key").alias("node"), F.explode("bands").alias("bucket"), F.col("key").alias("root"))
     active = write_and_read(banded.join(_still_open(banded), "bucket"), "dart-buckets")
-    met = active.select(F.col("node").alias("key")).distinct()
-    sets = write_and_read(text.join(met, "key", "left_semi").mapInArrow(
+    met = write_and_read(active.select(F.col("node").alias("key")).distinct(), "dart-met")
+    sets = write_and_read(marked(text, met).join(met, "key", "left_semi").mapInArrow(
         _shingles, "node bigint, n int, shingles binary, " + ", ".join(f"{c} bigint" for c in MAPS)), "dart-sets")
     sizes, bodies = sets.drop("shingles"), sets.select("node", "shingles")
     theirs = sizes.select(*(F.col(c).alias(f"c_{c}") for c in sizes.columns))

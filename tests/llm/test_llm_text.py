@@ -282,3 +282,27 @@ def test_near_duplicates_run_with_small_arrow_batches(spark, monkeypatch):
     with pytest.raises(ValueError):
         minhash.classes(docs)
     assert seen == ["7", str(minhash.BATCH_BYTES), 7] and [spark.conf.get(k) for k in names] == before
+
+
+def test_texts_outside_open_buckets_are_not_shuffled(spark, monkeypatch):
+    docs = spark.range(0, 4000, 1, 4).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("key"), F.lit("a text").alias("text"))
+    docs = docs.unionByName(docs.where("key < 100"))      # repeated and null keys
+    met = spark.createDataFrame([(6,), (6,), (None,), (902,), (-5,)], "key bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = minhash.marked(docs, met)
+        assert sorted(r.key for r in got.where("key is not null").collect()) == [6, 6, 902]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and not [x for x in plan.splitlines() if "Exchange hash" in x and "text" in x]
+        monkeypatch.setattr(minhash, "MARK_WORDS", 1)     # a full bitmap keeps too much, never too little
+        assert {6, 902} <= {r.key for r in minhash.marked(docs, met).collect()}
+        made = []
+        real = minhash.marked
+        monkeypatch.setattr(minhash, "marked", lambda rows, keys: made.append(real(rows, keys)) or made[-1])
+        texts = ["a b c d e f g h i j k l", "a b c d e f g h i j k l m", "other words stand here and here too", None, "a b"]
+        rows = spark.createDataFrame([(i, t, 0, "") for i, t in enumerate(texts)], SCHEMA)
+        assert {x.doc_id: x.class_id for x in minhash.classes(rows).collect()} == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4}
+        assert "text" in made[0].columns and [r.key for r in made[0].collect()] == [0, 1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
