@@ -32,7 +32,7 @@ from candlewick.llm.words import WordCache
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 LONGEST_TOGETHER = 48          # longer words are segmented one by one
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 1 << 20           # text that a worker holds as words at a time
 _WORD = re.compile(r" *[^ ]+| +")
 _B = 0x9E3779B97F4A7C15
 _NORMAL, _CONTROL, _BYTE = 1, 3, 6

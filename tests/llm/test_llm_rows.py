@@ -181,6 +181,28 @@ def test_every_text_decodes_to_itself(spark):
     assert pieces.encode(spark.createDataFrame([], "text string")).count() == 0
 
 
+def test_a_worker_holds_the_words_of_a_megabyte_at_a_time(monkeypatch):
+    most = []
+    real = pieces.WordCache.lookup
+    monkeypatch.setattr(pieces.WordCache, "lookup", lambda self, words: most.append(sum(map(len, words))) or real(self, words))
+    monkeypatch.setattr(pieces.F, "arrow_udf", lambda kind: lambda f: lambda c: f(c))      # the function that the tasks run
+
+    class Frame:
+        class sparkSession:
+            class sparkContext:
+                broadcast = staticmethod(lambda v: type("Shared", (), {"value": v}))
+
+        def withColumn(self, name, ids):
+            return ids
+    texts = [f"word{i % 7} " * 500 for i in range(1200)] + [None, ""]
+    monkeypatch.setattr(pieces.F, "col", lambda name: pa.array(texts))
+    ids = pieces.encode(Frame())
+    assert len(most) > 3 and max(most) < (1 << 20) + 20_000
+    coder = pieces.Encoder(pieces.Vocabulary.load())
+    whole, off = coder.encode([t or "" for t in texts])
+    assert ids.flatten().to_numpy().tolist() == whole.tolist() and ids.offsets.to_pylist() == off.tolist()
+
+
 def test_decode_skips_nulls_and_unknown_ids(spark):
     ids = pieces.encode(spark.createDataFrame([("two words",)], "text string")).first().ids
     rows = [(1, [ids[0], None, *ids[1:], None]), (2, None), (3, []), (4, [None]), (5, [-1, 10 ** 6, 1])]
